@@ -15,3 +15,59 @@ def dec(c: Column | str, precision: int = 28, scale: int = 8) -> Column:
 def e8(c: Column | str) -> Column:
     """Text as a whole number of 10^-8 units; null where it is no number or does not fit a bigint."""
     return (dec(c, 30, 8) * F.lit(100_000_000).cast("decimal(9,0)")).try_cast("bigint")
+
+
+def canonical(c: Column | str) -> Column:
+    """Decimal text in one spelling: the shortest exact one that keeps trailing zeros of the fraction.
+
+    Plain where the number has no positive exponent and its first digit is at most six places
+    behind the point, else scientific with one digit before the point (``0.00000000`` is
+    ``0E-8``, ``1e3`` is ``1E+3``, ``+5`` is ``5``). Null where the text is no finite number.
+    Numbers that are plain already, which is nearly all, are recognised by one pattern.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    known = c.rlike(r"^(0|[1-9][0-9]*)(\.[0-9]+)?$") & ~c.rlike(r"^0\.000000[0-9]")
+    # each step binds its parts once, so the expression stays small
+    return F.when(c.isNull(), None).when(known, c).otherwise(F.get(F.transform(F.transform(F.transform(F.array(c), _parts), _lengths), _spelled), 0))
+
+
+def _parts(x: Column) -> Column:
+    t = F.regexp_replace(F.trim(x), "(?<=[0-9])_(?=[0-9])", "")
+    ok = t.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$")
+    part = lambda p: F.regexp_extract(t, p, 1)
+    exp = F.coalesce(part(r"[eE]([+-]?[0-9]+)$").try_cast("int"), F.lit(0))
+    return F.struct(ok.alias("ok"), F.when(t.startswith("-"), "-").otherwise("").alias("sign"), part(r"^[+-]?([0-9]*)").alias("whole"), part(r"\.([0-9]*)").alias("frac"), exp.alias("exp"))
+
+
+def _lengths(p: Column) -> Column:
+    digits = F.regexp_replace(F.concat(p["whole"], p["frac"]), "^0+(?=.)", "")
+    exp = p["exp"] - F.length(p["frac"])
+    return F.struct(p["ok"].alias("ok"), p["sign"].alias("sign"), digits.alias("digits"), exp.alias("exp"), (exp + F.length(digits) - 1).alias("adj"))
+
+
+def _spelled(p: Column) -> Column:
+    digits, exp, adj = p["digits"], p["exp"], p["adj"]
+    full = F.lpad(digits, F.greatest(F.length(digits), 1 - exp), "0")
+    cut = F.length(full) + exp
+    plain = F.when(exp == 0, digits).otherwise(F.concat(F.substring(full, F.lit(1), cut), F.lit("."), F.substring(full, cut + 1, -exp)))
+    tail = F.substring(digits, F.lit(2), F.length(digits))
+    science = F.concat(F.substring(digits, 1, 1), F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)), F.when(adj >= 0, "E+").otherwise("E"), adj.cast("string"))
+    return F.when(p["ok"], F.concat(p["sign"], F.when((exp <= 0) & (adj >= -6), plain).otherwise(science)))
+
+
+def is_zero(c: Column) -> Column:
+    """Whether decimal text is zero, judged by its mantissa alone."""
+    return c.rlike(r"^[+-]?[0.]+([eE].*)?$")
+
+
+def exact_percentile(values: Column, numerator: int, denominator: int, kind: str = "decimal(38,10)") -> Column:
+    """The linearly interpolated percentile numerator/denominator of an array of decimals, exactly.
+
+    Null for an empty array; nulls in the array do not count.
+    """
+    a = F.array_sort(F.array_compact(values))
+    pos = (F.size(a) - 1) * numerator
+    lo, rem = F.floor(pos / denominator).cast("int"), pos % denominator
+    at = lambda i: F.get(a, i)
+    part = (at(lo) * (F.lit(denominator) - rem) + F.coalesce(at(lo + 1), at(lo)) * rem) / F.lit(denominator)
+    return F.when(F.size(a) > 0, part).cast(kind)

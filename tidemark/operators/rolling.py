@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY_MS = 86_400_000
+#: Longest windows in a chunk of days.
+CHUNKS = 8
 
 
 def latest_daily(rows: DataFrame, entity: str, time_ms: str, version: str, metrics: Mapping[str, Column]) -> DataFrame:
@@ -28,43 +30,49 @@ def trailing(daily: DataFrame, entity: str, metrics: Sequence[str], windows: Seq
     ``daily`` has at most one row per entity and ``day``. Days without a row and null figures are
     zero. Output: entity, ``day``, ``age`` (days since the entity's first) and for each metric and
     window w ``{metric}_sum_{w}`` and ``{metric}_avg_{w}`` (the total over w, also before w days
-    have passed: days before the first count as zero). Sums keep the metric's exact type.
+    have passed: days before the first count as zero). Sums keep the metric's exact type. Rows
+    with a null entity or day: ignored.
 
     Block decomposition: days are cut into blocks of w. A window ending at day d is the prefix sum
-    of d's block up to d plus the suffix sum of the block before from d-w+1 on. Both are windows
-    over w rows, so no task has more of an entity than one block; the two halves meet in one
-    aggregation on (entity, day), to which suffixes travel shifted by w-1 days.
+    of d's block up to d plus the suffix sum of the block before from d-w+1 on. For that, one
+    shuffle sends rows to (entity, chunk of days), and the days that the next chunk's windows
+    reach back to also there; blocks, prefixes and suffixes are then made inside a chunk, whose
+    length is fixed, so no task has a whole entity.
     """
-    pad = max(windows) - 1
+    halo = max(windows) - 1
+    span = CHUNKS * max(windows)
     types = dict(daily.dtypes)
     zero = {m: F.lit(0).cast(types[m]) for m in metrics}
+    daily = daily.where(F.col(entity).isNotNull() & F.col("day").isNotNull())
     ends = daily.groupBy(entity).agg(F.min("day").alias("__lo"), F.max("day").alias("__hi"))
-    spine = ends.select(entity, F.explode(F.expr(f"sequence(__lo - {pad}, __hi)")).alias("day"), (F.col("day") - F.col("__lo")).alias("age"), *[zero[m].alias(m) for m in metrics])
-    seen = daily.select(entity, "day", F.lit(None).cast("bigint").alias("age"), *[F.coalesce(F.col(m), zero[m]).alias(m) for m in metrics])
-    dense = spine.unionByName(seen).groupBy(entity, "day").agg(F.max("age").alias("age"), *[F.sum(m).cast(types[m]).alias(m) for m in metrics])
-
+    # zero days before the first one, so that each window has all its days
+    spine = ends.select(entity, F.explode(F.expr(f"sequence(__lo - {halo}, __hi)")).alias("day"), (F.col("day") - F.col("__lo")).cast("int").alias("age"), *[zero[m].alias(m) for m in metrics])
+    seen = daily.select(entity, "day", F.lit(None).cast("int").alias("age"), *[F.coalesce(F.col(m), zero[m]).alias(m) for m in metrics])
+    chunk = F.floor(F.col("day") / span).cast("bigint")
+    to = F.array_compact(F.array(chunk, F.when(F.col("day") >= (chunk + 1) * span - halo, chunk + 1)))
+    sent = spine.unionByName(seen).withColumn("__c", F.explode(to)).repartition(entity, "__c")
+    own = Window.partitionBy(entity, "__c")
+    dense = sent.groupBy(entity, "__c", "day").agg(F.max("age").alias("age"), *[F.sum(m).cast(types[m]).alias(m) for m in metrics])
+    names = [(m, w) for w in windows for m in metrics]
     for w in windows:
-        block = Window.partitionBy(entity, F.expr(f"floor(day / {w})"))
-        up = block.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-        down = block.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, 0)
+        block = Window.partitionBy(entity, "__c", F.expr(f"floor(day / {w})"))
         for m in metrics:
-            dense = dense.withColumn(f"__p_{m}_{w}", F.sum(m).over(up)).withColumn(f"__s_{m}_{w}", F.sum(m).over(down))
-    names = [f"{m}_{w}" for w in windows for m in metrics]
+            up = F.sum(m).over(block.orderBy("day").rowsBetween(Window.unboundedPreceding, 0))
+            down = F.sum(m).over(block.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, 0))
+            dense = dense.withColumn(f"__p_{m}_{w}", up).withColumn(f"__s_{m}_{w}", down)
+    for m, w in names:
+        if w > 1:
+            dense = dense.withColumn(f"__b_{m}_{w}", F.lag(f"__s_{m}_{w}", w - 1).over(own.orderBy("day")))
     kind = dict(dense.dtypes)
-    none = {n: F.lit(None).cast(kind[f"__p_{n}"]) for n in names}
-    shift = F.explode(F.array(F.lit(0), *[F.lit(w - 1) for w in windows if w > 1])).alias("__shift")
-    moved = dense.select("*", shift)
-
-    def part(n: str, w: int) -> Column:
-        # the block's last day has its whole window in the prefix; its suffix there would count it twice
-        other = F.when((F.col("__shift") == w - 1) & (F.expr(f"pmod(day, {w})") != 0), F.col(f"__s_{n}")).otherwise(none[n])
-        return F.when(F.col("__shift") == 0, F.col(f"__p_{n}")).otherwise(other).alias(n)
-
-    halves = moved.select(entity, (F.col("day") + F.col("__shift")).alias("day"), F.when(F.col("__shift") == 0, F.col("age")).alias("age"), *[part(f"{m}_{w}", w) for w in windows for m in metrics])
-    total = halves.groupBy(entity, "day").agg(F.max("age").alias("age"), *[F.sum(n).cast(kind[f"__p_{n}"]).alias(n) for n in names]).where(F.col("age") >= 0)
-    out = [F.col(f"{m}_{w}").alias(f"{m}_sum_{w}") for w in windows for m in metrics]
-    out += [(F.col(f"{m}_{w}").cast("double") / w).alias(f"{m}_avg_{w}") for w in windows for m in metrics]
-    return total.select(entity, "day", "age", *out)
+
+    def total(m: str, w: int) -> Column:
+        prefix = F.col(f"__p_{m}_{w}")
+        # on a block's last day the prefix has the whole window
+        return prefix if w == 1 else F.when(F.expr(f"pmod(day, {w})") == w - 1, prefix).otherwise((prefix + F.col(f"__b_{m}_{w}")).cast(kind[f"__p_{m}_{w}"]))
+
+    mine = dense.where((F.col("age") >= 0) & (F.col("__c") == chunk))
+    out = [total(m, w).alias(f"{m}_sum_{w}") for m, w in names] + [(total(m, w).cast("double") / w).alias(f"{m}_avg_{w}") for m, w in names]
+    return mine.select(entity, "day", F.col("age").cast("bigint").alias("age"), *out)
 
 
 def activity_days(klines: DataFrame) -> DataFrame:
