@@ -55,19 +55,27 @@ def _spelled(p: Column) -> Column:
     return F.when(p["ok"], F.concat(p["sign"], F.when((exp <= 0) & (adj >= -6), plain).otherwise(science)))
 
 
+def floor_div(c: Column | str, width: int) -> Column:
+    """The whole number of ``width`` in ``c``, rounded down; exact where a double would not be."""
+    c = F.col(c) if isinstance(c, str) else c
+    w = F.lit(width).cast("bigint")
+    return F.call_function("div", c.cast("bigint") - F.pmod(c.cast("bigint"), w), w)
+
+
 def is_zero(c: Column) -> Column:
     """Whether decimal text is zero, judged by its mantissa alone."""
     return c.rlike(r"^[+-]?[0.]+([eE].*)?$")
 
 
 def exact_percentile(values: Column, numerator: int, denominator: int, kind: str = "decimal(38,10)") -> Column:
-    """The linearly interpolated percentile numerator/denominator of an array of decimals, exactly.
+    """The linearly interpolated percentile numerator/denominator of an array of decimals up to (26,8), exactly.
 
     Null for an empty array; nulls in the array do not count.
     """
     a = F.array_sort(F.array_compact(values))
     pos = (F.size(a) - 1) * numerator
     lo, rem = F.floor(pos / denominator).cast("int"), pos % denominator
-    at = lambda i: F.get(a, i)
-    part = (at(lo) * (F.lit(denominator) - rem) + F.coalesce(at(lo + 1), at(lo)) * rem) / F.lit(denominator)
+    few = lambda x: x.cast("decimal(4,0)")
+    at = lambda i: F.get(a, i).cast("decimal(26,8)")
+    part = (at(lo) * few(F.lit(denominator) - rem) + F.coalesce(at(lo + 1), at(lo)) * few(rem)) / few(F.lit(denominator))
     return F.when(F.size(a) > 0, part).cast(kind)

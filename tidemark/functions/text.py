@@ -9,9 +9,10 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(s: pd.Series) -> pd.Series:
     """Unicode normal form C; null stays null."""
     return s.str.normalize("NFC")

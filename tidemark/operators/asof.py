@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import floor_div
+
 
 def asof(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, take: Sequence[str], forward: bool = False, ties: Sequence[str] = (), slice_of: int | None = None) -> DataFrame:
     """Each left row with ``take`` (and ``right_time``) of the last right row at or before its time.
@@ -25,7 +27,7 @@ def asof(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, r
     side = F.lit(0 if not forward else 1)
     both = left.withColumn("__t", F.col(left_time)).withColumn("__s", F.lit(1 if not forward else 0)).unionByName(r.withColumn("__s", side), allowMissingColumns=True)
     if slice_of:
-        both = both.withColumn("__p", F.floor(F.col("__t") / slice_of).cast("bigint"))
+        both = both.withColumn("__p", floor_div("__t", slice_of))
     order = Window.partitionBy(*k, *(["__p"] if slice_of else [])).orderBy("__t", "__s")
     frame = order.rowsBetween(0, Window.unboundedFollowing) if forward else order.rowsBetween(Window.unboundedPreceding, 0)
     near: Column = (F.first if forward else F.last)("__r", ignorenulls=True).over(frame)

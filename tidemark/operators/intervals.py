@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import floor_div
+
 DAY_NS = 86_400 * 10**9
 
 
@@ -96,5 +98,5 @@ def overlaps(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def by_day(df: DataFrame, day: int = DAY_NS) -> DataFrame:
     """Each interval cut at the bounds of days; ``day`` numbers them."""
-    src = proper(df).withColumn("day", F.explode(F.expr(f"sequence(lo div {day}, (hi - 1) div {day})")).cast("bigint"))
+    src = proper(df).withColumn("day", F.explode(F.sequence(floor_div("lo", day), floor_div(F.col("hi") - 1, day))))
     return src.withColumn("lo", F.greatest("lo", F.col("day") * day)).withColumn("hi", F.least("hi", (F.col("day") + 1) * day))

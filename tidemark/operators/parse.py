@@ -64,6 +64,12 @@ FIELDS: dict[str, list[tuple[str, tuple[str, ...], str]]] = {
 }
 
 
+_NUMBER = r"([0-9][0-9_]*\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+#: What decimals of each kind look like; above zero means a digit other than 0 before any exponent.
+_ALLOWED = {"dec": r"^\s*\+?(?=[0_.]*[1-9])" + _NUMBER, "dec0": r"^\s*(\+?|-(?=[0_.]*([eE]|\s*$)))" + _NUMBER, "dec±": r"^\s*[+-]?" + _NUMBER}
+_ALLOWED["dec?"] = _ALLOWED["dec0"]
+
+
 def _sign(text: Column) -> Column:
     """1, 0 or -1 by the text of a number; null where there is none."""
     zero = text.rlike(r"^\s*[+-]?[0._]+([eE].*)?$")
@@ -83,10 +89,8 @@ def _typed(raw: Column, kind: str) -> tuple[Column, Column]:
         v = F.transform(raw, lambda x: F.struct(canonical(F.get(x, 0)).alias("price"), canonical(F.get(x, 1)).alias("quantity")))
         fine = F.forall(raw, lambda x: F.coalesce((F.size(x) >= 2) & (_sign(F.get(x, 0)) == 1) & (_sign(F.get(x, 1)) >= 0), F.lit(False)))
         return v, F.coalesce(fine, F.lit(False))
-    v = canonical(raw)
-    allowed = {"dec": _sign(raw) == 1, "dec0": _sign(raw) >= 0, "dec?": _sign(raw) >= 0, "dec±": F.lit(True)}[kind]
-    ok = v.isNotNull() & F.coalesce(allowed, F.lit(False))
-    return v, ok if kind != "dec?" else raw.isNull() | ok
+    ok = F.coalesce(raw.rlike(_ALLOWED[kind]), F.lit(False))
+    return canonical(raw), ok if kind != "dec?" else raw.isNull() | ok
 
 
 def parsed(raw: DataFrame) -> DataFrame:
@@ -98,6 +102,25 @@ def parsed(raw: DataFrame) -> DataFrame:
     none), a wrong event name, an unknown stream and JSON that is none are errors. Values of a row
     with an error are not to be relied on.
     """
+    # streams that are only checked apart: a filter on the error would have it computed twice for all
+    checked = raw.where(~F.coalesce(F.col("stream_type").isin(*TYPED_STREAMS), F.lit(False)))
+    return _typed_rows(raw.where(F.col("stream_type").isin(*TYPED_STREAMS))).unionByName(_checked_rows(checked))
+
+
+def _checked_rows(raw: DataFrame) -> DataFrame:
+    """Rows of other than typed streams whose payload is not what it should be."""
+    stream = F.col("stream_type")
+    src = raw.withColumn("__k", F.schema_of_variant(F.try_parse_json(F.col("payload_bytes").cast("string"))))
+    error = (
+        F.when(~F.coalesce(stream.isin(*CHECKED_STREAMS), F.lit(False)), "unknown stream").when(F.col("__k").isNull(), "no JSON")
+        .when((stream == "market_tickers") & ~F.col("__k").startswith("ARRAY"), "no array").when(~stream.isin("market_tickers", "unknown") & ~F.col("__k").startswith("OBJECT"), "no object")
+    )
+    fixed = {"schema_version": F.lit(1), "exchange_symbol": F.upper("exchange_symbol"), "is_duplicate": F.lit(False)}
+    out = [fixed.get(f.name, F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in TYPED]
+    return src.select(*out, error.alias("error")).where("error is not null")
+
+
+def _typed_rows(raw: DataFrame) -> DataFrame:
     stream, d = F.col("stream_type"), F.col("__d")
     src = raw.withColumn("__v", F.try_parse_json(F.col("payload_bytes").cast("string")))
     src = src.withColumn("__d", F.coalesce(F.try_variant_get("__v", "$.data", "variant"), F.col("__v")))
@@ -112,19 +135,13 @@ def parsed(raw: DataFrame) -> DataFrame:
         "__e": text("$.e"),
         "__y": F.upper(F.coalesce(F.when(F.col("exchange_symbol") != "", F.col("exchange_symbol")), text("$.s"), text("$.o.s"))),
         "__h": F.sha2(F.to_json(d), 256),
-        "__k": F.schema_of_variant("__v"),
-        "__kd": F.schema_of_variant("__d"),
+        "__k": F.when(F.col("__v").isNull(), "no JSON").when(~F.ltrim(F.col("payload_bytes").cast("string")).startswith("{"), "no object"),
     }
     kept = [c for c in raw.columns if c != "payload_bytes"]
     src = src.select(*kept, *[c.alias(n) for n, c in read.items()])
 
     problems = [
-        (~stream.isin(*TYPED_STREAMS, *CHECKED_STREAMS), "unknown stream"),
-        (F.col("__k").isNull(), "no JSON"),
-        ((stream == "market_tickers") & ~F.col("__k").startswith("ARRAY"), "no array"),
-        (~stream.isin("market_tickers", "unknown") & ~F.col("__k").startswith("OBJECT"), "no object"),
-        (stream.isin(*TYPED_STREAMS) & ~F.col("__kd").startswith("OBJECT"), "no event data"),
-        (stream.isin(*[s for s in TYPED_STREAMS if s != "clock_sample"]) & F.coalesce("__y", F.lit("")).eqNullSafe(""), "no symbol"),
+        ((stream != "clock_sample") & F.coalesce("__y", F.lit("")).eqNullSafe(""), "no symbol"),
     ]
     problems += [((stream == s) & ~F.col("__e").eqNullSafe(name), f"event is not {name}") for s, name in EVENT_NAMES.items()]
     columns: dict[str, Column] = {}
@@ -135,12 +152,12 @@ def parsed(raw: DataFrame) -> DataFrame:
             value = value.when(stream.isin(*streams), v)
             problems.append((stream.isin(*streams) & ~F.coalesce(ok, F.lit(False)), f"bad {name}"))
         columns[name] = value
-    error = F
+    error = F.when(F.col("__k").isNotNull(), F.col("__k"))
     for bad, why in problems:
         error = error.when(bad, F.lit(why))
     columns |= {"schema_version": F.lit(1), "exchange_symbol": F.col("__y"), "payload_hash": F.unhex("__h"), "is_duplicate": F.lit(False)}
     out = [columns.get(f.name, F.col(f.name) if f.name in kept else F.lit(None)).cast(f.dataType).alias(f.name) for f in TYPED]
-    return src.select(*out, error.alias("error")).where(F.col("error").isNotNull() | F.col("stream_type").isin(*TYPED_STREAMS))
+    return src.select(*out, error.alias("error"))
 
 
 def typed_events(raw: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def by_weakest(df: DataFrame, key: str, metrics: Sequence[tuple[str, bool]], gro
 
 
 def percentile(df: DataFrame, by: Sequence[str], value: str, numerator: int, denominator: int, to: str, kind: str = "decimal(38,10)") -> DataFrame:
-    """The exact percentile of a decimal column per group, without a list of a group's values.
+    """The exact percentile of a decimal(26,8) column per group, without a list of a group's values.
 
     Values are counted first (combined on the map side), ordered by value within the group, and
     the two neighbours of the wanted place are picked from running counts.
@@ -46,7 +46,8 @@ def percentile(df: DataFrame, by: Sequence[str], value: str, numerator: int, den
     got = rows.groupBy(*by).agg(
         F.max(F.when(holds(lo), F.col("__x"))).alias("__a"), F.max(F.when(holds(lo + 1), F.col("__x"))).alias("__b"), F.max(F.col("__pos") % denominator).alias("__r")
     )
-    mixed = (F.col("__a") * (F.lit(denominator) - F.col("__r")) + F.coalesce("__b", "__a") * F.col("__r")) / F.lit(denominator)
+    x, few = (lambda c: c.cast("decimal(26,8)")), (lambda c: c.cast("decimal(4,0)"))
+    mixed = (x(F.col("__a")) * few(F.lit(denominator) - F.col("__r")) + x(F.coalesce("__b", "__a")) * few(F.col("__r"))) / few(F.lit(denominator))
     return got.select(*by, mixed.cast(kind).alias(to))
 
 

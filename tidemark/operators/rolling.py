@@ -18,7 +18,7 @@ def latest_daily(rows: DataFrame, entity: str, time_ms: str, version: str, metri
     Equal versions: the larger metrics, compared in their order, nulls lowest. A null version is
     the lowest. Null entity or time: ignored.
     """
-    pick = F.max(F.struct(F.col(version).alias("v"), *[c.alias(m) for m, c in metrics.items()]))
+    pick = F.max(F.struct(F.col(version).alias("__version"), *[c.alias(m) for m, c in metrics.items()]))
     day = F.expr(f"cast(floor(`{time_ms}` / {DAY_MS}) as bigint)")
     src = rows.where(F.col(entity).isNotNull() & F.col(time_ms).isNotNull())
     return src.groupBy(F.col(entity), day.alias("day")).agg(pick.alias("r")).select(entity, "day", *[F.col("r")[m].alias(m) for m in metrics])

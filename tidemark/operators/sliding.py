@@ -17,11 +17,11 @@ def running_max(df: DataFrame, time: str, order: Sequence[str], to: str, by: str
     ``by`` is the leading order column (a file or chunk number). Each of its values is scanned on
     its own; what came before it enters as the maximum of the earlier ones, from one row each.
     """
-    tops = df.groupBy(F.col(by).alias("__by")).agg(F.max(time).alias("__top"))
-    before = F.max("__top").over(Window.orderBy("__by").rowsBetween(Window.unboundedPreceding, -1))
-    tops = tops.select("__by", before.alias("__before"))
+    tops = df.groupBy(F.col(by).alias("__at")).agg(F.max(time).alias("__top"))
+    before = F.max("__top").over(Window.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1))
+    tops = tops.select("__at", before.alias("__before"))
     inside = F.max(time).over(Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return df.join(tops, df[by].eqNullSafe(F.col("__by"))).withColumn(to, F.greatest("__before", inside)).drop("__by", "__before")
+    return df.join(tops, F.col(by).eqNullSafe(F.col("__at"))).withColumn(to, F.greatest("__before", inside)).drop("__at", "__before")
 
 
 def flag(df: DataFrame, identity: Sequence[str], time: str, order: Sequence[str], by: str, window: int = WINDOW_NS, content: str | None = None, carry: DataFrame | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import floor_div
+
 #: Minutes in a block, blocks kept, imbalance that triggers a swap. Fixed values.
 BLOCK, KEPT, TRIGGER = 60, 24, 1.25
 MINUTE_NS = 60 * 10**9
@@ -15,7 +17,7 @@ MINUTE_NS = 60 * 10**9
 def per_slot(events: DataFrame, key: str, time: str, width: int = MINUTE_NS) -> DataFrame:
     """Events per key and slot of ``width`` time units. Null keys and times are left out."""
     src = events.where(F.col(key).isNotNull() & F.col(time).isNotNull())
-    return src.groupBy(F.col(key), F.floor(F.col(time) / F.lit(width)).cast("bigint").alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    return src.groupBy(F.col(key), floor_div(time, width).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def blocks(rates: DataFrame, key: str, seen: DataFrame, size: int = BLOCK) -> DataFrame:

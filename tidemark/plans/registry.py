@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import feeds
+from tidemark.plans import feeds, market
 
-MODULES = (feeds,)
+MODULES = (feeds, market)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
