@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import floor_div
 from tidemark.session import cut
 
 #: Doublings from the finest bucket to the tolerance.
@@ -36,7 +37,7 @@ def nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str
     k = list(by)
     whole = lambda df, t: df.where(F.col(t).isNotNull() & F.greatest(*[F.col(c).isNull() for c in k], F.lit(False)).eqNullSafe(F.lit(False)))
     width = max(1, -(-tolerance // (1 << rings)))
-    bucket = lambda t, w: F.floor(t / F.lit(w)).cast("bigint")
+    bucket = lambda t, w: floor_div(t, w)
     points = whole(right, right_time).groupBy(*k, F.col(right_time).alias("__r")).agg(F.max(right_value).alias("__v"))
     points = cut(points)
     open_rows = whole(left, left_time).select(*k, F.col(left_time).alias("__l")).distinct()
@@ -64,7 +65,7 @@ def nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str
                 F.min("__r").alias("lo"), F.max("__r").alias("hi"), F.min_by("__v", "__r").alias("lo_v"), F.max_by("__v", "__r").alias("hi_v")
             )
         else:
-            ends = sides.groupBy(*k, F.floor(F.col("__b") / 2).cast("bigint").alias("__b")).agg(
+            ends = sides.groupBy(*k, floor_div("__b", 2).alias("__b")).agg(
                 F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min_by("lo_v", "lo").alias("lo_v"), F.max_by("hi_v", "hi").alias("hi_v")
             )
         sides = cut(ends)
