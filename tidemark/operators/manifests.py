@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.schemas import PARQUET_TYPE
 from tidemark.session import small
 
 
@@ -21,8 +22,8 @@ def reference_errors(refs: DataFrame, manifests: DataFrame) -> DataFrame:
 
 def chunk_order(manifests: DataFrame) -> DataFrame:
     """Data chunks with ``chunk_ord``, their place by first receipt and id within collector and day."""
-    w = Window.partitionBy("collector_id", "utc_date").orderBy("min_receive_ns", "chunk_id")
-    return manifests.where(F.col("kind") == "PARQUET").withColumn("chunk_ord", F.row_number().over(w) - 1)
+    w = Window.partitionBy("collector_id", "utc_date").orderBy("min_app_receive_realtime_ns", "chunk_id")
+    return manifests.where(F.col("content_type").endswith(PARQUET_TYPE)).withColumn("chunk_ord", F.row_number().over(w) - 1)
 
 
 def file_errors(files: DataFrame, manifests: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def statistics_errors(rows: DataFrame, manifests: DataFrame, path: str = "data_p
     """Manifests whose count or range of receive times is not that of the rows in the file."""
     s = rows.groupBy(path).agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("lo"), F.max(time).alias("hi"))
     j = manifests.join(s.withColumnRenamed(path, "data_path"), "data_path", "left")
-    same = (F.coalesce("n", F.lit(0)) == F.col("event_count")) & F.col("lo").eqNullSafe(F.col("min_receive_ns")) & F.col("hi").eqNullSafe(F.col("max_receive_ns"))
+    same = (F.coalesce("n", F.lit(0)) == F.col("event_count")) & F.col("lo").eqNullSafe(F.col("min_app_receive_realtime_ns")) & F.col("hi").eqNullSafe(F.col("max_app_receive_realtime_ns"))
     return j.where(~same).select("chunk_id", "data_path", "event_count", "n", "lo", "hi")
 
 
@@ -90,7 +91,7 @@ def over_budget(days: DataFrame, budget: int, keep_from: str) -> DataFrame:
 
 def durable_watermark(chunks: DataFrame, groups: list[str]) -> DataFrame:
     """The time up to which all critical writer groups are stored; null unless each has a chunk."""
-    tops = chunks.where(F.col("writer_group").isin(groups)).groupBy("writer_group").agg(F.max("max_receive_ns").alias("top"))
+    tops = chunks.where(F.col("writer_group").isin(groups)).groupBy("writer_group").agg(F.max("max_app_receive_realtime_ns").alias("top"))
     return tops.agg(F.when(F.count(F.lit(1)) == len(groups), F.min("top")).alias("watermark_ns"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,21 +95,21 @@ def _typed(raw: Column, kind: str) -> tuple[Column, Column]:
     return canonical(raw), ok if kind != "dec?" else raw.isNull() | ok
 
 
-def parsed(raw: DataFrame) -> DataFrame:
+def parsed(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Typed rows of raw events, with ``error``: why a message could not be typed, else null.
 
     Streams that only are checked give a row only where the check fails. Each payload is parsed
     once into a VARIANT and each column read once from it, at the path of the row's stream. An
     unreadable field or one that breaks its sign rule, a missing symbol (only clock samples need
     none), a wrong event name, an unknown stream and JSON that is none are errors. Values of a row
-    with an error are not to be relied on.
+    with an error are not to be relied on. ``keep`` are further columns of the raw rows to carry along.
     """
     # streams that are only checked apart: a filter on the error would have it computed twice for all
     checked = raw.where(~F.coalesce(F.col("stream_type").isin(*TYPED_STREAMS), F.lit(False)))
-    return _typed_rows(raw.where(F.col("stream_type").isin(*TYPED_STREAMS))).unionByName(_checked_rows(checked))
+    return _typed_rows(raw.where(F.col("stream_type").isin(*TYPED_STREAMS)), keep).unionByName(_checked_rows(checked, keep))
 
 
-def _checked_rows(raw: DataFrame) -> DataFrame:
+def _checked_rows(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Rows of other than typed streams whose payload is not what it should be."""
     stream = F.col("stream_type")
     src = raw.withColumn("__k", F.schema_of_variant(F.try_parse_json(F.col("payload_bytes").cast("string"))))
@@ -117,10 +119,10 @@ def _checked_rows(raw: DataFrame) -> DataFrame:
     )
     fixed = {"schema_version": F.lit(1), "exchange_symbol": F.upper("exchange_symbol"), "is_duplicate": F.lit(False)}
     out = [fixed.get(f.name, F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in TYPED]
-    return src.select(*out, error.alias("error")).where("error is not null")
+    return src.select(*out, error.alias("error"), *keep).where("error is not null")
 
 
-def _typed_rows(raw: DataFrame) -> DataFrame:
+def _typed_rows(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
     stream, d = F.col("stream_type"), F.col("__d")
     src = raw.withColumn("__v", F.try_parse_json(F.col("payload_bytes").cast("string")))
     src = src.withColumn("__d", F.coalesce(F.try_variant_get("__v", "$.data", "variant"), F.col("__v")))
@@ -157,7 +159,7 @@ def _typed_rows(raw: DataFrame) -> DataFrame:
         error = error.when(bad, F.lit(why))
     columns |= {"schema_version": F.lit(1), "exchange_symbol": F.col("__y"), "payload_hash": F.unhex("__h"), "is_duplicate": F.lit(False)}
     out = [columns.get(f.name, F.col(f.name) if f.name in kept else F.lit(None)).cast(f.dataType).alias(f.name) for f in TYPED]
-    return src.select(*out, error.alias("error"))
+    return src.select(*out, error.alias("error"), *keep)
 
 
 def typed_events(raw: DataFrame) -> DataFrame:

@@ -517,7 +517,7 @@ def retention_expired(spark, d):
 
 @query("with t as (select case when stream_type in ('depth', 'rpi_depth', 'depth_snapshot', 'rpi_depth_snapshot') then 'depth' when stream_type in ('agg_trade', 'trade', 'book_ticker', 'mark_price', 'force_order') then 'trades_market' else 'metadata' end g, max(app_receive_realtime_ns) m from typed_events group by 1) select case when count(*) = 2 then min(m) end watermark_ns from t where g in ('depth', 'trades_market')")
 def durable_watermark(spark, d):
-    chunks = _t(spark, d, "typed_events").groupBy(parse.writer_group("stream_type").alias("writer_group"), F.expr(f"app_receive_realtime_ns div {_HOUR}")).agg(F.max("app_receive_realtime_ns").alias("max_receive_ns"))
+    chunks = _t(spark, d, "typed_events").groupBy(parse.writer_group("stream_type").alias("writer_group"), F.expr(f"app_receive_realtime_ns div {_HOUR}")).agg(F.max("app_receive_realtime_ns").alias("max_app_receive_realtime_ns"))
     return manifests.durable_watermark(chunks, ["depth", "trades_market"])
 
 

@@ -54,7 +54,7 @@ PROJECTION = _struct(
 
 GAP = T.StructType([
     T.StructField("schema_version", T.IntegerType()),
-    *[T.StructField(n, _STR) for n in ("gap_id", "collector_id", "state", "reason")],
+    *[T.StructField(n, _STR) for n in ("gap_id", "collector_id", "connection_id", "state", "reason")],
     T.StructField("observed_at_realtime_ns", _LONG),
     T.StructField("affected_from_realtime_ns", _LONG),
     T.StructField("exchange_symbols", T.ArrayType(_STR)),
@@ -62,11 +62,13 @@ GAP = T.StructType([
     T.StructField("detail", _STR),
 ])
 
-CHUNK = _struct((_STR, "chunk_id sha256 manifest_path"))
-MANIFEST = T.StructType([
-    *[T.StructField(n, _STR) for n in ("chunk_id", "collector_id", "writer_group", "utc_date", "data_path", "kind", "sha256", "contract_hash", "universe_hash")],
-    *[T.StructField(n, _LONG) for n in ("size_bytes", "event_count", "min_receive_ns", "max_receive_ns")],
-])
+CHUNK = _struct((_STR, "chunk_id data_path sha256"), (_LONG, "size_bytes"), (_STR, "content_type"))
+MANIFEST = _struct(
+    (_STR, "chunk_id data_path sha256"), (_LONG, "size_bytes"), (_STR, "content_type collector_id writer_group utc_date"),
+    (_LONG, "event_count min_app_receive_realtime_ns max_app_receive_realtime_ns"), (_STR, "data_contract_hash universe_hash created_at"),
+)
+#: What the content type of a chunk of events, and of a gap fact, ends in. Fixed values.
+PARQUET_TYPE, GAP_TYPE = "parquet", "gap+json"
 DAY = T.StructType([T.StructField("collector_id", _STR), T.StructField("utc_date", _STR), T.StructField("chunks", T.ArrayType(CHUNK))])
 
 #: Streams that give typed rows, and those that are only checked. Fixed values.
@@ -77,7 +79,7 @@ WRITER_GROUPS = {
     "depth": ("depth", "rpi_depth", "depth_snapshot", "rpi_depth_snapshot"),
     "trades_market": ("agg_trade", "trade", "book_ticker", "mark_price", "force_order"),
 }
-GAP_REASONS = ("INGEST_OVERLOAD", "STORAGE_EXHAUSTED", "CONNECTION_LOST", "L2_SEQUENCE", "L2_REANCHOR", "PLANNED_BOUNDARY", "COLLECTOR_STOPPED")
+GAP_REASONS = tuple(f"{r}_GAP" for r in ("INGEST_OVERLOAD", "STORAGE_EXHAUSTED", "CONNECTION_LOST", "L2_SEQUENCE", "L2_REANCHOR", "PLANNED_BOUNDARY", "COLLECTOR_STOPPED"))
 
 
 def require(df: DataFrame, schema: T.StructType) -> DataFrame:
