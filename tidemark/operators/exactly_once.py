@@ -57,10 +57,15 @@ def identity(streams: Sequence[str] | None = None) -> tuple[dict[str, Column], C
     return {"__is": F.col("stream_type"), "__iy": F.col("exchange_symbol"), **cols}, has & F.col("exchange_symbol").isNotNull()
 
 
+def _file(path: str) -> Column:
+    """A file's name as a number; schemes are followed by one slash or by three in different places."""
+    return F.xxhash64(F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/"))
+
+
 def with_position(spark: SparkSession, *paths: str) -> DataFrame:
     """A Parquet table with each row's file (hashed name) and place in it."""
     df = spark.read.parquet(*paths)
-    return df.select("*", F.xxhash64("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    return df.select("*", _file("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
 
 
 def losers(rows: DataFrame, key: dict[str, Column], has: Column, order: Sequence[str], carry: Sequence[str] = ("__file", "__row")) -> DataFrame:
@@ -107,8 +112,10 @@ def _scans(spark: SparkSession, path: str, vectors: DataFrame) -> list[tuple[lis
     if n * VECTOR_SPAN // 8 <= VECTOR_BYTES:
         return [([path], vectors)]
     # one row per file; the driver lists the files anyway
-    files = spark.createDataFrame([(f,) for f in spark.read.parquet(path).inputFiles()], "file string").select("file", F.xxhash64("file").alias("__file"))
+    files = spark.createDataFrame([(f,) for f in spark.read.parquet(path).inputFiles()], "file string").select("file", _file("file").alias("__file"))
     sizes = files.join(vectors.groupBy("__file").count(), "__file", "left").fillna(0, ["count"]).orderBy("file").collect()
+    if sum(r["count"] for r in sizes) != n:
+        raise ValueError("deletion vectors for files that the table does not have")
     groups: list[tuple[list, int]] = []
     for r in sizes:
         if not groups or groups[-1][1] + r["count"] > max(1, VECTOR_BYTES * 8 // VECTOR_SPAN):
