@@ -53,10 +53,11 @@ def fit(counts: dict[int, int], budget: int) -> dict[int, int]:
     for n in sorted(counts, reverse=True):
         if rest <= EXACT:
             break
-        more = min(counts[n] - take[n], (rest - EXACT) // n)
+        need = rest - EXACT
+        more = min(counts[n] - take[n], -(-need // n) if n <= EXACT else need // n)
         take[n] += more
         rest -= more * n
-    rest_of = min(rest, EXACT)
+    rest_of = min(rest, 8 * EXACT)  # more than EXACT only where what is left are longer documents
     reach = np.zeros(rest_of + 1, bool)
     reach[0] = True
     via = np.full(rest_of + 1, -1, np.int64)
