@@ -139,6 +139,8 @@ def _typed_rows(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
         "__h": F.sha2(F.to_json(d), 256),
         "__k": F.when(F.col("__v").isNull(), "no JSON").when(~F.ltrim(F.col("payload_bytes").cast("string")).startswith("{"), "no object"),
     }
+    # never negative; a filter on the error must not be moved below this step, or all is read twice
+    read["__n"] = F.monotonically_increasing_id()
     kept = [c for c in raw.columns if c != "payload_bytes"]
     src = src.select(*kept, *[c.alias(n) for n, c in read.items()])
 
@@ -154,7 +156,7 @@ def _typed_rows(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
             value = value.when(stream.isin(*streams), v)
             problems.append((stream.isin(*streams) & ~F.coalesce(ok, F.lit(False)), f"bad {name}"))
         columns[name] = value
-    error = F.when(F.col("__k").isNotNull(), F.col("__k"))
+    error = F.when(F.col("__k").isNotNull(), F.col("__k")).when(F.col("__n") < 0, "no place")
     for bad, why in problems:
         error = error.when(bad, F.lit(why))
     columns |= {"schema_version": F.lit(1), "exchange_symbol": F.col("__y"), "payload_hash": F.unhex("__h"), "is_duplicate": F.lit(False)}
