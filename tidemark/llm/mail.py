@@ -33,14 +33,17 @@ _CLOSING = re.compile(
     r"|saludos|un cordial saludo|un saludo|atentamente|cordialement|merci|bien à vous|amicalement|sincères salutations)\b",
     re.I,
 )
-#: How notices that are appended by machines begin, or what gives them away. Fixed values.
-_NOTICE = re.compile(
-    r"confidentiality notice|may contain privileged information|views expressed herein|nachricht ist vertraulich|mensaje es confidencial|message est confidentiel|ce (?:message|courriel).{0,40}confidentiel"
-    r"|you get this mail as you are on|to unsubscribe|think of the trees|scanned on arrival|vorgesehene empfänger|intended (?:recipient|addressee)|prohibida su divulgación|toute diffusion non autorisée",
-    re.I,
-)
-#: Mails that no author wrote. Fixed values.
-_AUTOMATIC = re.compile(r"this is an automatic reply|your ticket was opened|delivery has failed|automatische antwort|respuesta automática|réponse automatique|mail delivery failed|out of office", re.I)
+#: What gives away notices that machines append. Fixed values, in lower case.
+_NOTICES = (
+    "confidentiality notice", "may contain privileged information", "views expressed herein", "intended recipient", "intended addressee", "you get this mail as you are on", "to unsubscribe",
+    "think of the trees", "scanned on arrival", "nachricht ist vertraulich", "vorgesehene empfänger", "mensaje es confidencial", "prohibida su divulgación",
+    "message est confidentiel", "courriel est confidentiel", "toute diffusion non autorisée",
+)
+#: Mails that no author wrote. Fixed values, in lower case.
+_AUTOMATIC = (
+    "this is an automatic reply", "your ticket was opened", "delivery has failed", "mail delivery failed", "out of office",
+    "automatische antwort", "respuesta automática", "réponse automatique",
+)
 _GREETING = re.compile(r"\s*(?:hi|hello|dear|hey|hallo|liebe[rs]?|guten tag|sehr geehrte\w*|hola|estimad\w+|buenos días|buenas tardes|querid\w+|bonjour|salut|chers?|chère)\b[^.!?\n]{0,40},?\s*$", re.I)
 
 
@@ -123,6 +126,10 @@ def repair(text: str) -> str:
     return text
 
 
+def _colon(line: str) -> bool:
+    return line.rstrip()[-1:] == ":"
+
+
 def _below(lines: list[str], marker: int) -> int:
     """Where the reply starts that stands below an unmarked original: behind a wider gap, else at a
     second greeting, the first marked quote or the first broken sentence, else nowhere."""
@@ -133,7 +140,7 @@ def _below(lines: list[str], marker: int) -> int:
             return j
     written = [j for j in range(body, n) if lines[j].strip()]
     greeted = [j for j in written[2:] if _GREETING.match(lines[j])]
-    marked = [j for j in written if _QUOTE.match(lines[j]) or _SAID.search(lines[j])]
+    marked = [j for j in written if _QUOTE.match(lines[j]) or _colon(lines[j]) and _SAID.search(lines[j])]
     # a paragraph of the original that breaks off without a stop was cut by the reply
     broken = [j + 1 for j in written if j + 1 < n and not lines[j + 1].strip() and lines[j].rstrip()[-1:] not in ".!?,:;" and lines[j].rstrip()[-1:].isalpha()]
     return min([*greeted[:1], *marked[:1], *broken[:1]], default=n)
@@ -149,8 +156,10 @@ def author(raw: str | None) -> str:
         return ""
     text = _CONTROL.sub("", raw.replace("\r\n", "\n").replace("\r", "\n")).lstrip("\ufeff\n")
     text = repair(_texts(*_headers(text)))
-    if _AUTOMATIC.search(text):
+    low = text.lower()
+    if any(x in low for x in _AUTOMATIC):
         return ""
+    noticed = any(x in low for x in _NOTICES)
     kept: list[str] = []
     lines = text.split("\n")
     i, n = 0, len(lines)
@@ -162,12 +171,12 @@ def author(raw: str | None) -> str:
             continue
         if _QUOTE.match(line):
             continue
-        if _SAID.search(line):
+        if _colon(line) and _SAID.search(line):
             # an introduction that began on the line before
             if kept and kept[-1] and not _SAID_START.match(line) and _SAID_START.match(kept[-1]):
                 kept.pop()
             continue
-        if _SAID_START.match(line) and i < n and _SAID.search(lines[i]):
+        if i < n and _colon(lines[i]) and _SAID_START.match(line) and _SAID.search(lines[i]):
             i += 1
             continue
         if _ORIGINAL.match(line):
@@ -177,7 +186,9 @@ def author(raw: str | None) -> str:
             continue
         if _RULER.match(line) or _DASHES.match(line):
             break
-        if _CLOSING.match(line) and len(line) < 60 and line.rstrip()[-1:] in ",.!" or _NOTICE.search(line):
+        if _CLOSING.match(line) and len(line) < 60 and line.rstrip()[-1:] in ",.!":
+            break
+        if noticed and any(x in line.lower() for x in _NOTICES):
             break
         if _GREETING.match(line):
             continue
