@@ -64,12 +64,13 @@ def intersect(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
     A sweep over the bounds of the two unions instead of a join of all pairs: between two
     neighbouring bounds the number of open intervals of each side is constant.
     """
-    sides = [merge(x, by).select(*by, F.explode(F.array(F.struct(F.col("lo").alias("t"), F.lit(1).alias("d")), F.struct(F.col("hi").alias("t"), F.lit(-1).alias("d")))).alias("e"), F.lit(i).alias("s")) for i, x in enumerate((a, b))]
-    steps = sides[0].unionByName(sides[1]).groupBy(*by, F.col("e.t").alias("t")).agg(*[F.sum(F.when(F.col("s") == i, F.col("e.d")).otherwise(0)).alias(f"d{i}") for i in (0, 1)])
-    w = Window.partitionBy(*by).orderBy("t")
+    ends = F.explode(F.array(F.struct(F.col("lo").alias("t"), F.lit(1).alias("d")), F.struct(F.col("hi").alias("t"), F.lit(-1).alias("d")))).alias("__e")
+    sides = [merge(x, by).select(*by, ends, F.lit(i).alias("__side")) for i, x in enumerate((a, b))]
+    steps = sides[0].unionByName(sides[1]).groupBy(*by, F.col("__e.t").alias("__t")).agg(*[F.sum(F.when(F.col("__side") == i, F.col("__e.d")).otherwise(0)).alias(f"__d{i}") for i in (0, 1)])
+    w = Window.partitionBy(*by).orderBy("__t")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    open_ = steps.select(*by, F.col("t").alias("lo"), F.lead("t").over(w).alias("hi"), F.sum("d0").over(run).alias("n0"), F.sum("d1").over(run).alias("n1"))
-    return merge(open_.where((F.col("n0") > 0) & (F.col("n1") > 0)).select(*by, "lo", "hi"), by)
+    open_ = steps.select(*by, F.col("__t").alias("lo"), F.lead("__t").over(w).alias("hi"), F.sum("__d0").over(run).alias("__n0"), F.sum("__d1").over(run).alias("__n1"))
+    return merge(open_.where((F.col("__n0") > 0) & (F.col("__n1") > 0)).select(*by, "lo", "hi"), by)
 
 
 def extend(bad: DataFrame, good: DataFrame, by: Sequence[str], end: Column | int) -> DataFrame:
@@ -80,14 +81,15 @@ def extend(bad: DataFrame, good: DataFrame, by: Sequence[str], end: Column | int
     that reaches furthest among those started before and at the first one to start after.
     """
     e = end if isinstance(end, Column) else F.lit(end)
-    g = merge(good, by).select(*by, F.col("lo").alias("t"), F.lit(0).alias("k"), F.col("hi").alias("g_hi"), F.lit(None).cast("bigint").alias("b_lo"))
-    b = proper(bad).select(*by, F.col("hi").alias("t"), F.lit(1).alias("k"), F.lit(None).cast("bigint").alias("g_hi"), F.col("lo").alias("b_lo"))
-    w = Window.partitionBy(*by).orderBy("t", "k")
-    reach = F.max("g_hi").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.min(F.when(F.col("k") == 0, F.col("t"))).over(w.rowsBetween(1, Window.unboundedFollowing))
+    null = F.lit(None).cast("bigint")
+    g = merge(good, by).select(*by, F.col("lo").alias("__t"), F.lit(0).alias("__kind"), F.col("hi").alias("__until"), null.alias("__lo"))
+    b = proper(bad).select(*by, F.col("hi").alias("__t"), F.lit(1).alias("__kind"), null.alias("__until"), F.col("lo").alias("__lo"))
+    w = Window.partitionBy(*by).orderBy("__t", "__kind")
+    reach = F.max("__until").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    nxt = F.min(F.when(F.col("__kind") == 0, F.col("__t"))).over(w.rowsBetween(1, Window.unboundedFollowing))
     both = g.unionByName(b).withColumn("__reach", reach).withColumn("__next", nxt)
-    stays = F.coalesce(F.col("__reach") > F.col("t"), F.lit(False))
-    return proper(both.where("k = 1").select(*by, F.col("b_lo").alias("lo"), F.when(stays, F.col("t")).otherwise(F.coalesce("__next", e.cast("bigint"))).alias("hi")))
+    stays = F.coalesce(F.col("__reach") > F.col("__t"), F.lit(False))
+    return proper(both.where("__kind = 1").select(*by, F.col("__lo").alias("lo"), F.when(stays, F.col("__t")).otherwise(F.coalesce("__next", e.cast("bigint"))).alias("hi")))
 
 
 def overlaps(df: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import asof, book, exactly_once, intervals, manifests, parse, quality, ranking, sliding, traffic
+from tidemark.operators import asof, book, exactly_once, intervals, manifests, parse, quality, ranking, skew, sliding, traffic
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -274,7 +274,7 @@ def sequence_breaks(spark, d):
 
 
 def _day(spark, d):
-    rows = _t(spark, d, "l2_projection").withColumn("ord", F.row_number().over(Window.partitionBy("exchange_symbol").orderBy("app_receive_realtime_ns", "connection_id", "receive_seq")).cast("bigint"))
+    rows = skew.number_in_order(_t(spark, d, "l2_projection"), ["exchange_symbol"], ["app_receive_realtime_ns", "connection_id", "receive_seq"], to="ord")
     lo, hi = rows.agg(F.min("app_receive_realtime_ns"), F.max("app_receive_realtime_ns") + 1).first()
     return book.rebuild(rows, None, lo or 0, hi or 1)
 

@@ -57,6 +57,12 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Delete all tables that :func:`cut` has written to the shared folder. Call when no result is read any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/tidemark")
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no more than that many."""
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
