@@ -312,7 +312,7 @@ _PCT = lambda c, by, src, n, m, out: f"""(select {by}, cast((a * ({m} - r) + b *
 
 
 @query(f"with {_DAILY} select s exchange_symbol, round(q25_volume, 6) q25_volume, round(q25_trades, 6) q25_trades from {_PCT('v', 's', 'k', 1, 4, 'q25_volume')} full join {_PCT('t', 's', 'k', 1, 4, 'q25_trades')} using (s)")
-def p25_metrics(spark, d):
+def quartile_metrics(spark, d):
     bars = _bars(spark, d).withColumn("t", F.col("t").cast("decimal(20,0)"))
     a, b = (ranking.percentile(bars, ["exchange_symbol"], c, 1, 4, n) for c, n in (("v", "q25_volume"), ("t", "q25_trades")))
     return a.join(b, "exchange_symbol", "full").select("exchange_symbol", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in ("q25_volume", "q25_trades")])
