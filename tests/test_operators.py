@@ -191,3 +191,35 @@ def test_evidence_files(spark, tmp_path):
     (tmp_path / "d.json").write_text('{"book_tickers":[{"sample":0,"payload":[{"symbol":"A","bidPrice":"99.99","askPrice":"100.01"}]}],"symbols":{"A":[{"payload":{"bids":[["99.99","1000"]],"asks":[["100.01","1000"]]}}]}}')
     assert float(evidence.ticker_spreads(spark, f"{tmp_path}/d.json").first().spread_bps) == pytest.approx(2.0)
     assert ranking.band_depth(evidence.book_levels(spark, f"{tmp_path}/d.json"), ["symbol", "sample"], 10).first()["depth_10bps"] == Decimal(99990)
+
+
+def test_gap_journal_and_constraints(spark):
+    cols = "gap_id string, state string, reason string, observed_at_realtime_ns bigint, affected_from_realtime_ns bigint"
+    facts = spark.createDataFrame([("gap-00001", "OPEN", "CONNECTION_LOST_GAP", 5, 3), ("gap-00001", "CLOSED", "CONNECTION_LOST_GAP", 9, None), ("gap-00002", "OPEN", "L2_SEQUENCE_GAP", 7, None), ("bad", "WHAT", None, None, 3), ("gap-00003", "CLOSED", "L2_SEQUENCE_GAP", 1, 2)], cols)
+    assert [r.gap_id for r in quality.open_gaps(facts).collect()] == ["gap-00002"]
+    got = sorted((r.gap_id, r.rule) for r in quality.gap_violations(facts).collect())
+    assert got == [("bad", "gap_id"), ("bad", "observed_at"), ("bad", "reason"), ("bad", "state"), ("gap-00003", "affected_after_observed"), ("gap-00003", "closing_with_start")]
+
+
+def test_minute_tiers(spark):
+    data = [(m, s, not (day == 1 and m % 1440 in (5, 6, 7, 8)) and not (day == 0 and m == 9 and s == "A")) for day in (0, 1) for m in range(day * 1440, day * 1440 + 1440) for s in "AB"]
+    got = {r.utc_day: r for r in quality.minute_tiers(spark.createDataFrame(data, "minute bigint, exchange_symbol string, ok boolean"), 2, 2).collect()}
+    assert got[0].tier == "99.9" and got[0].longest_bad == 1 and got[1].tier == "none" and got[1].longest_bad == 4
+
+
+def test_day_bookkeeping(spark):
+    sym = spark.createDataFrame([("A",), ("B",), (None,)], "exchange_symbol string")
+    have = spark.createDataFrame([("A", 1), ("A", 2), ("B", 2), ("C", 1)], "exchange_symbol string, day bigint")
+    assert rows(manifests.missing_days(have, sym, 1, 2)) == [("B", 1)] and not manifests.missing_days(have, sym, 3, 2).count()
+    h = "a" * 64
+    cols = "chunk_id string, sha256 string, data_path string, size_bytes bigint, event_count bigint, min_app_receive_realtime_ns bigint, max_app_receive_realtime_ns bigint, data_contract_hash string, universe_hash string"
+    m = spark.createDataFrame([("chunk-001", h, "date=1/writer=x/a.parquet", 1, 1, 1, 2, h, h), ("x", "q", "../a", 0, None, 3, 2, h, None)], cols)
+    assert sorted(r.rule for r in manifests.manifest_violations(m).collect()) == sorted(["chunk_id", "sha256", "data_path", "size_bytes", "event_count", "range", "universe_hash"])
+    p = spark.createDataFrame([("r", "c", "d1", "h"), ("r", "c", "d1", "h"), ("r", "c", "d2", "h"), ("r", "c", "d2", "i")], "release_id string, collector_id string, utc_date string, sealed_sha256 string")
+    assert sorted((r.utc_date, r.conflict) for r in manifests.pins(p).collect()) == [("d1", False), ("d2", True)]
+    days = spark.createDataFrame([("d1",), ("d2",), ("d3",)], "utc_date string")
+    sealed, norm = spark.createDataFrame([("d1",), ("d2",)], "utc_date string"), spark.createDataFrame([("d1",)], "utc_date string")
+    books = spark.createDataFrame([("d1", "A"), ("d2", "A"), ("d2", "B")], "utc_date string, exchange_symbol string")
+    assert sorted((r.utc_date, r.state) for r in manifests.progress(days, {"sealed": sealed, "normalized": norm, "books": books}, 2).collect()) == [("d1", "normalized"), ("d2", "sealed"), ("d3", "missing")]
+    off, dur = spark.createDataFrame([("1", "a"), ("2", "b")], "chunk_id string, sha256 string"), spark.createDataFrame([("1", "a"), ("2", "x")], "chunk_id string, sha256 string")
+    assert rows(manifests.not_durable(off, dur)) == [("2", "b")]

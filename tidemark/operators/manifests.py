@@ -101,3 +101,56 @@ def projection_report(rows: DataFrame, universe: DataFrame) -> DataFrame:
     u = universe.select("exchange_symbol").distinct().withColumn("__in", F.lit(True))
     j = counts.join(u, "exchange_symbol", "left").withColumn("ignored", F.col("__in").isNull()).drop("__in")
     return j.withColumn("schedule", F.row_number().over(Window.partitionBy("ignored").orderBy(F.desc("rows"), "exchange_symbol")))
+
+
+def manifest_violations(manifests: DataFrame) -> DataFrame:
+    """Manifests that break a rule, with ``rule``: one row per rule broken."""
+    sha = r"^[0-9a-f]{64}$"
+    fails = lambda c: ~F.coalesce(c, F.lit(False))
+    rules = {
+        "chunk_id": fails(F.length("chunk_id").between(8, 160)),
+        "sha256": fails(F.col("sha256").rlike(sha)),
+        "data_path": fails(~F.col("data_path").rlike(r"(^/)|(^|/)\.\.?(/|$)")),
+        "size_bytes": fails(F.col("size_bytes") > 0),
+        "event_count": fails(F.col("event_count") > 0),
+        "range": fails((F.col("min_app_receive_realtime_ns") >= 0) & (F.col("max_app_receive_realtime_ns") >= F.col("min_app_receive_realtime_ns"))),
+        "data_contract_hash": fails(F.col("data_contract_hash").rlike(sha)),
+        "universe_hash": fails(F.col("universe_hash").rlike(sha)),
+    }
+    return manifests.withColumn("rule", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))))
+
+
+def pins(days: DataFrame) -> DataFrame:
+    """The days of a release, ordered, each with the hash of its seal; days pinned with two hashes have ``conflict``."""
+    return days.groupBy("release_id", "collector_id", "utc_date").agg(F.min("sealed_sha256").alias("sealed_sha256"), (F.count_distinct("sealed_sha256") > 1).alias("conflict"))
+
+
+def missing_days(have: DataFrame, entities: DataFrame, first: int, last: int, entity: str = "exchange_symbol") -> DataFrame:
+    """(entity, day) pairs from ``first`` to ``last`` without a bar: what an incremental fetch still has to get."""
+    calendar = entities.select(entity).where(F.col(entity).isNotNull()).distinct().withColumn("day", F.explode(F.sequence(F.lit(first).cast("bigint"), F.lit(last).cast("bigint")))) if last >= first else entities.select(entity, F.lit(0).cast("bigint").alias("day")).limit(0)
+    return calendar.join(have.select(entity, F.col("day").cast("bigint").alias("day")).distinct(), [entity, "day"], "left_anti")
+
+
+def not_durable(offered: DataFrame, durable: DataFrame) -> DataFrame:
+    """Offered chunks that are not stored yet with the same hash."""
+    d = durable.select("chunk_id", "sha256").distinct()
+    return offered.join(d, ["chunk_id", "sha256"], "left_anti")
+
+
+def progress(days: DataFrame, stages: dict[str, DataFrame], expected: int) -> DataFrame:
+    """How far each day of ``days`` (``utc_date``) is: the last stage reached, and its number of symbols.
+
+    ``stages`` in their order; each has ``utc_date`` and, where it goes by symbol, ``exchange_symbol``.
+    A stage by symbol is reached when ``expected`` symbols are there.
+    """
+    out, names = days.select("utc_date").distinct(), []
+    for name, df in stages.items():
+        by_symbol = "exchange_symbol" in df.columns
+        n = F.count_distinct("exchange_symbol") if by_symbol else F.count(F.lit(1))
+        out = out.join(df.groupBy("utc_date").agg(n.alias(name)), "utc_date", "left").fillna(0, [name])
+        names.append((name, F.col(name) >= (expected if by_symbol else 1)))
+    state, so_far = F.lit("missing"), F.lit(True)
+    for name, done in names:
+        so_far = so_far & done
+        state = F.when(so_far, name).otherwise(state)
+    return out.withColumn("state", state)

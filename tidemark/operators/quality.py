@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import intervals
+from tidemark.schemas import GAP_REASONS
 
 #: Permille of a window that must be valid. Fixed value.
 VALID_PER_MILLE = 999
@@ -100,3 +101,36 @@ def audit(events: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("events"), F.sum(d("quantity")).alias("quantity"), F.sum(d("price") * d("quantity")).cast("decimal(38,16)").alias("notional"),
         F.sum(d("non_rpi_quantity")).alias("non_rpi_quantity"), F.sum(F.greatest(levels, F.lit(0))).cast("bigint").alias("level_updates"),
     )
+
+
+def open_gaps(facts: DataFrame) -> DataFrame:
+    """Gaps whose latest fact is an opening: still open."""
+    last = facts.groupBy("gap_id").agg(F.max_by(F.struct("state", "reason", "observed_at_realtime_ns"), F.struct(effective_ns().alias("t"), F.col("state"))).alias("f"))
+    return last.select("gap_id", "f.*").where("state = 'OPEN'")
+
+
+def gap_violations(facts: DataFrame) -> DataFrame:
+    """Gap facts that break a rule, with ``rule``: one row per rule broken."""
+    since, seen = F.col("affected_from_realtime_ns"), F.col("observed_at_realtime_ns")
+    fails = lambda c: ~F.coalesce(c, F.lit(False))
+    rules = {
+        "gap_id": fails(F.length("gap_id").between(8, 160)), "state": fails(F.col("state").isin("OPEN", "CLOSED")), "reason": fails(F.col("reason").isin(*GAP_REASONS)), "observed_at": fails(seen >= 0),
+        "affected_after_observed": F.coalesce(since > seen, F.lit(False)), "closing_with_start": (F.col("state") == "CLOSED") & since.isNotNull(),
+    }
+    return facts.withColumn("rule", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))))
+
+
+def minute_tiers(minutes: DataFrame, symbols: int, least: int) -> DataFrame:
+    """Per day: share of minutes in which at least ``least`` of ``symbols`` are valid, longest run of others, and the tier.
+
+    ``minutes`` has ``minute`` (number since the epoch), ``exchange_symbol`` and ``ok``, every minute
+    of the day. Tiers by share: 99.9, 99.8, 99.5, 99.0 or none; a run over three minutes gives none.
+    """
+    m = minutes.groupBy("minute").agg(F.count_if("ok").alias("n")).withColumn("utc_day", F.expr("minute div 1440")).withColumn("good", F.col("n") >= min(least, symbols))
+    m = m.withColumn("run", F.col("minute") - F.row_number().over(Window.partitionBy("utc_day", "good").orderBy("minute")))
+    runs = m.groupBy("utc_day", "good", "run").agg(F.count(F.lit(1)).alias("len"))
+    d = runs.groupBy("utc_day").agg((F.sum(F.when(F.col("good"), F.col("len")).otherwise(0)) / F.sum("len")).alias("share"), F.coalesce(F.max(F.when(~F.col("good"), F.col("len"))), F.lit(0)).alias("longest_bad"))
+    tier = F.lit("none")
+    for t in ("99.0", "99.5", "99.8", "99.9"):
+        tier = F.when(F.col("share") >= float(t) / 100, t).otherwise(tier)
+    return d.withColumn("tier", F.when(F.col("longest_bad") > 3, "none").otherwise(tier))
