@@ -32,7 +32,8 @@ def flag(df: DataFrame, identity: Sequence[str], time: str, order: Sequence[str]
     boundary counts); each observation, duplicate or not, refreshes its identity. It is in
     conflict if it is a duplicate of other ``content``. Rows with a null in ``identity`` are never
     duplicates and do not move the largest time. ``carry`` are observations of an earlier run
-    (identity, time and content), which come first.
+    (identity, time and content, one each), which come first. ``by`` is a whole number from 0 on.
+    No task has more of an identity than one part of the source.
 
     Rows are never dropped. A column ``is_duplicate`` or ``in_conflict`` in the input is replaced.
     """
@@ -43,13 +44,17 @@ def flag(df: DataFrame, identity: Sequence[str], time: str, order: Sequence[str]
     named = rows.where(known).withColumn("__carried", F.lit(False))
     if carry is not None:
         named = named.unionByName(carry.withColumn("__carried", F.lit(True)), allowMissingColumns=True)
-    named = named.withColumn("__by", F.when(F.col("__carried"), None).otherwise(F.col(by)))
+    named = named.withColumn("__by", F.when(F.col("__carried"), F.lit(-1)).otherwise(F.col(by)).cast("bigint"))
     named = running_max(named, time, order, "__seen", "__by")
-    at = Window.partitionBy(*identity).orderBy(F.col("__by").asc_nulls_first(), *order)
-    named = named.withColumn("__last", F.lag(time).over(at))
-    dup = F.coalesce(F.col("__last") >= F.col("__seen") - window, F.lit(False))
-    other = F.lag(content).over(at) != F.col(content) if content else F.lit(False)
-    named = named.withColumn("__other", other).where(~F.col("__carried"))
+    seen = F.struct(F.col(time).alias("t"), (F.col(content) if content else F.lit(None)).alias("c"))
+    # inside a part of the source by its order; what an identity had before it comes from one row per part
+    ends = named.groupBy(*identity, "__by").agg(F.max_by(seen, F.struct(*order)).alias("__end"))
+    ends = ends.withColumn("__before", F.lag("__end").over(Window.partitionBy(*identity).orderBy("__by"))).drop("__end")
+    named = named.join(ends, [*identity, "__by"])
+    inside = F.lag(seen).over(Window.partitionBy(*identity, "__by").orderBy(*order))
+    named = named.withColumn("__last", F.coalesce(inside, F.col("__before"))).where(~F.col("__carried"))
+    dup = F.coalesce(F.col("__last.t") >= F.col("__seen") - window, F.lit(False))
+    named = named.withColumn("__other", F.col("__last.c") != F.col(content) if content else F.lit(False))
     flagged = named.select(*rows.columns, dup.alias("is_duplicate"), (dup & F.coalesce("__other", F.lit(False))).alias("in_conflict"))
     return flagged.unionByName(rows.where(~known | known.isNull()).select("*", F.lit(False).alias("is_duplicate"), F.lit(False).alias("in_conflict")))
 
