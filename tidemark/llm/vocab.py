@@ -13,8 +13,8 @@ import pyarrow as pa
 
 #: Where the public vocabulary files lie; a parameter of everything that encodes.
 VOCABULARIES = "/opt/tokenizers"
-#: Pieces whose ids a worker remembers.
-CACHE = 1_000_000
+#: Pieces whose ids a worker remembers, in two generations of at most so many (and those of one slice).
+CACHE = 150_000
 #: Code points that are split at once.
 SLICE = 2_000_000
 #: Bytes up to which pieces are merged together in a matrix; longer ones by a heap each.
@@ -160,6 +160,7 @@ class Encoder:
         self.pair_keys = np.array(sorted(pairs), np.int64)
         self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
         self.cache: dict[bytes, list[int]] = {}
+        self.older: dict[bytes, list[int]] = {}
 
     # -- pair merging
 
@@ -226,14 +227,19 @@ class Encoder:
         return [x for x in t if x >= 0]
 
     def ids_of(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of distinct pieces, from the cache where they are in it."""
-        cache, ranks = self.cache, self.ranks
-        if len(cache) > CACHE:
-            cache.clear()
+        """Ids of distinct pieces, from the cache where they are in it.
+
+        A full generation becomes the older one; what is still asked for moves back into the new.
+        """
+        if len(self.cache) > CACHE:
+            self.older, self.cache = self.cache, {}
+        cache, older, ranks = self.cache, self.older, self.ranks
         missing: dict[int, list[bytes]] = {}
         for p in pieces:
             if p not in cache:
-                if (r := ranks.get(p)) is not None:
+                if (known := older.get(p)) is not None:
+                    cache[p] = known
+                elif (r := ranks.get(p)) is not None:
                     cache[p] = [r]
                 elif len(p) > SHORT:
                     cache[p] = self.merge_heap(p)
