@@ -10,6 +10,7 @@ from tidemark import schemas
 from tidemark.functions.numbers import canonical, exact_percentile, floor_div, is_zero
 from tidemark.functions.text import canonical_json, is_symbol, nfc
 from tidemark.operators import asof, intervals, manifests, parse, quality, ranking, sliding, traffic
+from tidemark.plans import market
 from tidemark.sources import evidence
 
 S = 10**9
@@ -134,6 +135,19 @@ def test_blocks_need_every_minute(spark):
     assert rows(traffic.effective(peaks, "k", 2)) == [("A", 2), ("B", 4)]
 
 
+def test_planning_rates_rest_on_a_whole_day(spark, tmp_path):
+    def made(blocks):
+        # an early peak and a symbol that is silent later: both are lost if only the last blocks count
+        t = [("A", m * 60 * S) for m in range(60 * blocks)] + [("A", 5 * 60 * S)] * 9 + [("B", 60 * S)]
+        at = tmp_path / str(blocks)
+        spark.createDataFrame(t, "exchange_symbol string, app_receive_realtime_ns bigint").write.parquet(f"{at}/typed_events.parquet")
+        return str(at)
+
+    assert rows(market.planning_rates(spark, made(24))) == [("A", 10), ("B", 1)]
+    assert len(rows(market.hourly_block_peaks(spark, made(2)))) == 3
+    assert not rows(market.planning_rates(spark, made(23)))  # too few blocks
+
+
 def test_sharding():
     rates = {f"s{i}": 10 * (i + 1) for i in range(12)}
     at = traffic.shards(rates, 4)

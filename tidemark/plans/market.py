@@ -416,14 +416,31 @@ def minute_rates(spark, d):
 
 @query(f"with {_BLOCKS} select s exchange_symbol, block_start, peak from k")
 def block_peaks(spark, d):
+    """Peaks in blocks of 10 minutes only; whole blocks: hourly_block_peaks."""
     return traffic.blocks(_rates(spark, d), "exchange_symbol", _seen(spark, d), 10)
 
 
 @query(f"with {_BLOCKS}, l as (select distinct block_start from k order by 1 desc limit 2) select s exchange_symbol, max(peak) rate from k where block_start in (select * from l) and (select count(*) from l) = 2 group by 1")
 def effective_rates(spark, d):
+    """Of the last two blocks of 10 minutes only; the rate to plan with: planning_rates."""
     return traffic.effective(traffic.blocks(_rates(spark, d), "exchange_symbol", _seen(spark, d), 10), "exchange_symbol", 2)
 
 
+_WHOLE_BLOCKS = _BLOCKS.replace("% 10 ", f"% {traffic.BLOCK} ").replace("= 10)", f"= {traffic.BLOCK})")
+
+
+@query(f"with {_WHOLE_BLOCKS} select s exchange_symbol, block_start, peak from k")
+def hourly_block_peaks(spark, d):
+    """Peaks in the operator's own blocks of 60 minutes."""
+    return traffic.blocks(_rates(spark, d), "exchange_symbol", _seen(spark, d))
+
+
+@query(f"with {_WHOLE_BLOCKS}, l as (select distinct block_start from k order by 1 desc limit {traffic.KEPT}) select s exchange_symbol, max(peak) rate from k where block_start in (select * from l) and (select count(*) from l) = {traffic.KEPT} group by 1")
+def planning_rates(spark, d):
+    """The rate to plan with: the highest peak of the last 24 blocks of 60 minutes; no rows while there are fewer blocks."""
+    return traffic.effective(traffic.blocks(_rates(spark, d), "exchange_symbol", _seen(spark, d)), "exchange_symbol")
+
+
 @query("select list_sort(list(message_rate))[count(*) // 2 + 1] upper_median from message_rates where message_rate is not null")
 def default_rate(spark, d):
     return traffic.upper_median(_t(spark, d, "message_rates"), "message_rate")
