@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.numbers import canonical, exact_percentile, floor_div, is_zero
+from tidemark.functions.numbers import canonical, exact_percentile, floor_div, is_zero, nine_decimals
 from tidemark.functions.text import canonical_json, is_symbol, nfc
 from tidemark.operators import asof, intervals, manifests, parse, quality, ranking, sliding, traffic
 from tidemark.plans import market
@@ -120,6 +120,25 @@ def test_coverage_of_a_minute_gap(spark):
     assert not got["B"].accepted and got["B"].valid_ns == 0 and got["B"].explicit_invalid_ns == hi - 1000 * S
 
 
+def test_coverage_of_every_day(spark):
+    rng, day = random.Random(5), 100
+    table = lambda n: spark.createDataFrame([(rng.choice("AB"), lo, lo + rng.randint(1, 150)) for lo in (rng.randint(0, 1_180) for _ in range(n))], "exchange_symbol string, lo bigint, hi bigint")
+    expected, valid, broken = spark.createDataFrame([("A",), ("B",), ("C",)], "exchange_symbol string"), table(20), table(12)
+    got = quality.coverage_by_day(expected, valid, broken, 0, 11, day)
+    assert got.count() == 36
+    for k in (0, 8, 11):  # each as a window of its own, those after the first week too
+        alone = quality.coverage(expected, valid, intervals.clip(broken, k * day, (k + 1) * day), k * day, (k + 1) * day)
+        assert rows(got.where(got.day == k).select(alone.columns)) == rows(alone)
+    assert quality.verdict(got, ["day"]).count() == 12
+
+
+def test_nine_decimals_round_the_binary_value(spark):
+    rng = random.Random(6)
+    parts = [21794562216, 83100232152, 0, 1, 43, 44, 86400000000, 43200000000, *(rng.randrange(0, 10**9) * 864 // 10 for _ in range(300)), *(rng.randint(0, 86400000000) for _ in range(300))]
+    df = spark.createDataFrame([(n / 86400000000,) for n in parts] + [(1 / 1024,), (2.0**-10 * 3,)], "x double")
+    assert all(r.s == f"{r.x:.9f}" for r in df.select("x", nine_decimals(F.col("x")).alias("s")).collect())
+
+
 def test_weakest_metric_decides(spark):
     data = [("A", 100, 100, 100, 100, 1), ("B", 80, 80, 80, 80, 80), ("C", 10, 10, 10, 10, 10)]
     df = spark.createDataFrame(data, "s string, a int, b int, c int, d int, e int")

@@ -79,3 +79,22 @@ def exact_percentile(values: Column, numerator: int, denominator: int, kind: str
     at = lambda i: F.get(a, i).cast("decimal(26,8)")
     part = (at(lo) * few(F.lit(denominator) - rem) + F.coalesce(at(lo + 1), at(lo)) * few(rem)) / few(F.lit(denominator))
     return F.when(F.size(a) > 0, part).cast(kind)
+
+
+def nine_decimals(x: Column) -> Column:
+    """A ratio from 0 to 1 as text of nine decimals, rounded by its binary value to the nearest, ties to even.
+
+    ``format_string`` rounds the shortest decimal that names the number instead and differs on what
+    looks like a tie. The number is taken apart exactly into whole multiples of 2 ** -93.
+    """
+    whole = lambda n, digits: F.lit(str(n)).cast(f"decimal({digits},0)")
+    up = x * F.lit(float(1 << 40))
+    high = F.floor(up).cast("bigint")
+    low = ((up - high) * F.lit(float(1 << 53))).cast("bigint")
+    n = (high.cast("decimal(13,0)") * whole(1 << 53, 16) + low.cast("decimal(16,0)")) * whole(10**9, 10)
+    unit = whole(1 << 93, 29)
+    down = F.floor(n / unit).cast("bigint")
+    down = F.when(down.cast("decimal(11,0)") * unit > n, down - 1).otherwise(down)  # a quotient of 38 digits may be rounded up
+    twice = (n - down.cast("decimal(11,0)") * unit) * 2
+    near = F.when((twice > unit) | ((twice == unit) & (down % 2 == 1)), down + 1).otherwise(down)
+    return F.format_string("%d.%09d", F.floor(near / 10**9).cast("bigint"), near % 10**9)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import nine_decimals
 from tidemark.operators import intervals
 from tidemark.schemas import GAP_REASONS
 
@@ -55,21 +58,39 @@ def coverage(expected: DataFrame, valid: DataFrame, broken: DataFrame, lo: int,
     and nothing is unclassified or in conflict. Symbols without any interval have zeros.
     """
     by = ["exchange_symbol"]
-    good, bad = intervals.clip(valid.select(*by, "lo", "hi"), lo, hi), intervals.extend(broken.select(*by, "lo", "hi"), intervals.clip(valid.select(*by, "lo", "hi"), lo, hi), by, hi)
-    out = expected.select(*by).distinct()
+    good = intervals.clip(valid.select(*by, "lo", "hi"), lo, hi)
+    bad = intervals.extend(broken.select(*by, "lo", "hi"), good, by, hi)
+    return _accounted(expected.select(*by).distinct(), good, bad, by, hi - lo, per_mille)
+
+
+def coverage_by_day(expected: DataFrame, valid: DataFrame, broken: DataFrame, first: int, last: int, day: int = intervals.DAY_NS, per_mille: int = VALID_PER_MILLE) -> DataFrame:
+    """:func:`coverage` of every day from number ``first`` to ``last``, both included, with ``day``.
+
+    Each day is a window of its own: intervals are cut at its bounds, and a broken one lasts until
+    validity resumes on that day or to its end. Symbols are expected on all days.
+    """
+    by = ["day", "exchange_symbol"]
+    within = F.col("day").between(first, last)
+    good, broken = (intervals.by_day(intervals.clip(x.select("exchange_symbol", "lo", "hi"), first * day, (last + 1) * day), day).where(within).select(*by, "lo", "hi") for x in (valid, broken))
+    bad = intervals.extend(broken, good, by, (F.col("day") + 1) * day)
+    days = F.explode(F.sequence(F.lit(first).cast("bigint"), F.lit(last).cast("bigint"))).alias("day")
+    return _accounted(expected.select("exchange_symbol").distinct().select("exchange_symbol", days), good, bad, by, day, per_mille)
+
+
+def _accounted(out: DataFrame, good: DataFrame, bad: DataFrame, by: list[str], expected: int, per_mille: int) -> DataFrame:
     for name, part in (("valid_ns", good), ("explicit_invalid_ns", bad), ("accounted_ns", good.unionByName(bad))):
         out = out.join(intervals.length(part, by, name), by, "left")
     out = out.join(intervals.length(intervals.intersect(good, bad, by), by, "conflicting_ns"), by, "left")
-    out = out.fillna(0, ["valid_ns", "explicit_invalid_ns", "accounted_ns", "conflicting_ns"]).withColumn("expected_ns", F.lit(hi - lo).cast("bigint"))
+    out = out.fillna(0, ["valid_ns", "explicit_invalid_ns", "accounted_ns", "conflicting_ns"]).withColumn("expected_ns", F.lit(expected).cast("bigint"))
     out = out.withColumn("unclassified_ns", F.col("expected_ns") - F.col("accounted_ns"))
-    ratio = lambda c: F.format_string("%.9f", F.col(c) / F.col("expected_ns"))
+    ratio = lambda c: nine_decimals(F.col(c) / F.col("expected_ns"))
     ok = (F.col("valid_ns") * 1000 >= F.col("expected_ns") * per_mille) & (F.col("unclassified_ns") == 0) & (F.col("conflicting_ns") == 0)
     return out.withColumn("valid_ratio", ratio("valid_ns")).withColumn("accounted_ratio", ratio("accounted_ns")).withColumn("accepted", ok)
 
 
-def verdict(covered: DataFrame) -> DataFrame:
-    """One row: whether the day is accepted, how many symbols and which ones are not."""
-    return covered.agg(F.coalesce(F.bool_and("accepted"), F.lit(False)).alias("accepted"), F.count(F.lit(1)).alias("symbols"), F.array_sort(F.collect_list(F.when(~F.col("accepted"), F.col("exchange_symbol")))).alias("rejected"))
+def verdict(covered: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row (or one of each ``by``): whether the day is accepted, how many symbols and which ones are not."""
+    return covered.groupBy(*by).agg(F.coalesce(F.bool_and("accepted"), F.lit(False)).alias("accepted"), F.count(F.lit(1)).alias("symbols"), F.array_sort(F.collect_list(F.when(~F.col("accepted"), F.col("exchange_symbol")))).alias("rejected"))
 
 
 def clock(samples: DataFrame) -> DataFrame:

@@ -228,14 +228,45 @@ def _covered(spark, d) -> DataFrame:
 
 @query(_COV + "select * from q")
 def coverage_report(spark, d):
+    """The first seven days only; every day: coverage_days."""
     return _covered(spark, d)
 
 
 @query(_COV + "select bool_and(accepted) accepted, count(*) symbols, count(*) filter (not accepted) rejected from q")
 def day_verdict(spark, d):
+    """Of the first seven days only; of every day: day_verdicts."""
     return quality.verdict(_covered(spark, d)).withColumn("rejected", F.size("rejected").cast("bigint"))
 
 
+_DAY_US = 86_400_000_000
+_BY_DAY = lambda x, to: _UNION.replace("user_id", "user_id, day").replace("u0", to + "0").replace("u1", to + "1").format(*x)
+_COV_DAYS = f"""with {_FACTS}, dd as (select unnest(range(lo // {_DAY_US}, (hi - 1) // {_DAY_US} + 1)) as day from lim), vx as (select user_id, t lo, t + 3600000000 hi from {_EV} where event_type = 'view'),
+v0 as (select user_id, day, greatest(lo, day * {_DAY_US}) lo, least(hi, (day + 1) * {_DAY_US}) hi from vx join dd on lo < (day + 1) * {_DAY_US} and hi > day * {_DAY_US}), b0 as (select user_id, day, greatest(lo, day * {_DAY_US}) lo, least(hi, (day + 1) * {_DAY_US}) hi from g join dd on lo < (day + 1) * {_DAY_US} and hi > day * {_DAY_US}),
+{_BY_DAY(('v0', 'v'), 'x')}, b1 as (select b0.user_id, b0.day, b0.lo, case when exists (select 1 from v where v.user_id = b0.user_id and v.day = b0.day and v.lo <= b0.hi and b0.hi < v.hi) then b0.hi else coalesce((select min(v.lo) from v where v.user_id = b0.user_id and v.day = b0.day and v.lo >= b0.hi), (b0.day + 1) * {_DAY_US}) end hi from b0),
+{_BY_DAY(('b1', 'b'), 'y')}, a0 as (select * from v union all select * from b), {_BY_DAY(('a0', 'a'), 'z')}, c0 as (select v.user_id, v.day, greatest(v.lo, b.lo) lo, least(v.hi, b.hi) hi from v join b on v.user_id = b.user_id and v.day = b.day and v.lo < b.hi and b.lo < v.hi),
+t as (select 'v' k, user_id, day, sum(hi - lo) x from v group by all union all select 'b', user_id, day, sum(hi - lo) from b group by all union all select 'a', user_id, day, sum(hi - lo) from a group by all union all select 'c', user_id, day, sum(hi - lo) from c0 group by all),
+r as (select n.day, cast(n.user_id as varchar) exchange_symbol, cast({_DAY_US} as bigint) expected_ns, cast(coalesce(max(x) filter (k = 'v'), 0) as bigint) valid_ns, cast(coalesce(max(x) filter (k = 'b'), 0) as bigint) explicit_invalid_ns, cast(coalesce(max(x) filter (k = 'a'), 0) as bigint) accounted_ns, cast(coalesce(max(x) filter (k = 'c'), 0) as bigint) conflicting_ns
+ from (select distinct user_id, day from events, dd) n left join t on t.user_id = n.user_id and t.day = n.day group by n.user_id, n.day),
+q as (select *, expected_ns - accounted_ns unclassified_ns, format('{{:.9f}}', valid_ns / expected_ns) valid_ratio, format('{{:.9f}}', accounted_ns / expected_ns) accounted_ratio, valid_ns * 1000 >= expected_ns * 999 and accounted_ns = expected_ns and conflicting_ns = 0 accepted from r) """
+
+
+def _covered_days(spark, d) -> DataFrame:
+    lo, hi = _us(spark, d).agg(F.min("t"), F.max("t")).first()
+    name = lambda df: df.withColumn("exchange_symbol", F.col("user_id").cast("string"))
+    return quality.coverage_by_day(name(_us(spark, d)), name(_spans(spark, d, "view")), name(_gaps(spark, d)), (lo or 0) // _DAY_US, (hi or 0) // _DAY_US, _DAY_US)
+
+
+@query(_COV_DAYS + "select * from q")
+def coverage_days(spark, d):
+    """Coverage of every UTC day from the first event to the last."""
+    return _covered_days(spark, d)
+
+
+@query(_COV_DAYS + "select day, bool_and(accepted) accepted, count(*) symbols, count(*) filter (not accepted) rejected from q group by day")
+def day_verdicts(spark, d):
+    return quality.verdict(_covered_days(spark, d), ["day"]).withColumn("rejected", F.size("rejected").cast("bigint"))
+
+
 @query(
     """select app_receive_realtime_ns observed_at_ns, exchange_event_time_ms * 1000000 - (request_realtime_ns + app_receive_realtime_ns) // 2 clock_offset_estimate_ns, greatest(0, app_receive_realtime_ns - request_realtime_ns) // 2 clock_offset_uncertainty_ns,
  app_receive_realtime_ns - request_realtime_ns clock_sample_rtt_ns, case when b <= 100000000 then 'VALID' when b > 1000000000 then 'INVALID' else 'DEGRADED' end status
