@@ -139,6 +139,17 @@ def test_nine_decimals_round_the_binary_value(spark):
     assert all(r.s == f"{r.x:.9f}" for r in df.select("x", nine_decimals(F.col("x")).alias("s")).collect())
 
 
+def test_state_is_carried_over_every_midnight(spark, tmp_path):
+    day = 86_400 * S
+    made = spark.read.parquet("/root/testdata/sf0.001/typed_events.parquet").where("stream_type = 'agg_trade' and exchange_symbol is not null and aggregate_trade_id is not null").limit(1).cache()
+    times = [k * day + x * S for k in (1, 2, 3) for x in (-60, 60)]  # each midnight is crossed by one message
+    df = made.crossJoin(spark.createDataFrame(list(enumerate(times)), "n bigint, at bigint")).withColumn("receive_seq", F.col("n")).withColumn("app_receive_realtime_ns", F.col("at")).drop("n", "at")
+    df.write.parquet(f"{tmp_path}/typed_events.parquet")
+    got = {r.receive_seq: r.is_duplicate for r in market.dedup_over_midnights(spark, str(tmp_path)).collect()}
+    assert got == {n: n % 2 == 1 for n in range(6)}
+    assert sorted((r.cut // day, r.carried) for r in market.dedup_carry_checkpoints(spark, str(tmp_path)).collect()) == [(1, 1), (2, 1), (3, 1)]
+
+
 def test_weakest_metric_decides(spark):
     data = [("A", 100, 100, 100, 100, 1), ("B", 80, 80, 80, 80, 80), ("C", 10, 10, 10, 10, 10)]
     df = spark.createDataFrame(data, "s string, a int, b int, c int, d int, e int")

@@ -4,27 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: How long an observation counts, in nanoseconds. Fixed value.
 WINDOW_NS = 600 * 10**9
 
 
-def running_max(df: DataFrame, time: str, order: Sequence[str], to: str, by: str) -> DataFrame:
+def running_max(df: DataFrame, time: str, order: Sequence[str], to: str, by: str, parts: Sequence[str] = ()) -> DataFrame:
     """``to``: the largest ``time`` so far in the order (by, order), without one task for all rows.
 
     ``by`` is the leading order column (a file or chunk number). Each of its values is scanned on
     its own; what came before it enters as the maximum of the earlier ones, from one row each.
+    Rows that differ in ``parts`` know nothing of each other.
     """
-    tops = df.groupBy(F.col(by).alias("__at")).agg(F.max(time).alias("__top"))
-    before = F.max("__top").over(Window.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1))
-    tops = tops.select("__at", before.alias("__before"))
-    inside = F.max(time).over(Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return df.join(tops, F.col(by).eqNullSafe(F.col("__at"))).withColumn(to, F.greatest("__before", inside)).drop("__at", "__before")
+    tops = df.groupBy(*[F.col(p).alias(f"__of_{p}") for p in parts], F.col(by).alias("__at")).agg(F.max(time).alias("__top"))
+    before = F.max("__top").over(Window.partitionBy(*[f"__of_{p}" for p in parts]).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1))
+    tops = tops.select(*[f"__of_{p}" for p in parts], "__at", before.alias("__before"))
+    inside = F.max(time).over(Window.partitionBy(*parts, by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    same = F.col(by).eqNullSafe(F.col("__at"))
+    for p in parts:
+        same = same & F.col(p).eqNullSafe(F.col(f"__of_{p}"))
+    return df.join(tops, same).withColumn(to, F.greatest("__before", inside)).drop("__at", "__before", *[f"__of_{p}" for p in parts])
 
 
-def flag(df: DataFrame, identity: Sequence[str], time: str, order: Sequence[str], by: str, window: int = WINDOW_NS, content: str | None = None, carry: DataFrame | None = None) -> DataFrame:
+def flag(df: DataFrame, identity: Sequence[str], time: str, order: Sequence[str], by: str, window: int = WINDOW_NS, content: str | None = None, carry: DataFrame | None = None, parts: Sequence[str] = ()) -> DataFrame:
     """All rows with ``is_duplicate`` and ``in_conflict``.
 
     Rows are taken in the order (``by``, ``order``). A row is a duplicate if the row of the same
@@ -33,7 +37,8 @@ def flag(df: DataFrame, identity: Sequence[str], time: str, order: Sequence[str]
     conflict if it is a duplicate of other ``content``. Rows with a null in ``identity`` are never
     duplicates and do not move the largest time. ``carry`` are observations of an earlier run
     (identity, time and content, one each), which come first. ``by`` is a whole number from 0 on.
-    No task has more of an identity than one part of the source.
+    No task has more of an identity than one part of the source. Rows that differ in ``parts``
+    (columns without nulls, ``carry`` has them too) are runs of their own.
 
     Rows are never dropped. A column ``is_duplicate`` or ``in_conflict`` in the input is replaced.
     """
@@ -45,13 +50,13 @@ def flag(df: DataFrame, identity: Sequence[str], time: str, order: Sequence[str]
     if carry is not None:
         named = named.unionByName(carry.withColumn("__carried", F.lit(True)), allowMissingColumns=True)
     named = named.withColumn("__by", F.when(F.col("__carried"), F.lit(-1)).otherwise(F.col(by)).cast("bigint"))
-    named = running_max(named, time, order, "__seen", "__by")
+    named = running_max(named, time, order, "__seen", "__by", parts)
     seen = F.struct(F.col(time).alias("t"), (F.col(content) if content else F.lit(None)).alias("c"))
     # inside a part of the source by its order; what an identity had before it comes from one row per part
-    ends = named.groupBy(*identity, "__by").agg(F.max_by(seen, F.struct(*order)).alias("__end"))
-    ends = ends.withColumn("__before", F.lag("__end").over(Window.partitionBy(*identity).orderBy("__by"))).drop("__end")
-    named = named.join(ends, [*identity, "__by"])
-    inside = F.lag(seen).over(Window.partitionBy(*identity, "__by").orderBy(*order))
+    ends = named.groupBy(*parts, *identity, "__by").agg(F.max_by(seen, F.struct(*order)).alias("__end"))
+    ends = ends.withColumn("__before", F.lag("__end").over(Window.partitionBy(*parts, *identity).orderBy("__by"))).drop("__end")
+    named = named.join(ends, [*parts, *identity, "__by"])
+    inside = F.lag(seen).over(Window.partitionBy(*parts, *identity, "__by").orderBy(*order))
     named = named.withColumn("__last", F.coalesce(inside, F.col("__before"))).where(~F.col("__carried"))
     dup = F.coalesce(F.col("__last.t") >= F.col("__seen") - window, F.lit(False))
     named = named.withColumn("__other", F.col("__last.c") != F.col(content) if content else F.lit(False))
@@ -59,11 +64,11 @@ def flag(df: DataFrame, identity: Sequence[str], time: str, order: Sequence[str]
     return flagged.unionByName(rows.where(~known | known.isNull()).select("*", F.lit(False).alias("is_duplicate"), F.lit(False).alias("in_conflict")))
 
 
-def carried(df: DataFrame, identity: Sequence[str], time: str, order: Sequence[str], end: int, window: int = WINDOW_NS, content: str | None = None) -> DataFrame:
-    """The newest observation of each identity that still counts at ``end``: the next run's ``carry``."""
+def carried(df: DataFrame, identity: Sequence[str], time: str, order: Sequence[str], end: Column | int, window: int = WINDOW_NS, content: str | None = None, parts: Sequence[str] = ()) -> DataFrame:
+    """The newest observation of each identity that still counts at ``end`` (of its ``parts``): the next run's ``carry``."""
     keep = [time, *([content] if content else [])]
     known = F.lit(True)
     for c in identity:
         known = known & F.col(c).isNotNull()
-    newest = df.where(known).groupBy(*identity).agg(F.max(F.struct(*order, *[F.col(c).alias(f"__{c}") for c in keep])).alias("r"))
-    return newest.select(*identity, *[F.col(f"r.__{c}").alias(c) for c in keep]).where(F.col(time) >= end - window)
+    newest = df.where(known).groupBy(*parts, *identity).agg(F.max(F.struct(*order, *[F.col(c).alias(f"__{c}") for c in keep])).alias("r"))
+    return newest.select(*parts, *identity, *[F.col(f"r.__{c}").alias(c) for c in keep]).where(F.col(time) >= end - window)

@@ -129,7 +129,7 @@ def dedup_carry_checkpoint(spark, d):
 
 @query(_seen_sql() + f"select connection_id, receive_seq, coalesce(before >= wm - 600000000000, false) is_duplicate from o where app_receive_realtime_ns >= {_CUT}")
 def dedup_over_midnight(spark, d):
-    """The rows behind a cut, flagged with only the carried state of what was before."""
+    """The rows behind a cut, flagged with only the carried state of what was before. Every midnight and all rows: dedup_over_midnights."""
     t = _identified(spark, d).where(F.col("__is").isNotNull()).select("connection_id", "receive_seq", "app_receive_realtime_ns", "__chunk", *_KEY)
     end = t.agg(F.max("app_receive_realtime_ns")).first()[0]
     if end is None:
@@ -141,6 +141,50 @@ def dedup_over_midnight(spark, d):
     return sliding.flag(after, _KEY, "app_receive_realtime_ns", _ORDER, "__chunk", carry=carry).select("connection_id", "receive_seq", "is_duplicate")
 
 
+_DAY_TIME = 86_400 * 10**9
+# every midnight after the first day; within one day the second in which the middle row was received
+_CUTS = f"""sec as (select app_receive_realtime_ns // 1000000000 s, count(*) c from typed_events group by 1), mid as (select min(s) * 1000000000 cut from (select s, 2 * sum(c) over (order by s) >= sum(c) over () half from sec) where half),
+days as (select min(app_receive_realtime_ns) // {_DAY_TIME} a, max(app_receive_realtime_ns) // {_DAY_TIME} b from typed_events),
+cuts as (select unnest(range(a + 1, b + 1)) * {_DAY_TIME} cut from days where a < b union all select cut from mid, days where a = b)"""
+
+
+def _parts(spark, d) -> tuple[DataFrame, object]:
+    """Typed events with the number of their part, and when a part ends."""
+    t = _identified(spark, d)
+    lo, hi = t.agg(*[F.expr(f"{f}(app_receive_realtime_ns) div {_DAY_TIME}") for f in ("min", "max")]).first()
+    if lo != hi:
+        return t.withColumn("__part", F.expr(f"app_receive_realtime_ns div {_DAY_TIME}")), (F.col("__part") + 1) * _DAY_TIME
+    # 86,400 seconds at most
+    seconds = t.groupBy(F.expr("app_receive_realtime_ns div 1000000000").alias("s")).agg(F.count(F.lit(1)).alias("c"))
+    half = F.sum("c").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0)) * 2 >= F.sum("c").over(Window.partitionBy())
+    cut = (seconds.withColumn("half", half).where("half").agg(F.min("s")).first()[0] or 0) * 10**9
+    return t.withColumn("__part", (F.col("app_receive_realtime_ns") >= cut).cast("bigint")), F.when(F.col("__part") == 0, cut)
+
+
+def _carries(t: DataFrame, end) -> DataFrame:
+    """What each part hands to the next, under the next one's number; a part is longer than the window."""
+    last = t.agg(F.max("__part").alias("__last"))
+    carry = sliding.carried(t, _KEY, "app_receive_realtime_ns", _ORDER, end, parts=["__part"])
+    return carry.join(F.broadcast(last), F.col("__part") < F.col("__last")).withColumn("__part", F.col("__part") + 1).drop("__last")
+
+
+@query(_seen_sql(f", {_CUTS}, l as (select cut, stream_type, exchange_symbol, k, max(app_receive_realtime_ns) last from x join cuts on app_receive_realtime_ns < cut and app_receive_realtime_ns >= cut - 600000000000 where k is not null group by all)") + " select cut, stream_type, count(*) carried from l group by 1, 2")
+def dedup_carry_checkpoints(spark, d):
+    """Identities carried over each midnight (or the middle of a single day) by stream."""
+    t, end = _parts(spark, d)
+    carry = sliding.carried(t, _KEY, "app_receive_realtime_ns", _ORDER, end, parts=["__part"]).withColumn("cut", end)
+    last = t.agg(F.max("__part").alias("__last"))
+    return carry.join(F.broadcast(last), F.col("__part") < F.col("__last")).groupBy("cut", F.col("__is").alias("stream_type")).agg(F.count(F.lit(1)).alias("carried"))
+
+
+@query(_seen_sql() + "select connection_id, receive_seq, coalesce(before >= wm - 600000000000, false) is_duplicate from o union all select connection_id, receive_seq, false from x where k is null")
+def dedup_over_midnights(spark, d):
+    """All rows, each day (or half of a single day) flagged with only the carried state of the one before."""
+    t, end = _parts(spark, d)
+    t = t.select("connection_id", "receive_seq", "app_receive_realtime_ns", "__chunk", "__part", *_KEY)
+    return sliding.flag(t, _KEY, "app_receive_realtime_ns", _ORDER, "__chunk", carry=_carries(t, end), parts=["__part"]).select("connection_id", "receive_seq", "is_duplicate")
+
+
 # -- intervals, coverage, clock, audit: gaps are made of the events table (error opens, signup closes)
 
 _US = "epoch_us(ts)"
