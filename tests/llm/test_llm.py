@@ -132,6 +132,12 @@ def test_large_budget_is_met_exactly():
     assert sum(n * k for n, k in mix.fit(counts, budget).items()) == budget
 
 
+def test_document_longer_than_the_fitted_rest_is_taken():
+    assert mix.fit({1_200_000: 1, 1_190_000: 1}, 1_250_000) == {1_200_000: 1}
+    assert mix.fit({1_300_000: 1, 1_190_000: 1}, 1_250_000) == {1_190_000: 1}
+    assert mix.fit({1_300_000: 2}, 1_250_000) == {}
+
+
 def test_mixture(spark):
     rng = random.Random(2)
     docs = [(i, rng.choice(["web", " WEB", "News", "hot", "hot", "hot", "other", None]), rng.choice([None, "", "word " * rng.randint(1, 60)]), 9) for i in range(900)]

@@ -57,7 +57,14 @@ def fit(counts: dict[int, int], budget: int) -> dict[int, int]:
         more = min(counts[n] - take[n], -(-need // n) if n <= EXACT else need // n)
         take[n] += more
         rest -= more * n
-    rest_of = min(rest, 8 * EXACT)  # more than EXACT only where what is left are longer documents
+    # more than EXACT is missing only where each document that is left is longer than the rest without EXACT
+    for n in sorted(counts, reverse=True):
+        if rest <= 8 * EXACT:
+            break
+        more = min(counts[n] - take[n], rest // n)
+        take[n] += more
+        rest -= more * n
+    rest_of = min(rest, 8 * EXACT)  # beyond it no document that is left fits
     reach = np.zeros(rest_of + 1, bool)
     reach[0] = True
     via = np.full(rest_of + 1, -1, np.int64)
