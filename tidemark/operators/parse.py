@@ -70,6 +70,11 @@ _NUMBER = r"([0-9][0-9_]*\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 #: What decimals of each kind look like; above zero means a digit other than 0 before any exponent.
 _ALLOWED = {"dec": r"^\s*\+?(?=[0_.]*[1-9])" + _NUMBER, "dec0": r"^\s*(\+?|-(?=[0_.]*([eE]|\s*$)))" + _NUMBER, "dec±": r"^\s*[+-]?" + _NUMBER}
 _ALLOWED["dec?"] = _ALLOWED["dec0"]
+# spelt canonically already: at most six zeros behind the point come before a digit
+_FEW = r"(?!0\.000000[0-9])(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?"
+#: Canonical text of each kind, which nearly all numbers have.
+_PLAIN = {"dec": r"(?=[0.]*[1-9])" + _FEW, "dec0": _FEW, "dec?": _FEW, "dec±": r"-?(?=[0.]*[1-9]|.*+(?<!-0))" + _FEW}
+_PLAIN_LEVEL = f"^{_PLAIN['dec']}[|]{_PLAIN['dec0']}$"
 
 
 def _sign(text: Column) -> Column:
@@ -78,21 +83,26 @@ def _sign(text: Column) -> Column:
     return F.when(text.isNull(), None).when(zero, 0).when(text.rlike(r"^\s*-"), -1).otherwise(1)
 
 
-def _typed(raw: Column, kind: str) -> tuple[Column, Column]:
-    """A value read as its kind demands, and whether it may be used."""
+def _levels(raw: Column) -> Column:
+    """Levels as structs, null unless all are fine; ``raw`` has arrays of texts."""
+    plain = F.forall(raw, lambda x: F.coalesce((F.size(x) >= 2) & F.concat_ws("|", F.get(x, 0), F.get(x, 1)).rlike(_PLAIN_LEVEL), F.lit(False)))
+    fine = F.forall(raw, lambda x: F.coalesce((F.size(x) >= 2) & (_sign(F.get(x, 0)) == 1) & (_sign(F.get(x, 1)) >= 0), F.lit(False)))
+    level = lambda f: lambda x: F.struct(f(F.get(x, 0)).alias("price"), f(F.get(x, 1)).alias("quantity"))
+    return F.when(plain, F.transform(raw, level(lambda c: c))).when(fine, F.transform(raw, level(canonical)))
+
+
+def _typed(raw: Column, kind: str, plain: Column) -> tuple[Column, Column]:
+    """A value read as its kind demands, and whether it may be used. ``plain``: decimals are known to be canonical and allowed."""
     if kind.startswith("int"):
         v = raw.try_cast("bigint")
         return v, v.isNotNull() if kind == "int" else raw.isNull() | v.isNotNull()
     if kind == "bool":
         return raw == "true", F.coalesce(raw.isin("true", "false"), F.lit(False))
-    if kind == "text":
+    if kind in ("text", "levels"):
         return raw, raw.isNotNull()
-    if kind == "levels":
-        v = F.transform(raw, lambda x: F.struct(canonical(F.get(x, 0)).alias("price"), canonical(F.get(x, 1)).alias("quantity")))
-        fine = F.forall(raw, lambda x: F.coalesce((F.size(x) >= 2) & (_sign(F.get(x, 0)) == 1) & (_sign(F.get(x, 1)) >= 0), F.lit(False)))
-        return v, F.coalesce(fine, F.lit(False))
     ok = F.coalesce(raw.rlike(_ALLOWED[kind]), F.lit(False))
-    return canonical(raw), ok if kind != "dec?" else raw.isNull() | ok
+    given = raw.isNotNull() & (plain | ok)
+    return F.when(plain, raw).otherwise(canonical(raw)), given if kind != "dec?" else raw.isNull() | given
 
 
 def parsed(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -122,44 +132,71 @@ def _checked_rows(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
     return src.select(*out, error.alias("error"), *keep).where("error is not null")
 
 
+def _shape() -> tuple[str, str, dict[str, Column]]:
+    """All scalar fields of payloads as one struct: its type by name, its type by place, and each path's place.
+
+    Names that differ in case only cannot be told apart by name in SQL, so fields are renamed by place.
+    """
+    paths = sorted({p[2:] for sources in FIELDS.values() for kind, _, p in sources if kind != "levels"} | {"e", "s", "o.s"})
+    top, inner = [p for p in paths if "." not in p], [p[2:] for p in paths if p.startswith("o.")]
+    named = ",".join(f"`{p}`:string" for p in top) + ",`o`:struct<" + ",".join(f"`{p}`:string" for p in inner) + ">"
+    placed = ",".join(f"t{i}:string" for i in range(len(top))) + ",o:struct<" + ",".join(f"i{i}:string" for i in range(len(inner))) + ">"
+    at = {f"$.{p}": F.col(f"__x.t{i}") for i, p in enumerate(top)} | {f"$.o.{p}": F.col(f"__x.o.i{i}") for i, p in enumerate(inner)}
+    return f"struct<{named}>", f"struct<{placed}>", at
+
+
 def _typed_rows(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
     stream, d = F.col("stream_type"), F.col("__d")
-    src = raw.withColumn("__v", F.try_parse_json(F.col("payload_bytes").cast("string")))
-    src = src.withColumn("__d", F.coalesce(F.try_variant_get("__v", "$.data", "variant"), F.col("__v")))
+    text = F.col("payload_bytes").cast("string")
+    src = raw.withColumn("__v", F.try_parse_json(text)).withColumn("__d", F.coalesce(F.try_variant_get("__v", "$.data", "variant"), F.col("__v")))
+    named, placed, at = _shape()
+    kept = [c for c in raw.columns if c != "payload_bytes"]
+    levels = {}
+    for name in ("bids", "asks"):
+        value = F
+        for _, streams, path in FIELDS[name]:
+            value = value.when(stream.isin(*streams), F.try_variant_get(d, path, "array<array<string>>"))
+        levels[name] = value
+    src = src.select(
+        *kept,
+        F.try_variant_get(d, "$", named).cast(placed).alias("__x"),
+        F.to_json(d).alias("__j"),
+        F.when(F.col("__v").isNull(), "no JSON").when(~F.ltrim(text).startswith("{"), "no object").alias("__k"),
+        # never negative; a filter on the error must not be moved below this step, or all is read twice
+        F.monotonically_increasing_id().alias("__n"),
+        *[c.alias(f"__{n}") for n, c in levels.items()],
+    )
     read = {}
     for name, sources in FIELDS.items():
-        value = F
-        for kind, streams, path in sources:
-            value = value.when(stream.isin(*streams), F.try_variant_get(d, path, "array<array<string>>" if kind == "levels" else "string"))
-        read[f"__x_{name}"] = value
-    text = lambda p: F.try_variant_get(d, p, "string")
-    read |= {
-        "__e": text("$.e"),
-        "__y": F.upper(F.coalesce(F.when(F.col("exchange_symbol") != "", F.col("exchange_symbol")), text("$.s"), text("$.o.s"))),
-        "__h": F.sha2(F.to_json(d), 256),
-        "__k": F.when(F.col("__v").isNull(), "no JSON").when(~F.ltrim(F.col("payload_bytes").cast("string")).startswith("{"), "no object"),
-    }
-    # never negative; a filter on the error must not be moved below this step, or all is read twice
-    read["__n"] = F.monotonically_increasing_id()
-    kept = [c for c in raw.columns if c != "payload_bytes"]
-    src = src.select(*kept, *[c.alias(n) for n, c in read.items()])
-
-    problems = [
-        ((stream != "clock_sample") & F.coalesce("__y", F.lit("")).eqNullSafe(""), "no symbol"),
-    ]
-    problems += [((stream == s) & ~F.col("__e").eqNullSafe(name), f"event is not {name}") for s, name in EVENT_NAMES.items()]
+        if name not in levels:
+            value = F
+            for _, streams, path in sources:
+                value = value.when(stream.isin(*streams), at[path])
+            read[f"__x_{name}"] = value
+    symbol = F.upper(F.coalesce(F.when(F.col("exchange_symbol") != "", F.col("exchange_symbol")), at["$.s"], at["$.o.s"]))
+    src = src.select(*kept, "__j", "__k", "__n", *[_levels(F.col(f"__{n}")).alias(f"__x_{n}") for n in levels], *[c.alias(n) for n, c in read.items()], at["$.e"].alias("__e"), symbol.alias("__y"))
+    # one pattern over all decimals of a row settles what nearly all rows are: canonical and allowed
+    groups = [[F.col(f"__x_{n}") for n, sources in FIELDS.items() if sources[0][0] in kinds] for kinds in (("dec",), ("dec0", "dec?"), ("dec±",))]
+    src = src.withColumn("__p", F.concat(*[part for g in groups for part in (F.concat_ws("|", *g), F.lit("/"))]).rlike("^" + "".join(f"(?:{p}(?:[|]{p})*+)?/" for p in (_PLAIN["dec"], _PLAIN["dec0"], _PLAIN["dec±"])) + "$"))
+
+    problems = [((stream != "clock_sample") & F.coalesce("__y", F.lit("")).eqNullSafe(""), "no symbol"), (~F.col("__j").startswith("{"), "no object")]
+    named_event = F.create_map(*[F.lit(x) for pair in EVENT_NAMES.items() for x in pair])
+    problems.append((stream.isin(*EVENT_NAMES) & ~F.col("__e").eqNullSafe(F.element_at(named_event, stream)), "other event"))
     columns: dict[str, Column] = {}
     for name, sources in FIELDS.items():
-        value = F
+        of: dict[str, list[str]] = {}
         for kind, streams, _ in sources:
-            v, ok = _typed(F.col(f"__x_{name}"), kind)
-            value = value.when(stream.isin(*streams), v)
-            problems.append((stream.isin(*streams) & ~F.coalesce(ok, F.lit(False)), f"bad {name}"))
+            of.setdefault(kind, []).extend(streams)
+        value = F
+        for kind, streams in of.items():
+            v, ok = _typed(F.col(f"__x_{name}"), kind, F.col("__p"))
+            value = v if len(of) == 1 or kind.startswith("int") else value.when(stream.isin(*streams), v)
+            problems.append((stream.isin(*streams) & ~ok, f"bad {name}"))
         columns[name] = value
     error = F.when(F.col("__k").isNotNull(), F.col("__k")).when(F.col("__n") < 0, "no place")
     for bad, why in problems:
         error = error.when(bad, F.lit(why))
-    columns |= {"schema_version": F.lit(1), "exchange_symbol": F.col("__y"), "payload_hash": F.unhex("__h"), "is_duplicate": F.lit(False)}
+    columns |= {"schema_version": F.lit(1), "exchange_symbol": F.col("__y"), "payload_hash": F.unhex(F.sha2("__j", 256)), "is_duplicate": F.lit(False)}
     out = [columns.get(f.name, F.col(f.name) if f.name in kept else F.lit(None)).cast(f.dataType).alias(f.name) for f in TYPED]
     return src.select(*out, error.alias("error"), *keep)
 
