@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,25 +91,12 @@ def _levels(raw: Column) -> Column:
     return F.when(plain, F.transform(raw, level(lambda c: c))).when(fine, F.transform(raw, level(canonical)))
 
 
-def _typed(raw: Column, kind: str, plain: Column) -> tuple[Column, Column]:
-    """A value read as its kind demands, and whether it may be used. ``plain``: decimals are known to be canonical and allowed."""
-    if kind.startswith("int"):
-        v = raw.try_cast("bigint")
-        return v, v.isNotNull() if kind == "int" else raw.isNull() | v.isNotNull()
-    if kind == "bool":
-        return raw == "true", F.coalesce(raw.isin("true", "false"), F.lit(False))
-    if kind in ("text", "levels"):
-        return raw, raw.isNotNull()
-    ok = F.coalesce(raw.rlike(_ALLOWED[kind]), F.lit(False))
-    given = raw.isNotNull() & (plain | ok)
-    return F.when(plain, raw).otherwise(canonical(raw)), given if kind != "dec?" else raw.isNull() | given
-
-
 def parsed(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Typed rows of raw events, with ``error``: why a message could not be typed, else null.
 
     Streams that only are checked give a row only where the check fails. Each payload is parsed
-    once into a VARIANT and each column read once from it, at the path of the row's stream. An
+    once into a VARIANT and all its scalar fields are read from it at once, as one struct of texts;
+    each column takes the field of the row's stream. An
     unreadable field or one that breaks its sign rule, a missing symbol (only clock samples need
     none), a wrong event name, an unknown stream and JSON that is none are errors. Values of a row
     with an error are not to be relied on. ``keep`` are further columns of the raw rows to carry along.
@@ -132,7 +119,7 @@ def _checked_rows(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
     return src.select(*out, error.alias("error"), *keep).where("error is not null")
 
 
-def _shape() -> tuple[str, str, dict[str, Column]]:
+def _shape() -> tuple[str, str, dict[str, str]]:
     """All scalar fields of payloads as one struct: its type by name, its type by place, and each path's place.
 
     Names that differ in case only cannot be told apart by name in SQL, so fields are renamed by place.
@@ -141,22 +128,16 @@ def _shape() -> tuple[str, str, dict[str, Column]]:
     top, inner = [p for p in paths if "." not in p], [p[2:] for p in paths if p.startswith("o.")]
     named = ",".join(f"`{p}`:string" for p in top) + ",`o`:struct<" + ",".join(f"`{p}`:string" for p in inner) + ">"
     placed = ",".join(f"t{i}:string" for i in range(len(top))) + ",o:struct<" + ",".join(f"i{i}:string" for i in range(len(inner))) + ">"
-    at = {f"$.{p}": F.col(f"__x.t{i}") for i, p in enumerate(top)} | {f"$.o.{p}": F.col(f"__x.o.i{i}") for i, p in enumerate(inner)}
+    at = {f"$.{p}": f"__x.t{i}" for i, p in enumerate(top)} | {f"$.o.{p}": f"__x.o.i{i}" for i, p in enumerate(inner)}
     return f"struct<{named}>", f"struct<{placed}>", at
 
 
 def _typed_rows(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
-    stream, d = F.col("stream_type"), F.col("__d")
-    text = F.col("payload_bytes").cast("string")
+    d, text = F.col("__d"), F.col("payload_bytes").cast("string")
     src = raw.withColumn("__v", F.try_parse_json(text)).withColumn("__d", F.coalesce(F.try_variant_get("__v", "$.data", "variant"), F.col("__v")))
     named, placed, at = _shape()
     kept = [c for c in raw.columns if c != "payload_bytes"]
-    levels = {}
-    for name in ("bids", "asks"):
-        value = F
-        for _, streams, path in FIELDS[name]:
-            value = value.when(stream.isin(*streams), F.try_variant_get(d, path, "array<array<string>>"))
-        levels[name] = value
+    levels = {n: F.expr("case " + " ".join(f"when stream_type in ({_quoted(streams)}) then try_variant_get(__d, '{path}', 'array<array<string>>')" for _, streams, path in FIELDS[n]) + " end") for n in ("bids", "asks")}
     src = src.select(
         *kept,
         F.try_variant_get(d, "$", named).cast(placed).alias("__x"),
@@ -166,39 +147,68 @@ def _typed_rows(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("__n"),
         *[c.alias(f"__{n}") for n, c in levels.items()],
     )
-    read = {}
-    for name, sources in FIELDS.items():
-        if name not in levels:
-            value = F
-            for _, streams, path in sources:
-                value = value.when(stream.isin(*streams), at[path])
-            read[f"__x_{name}"] = value
-    symbol = F.upper(F.coalesce(F.when(F.col("exchange_symbol") != "", F.col("exchange_symbol")), at["$.s"], at["$.o.s"]))
-    src = src.select(*kept, "__j", "__k", "__n", *[_levels(F.col(f"__{n}")).alias(f"__x_{n}") for n in levels], *[c.alias(n) for n, c in read.items()], at["$.e"].alias("__e"), symbol.alias("__y"))
+    read = [F.expr("case " + " ".join(f"when stream_type in ({_quoted(streams)}) then {at[path]}" for _, streams, path in sources) + " end").alias(f"__x_{n}") for n, sources in FIELDS.items() if n not in levels]
+    symbol = F.expr(f"upper(coalesce(nullif(exchange_symbol, ''), {at['$.s']}, {at['$.o.s']}))")
+    src = src.select(*kept, "__j", "__k", "__n", *[_levels(F.col(f"__{n}")).alias(f"__x_{n}") for n in levels], *read, F.expr(at["$.e"]).alias("__e"), symbol.alias("__y"))
     # one pattern over all decimals of a row settles what nearly all rows are: canonical and allowed
-    groups = [[F.col(f"__x_{n}") for n, sources in FIELDS.items() if sources[0][0] in kinds] for kinds in (("dec",), ("dec0", "dec?"), ("dec±",))]
-    src = src.withColumn("__p", F.concat(*[part for g in groups for part in (F.concat_ws("|", *g), F.lit("/"))]).rlike("^" + "".join(f"(?:{p}(?:[|]{p})*+)?/" for p in (_PLAIN["dec"], _PLAIN["dec0"], _PLAIN["dec±"])) + "$"))
+    kinds = {n: sources[0][0] for n, sources in FIELDS.items() if sources[0][0].startswith("dec")}
+    groups = [[f"__x_{n}" for n, k in kinds.items() if k in g] for g in (("dec",), ("dec0", "dec?"), ("dec±",))]
+    row = "".join(f"(?:{p}(?:[|]{p})*+)?/" for p in (_PLAIN["dec"], _PLAIN["dec0"], _PLAIN["dec±"]))
+    src = src.withColumn("__p", F.concat(*[part for g in groups for part in (F.concat_ws("|", *g), F.lit("/"))]).rlike(f"^{row}$"))
+    src = src.withColumn("__c", F.when(~F.col("__p"), F.transform(F.array(*[f"__x_{n}" for n in kinds]), canonical)))
+
+    # what a row of each stream has when nothing is wrong with it; rows that differ are looked at one field at a time
+    scalars = [n for n in FIELDS if n not in levels]
+    whole = [n for n in scalars if FIELDS[n][0][0] == "int"]
+    needed = {s: sum(1 for sources in FIELDS.values() for kind, streams, _ in sources if s in streams and not kind.endswith("?")) for s in TYPED_STREAMS}
+    count = lambda xs: "+".join(f"int({x})" for x in xs)
+    optional = [n for n, sources in FIELDS.items() if sources[0][0].endswith("?")]
+    there = [f"__x_{n} in ('true', 'false')" if FIELDS[n][0][0] == "bool" else f"__x_{n} is not null" for n in FIELDS if n not in optional]
+    names = _map({s: f"'{EVENT_NAMES[s]}'" if s in EVENT_NAMES else "null" for s in TYPED_STREAMS})
+    src = src.withColumns({f"__i_{n}": F.expr(f"try_cast(__x_{n} as bigint)") for n in whole} | {"__m": F.expr(f"element_at({names}, stream_type)")})
+    fine = (
+        f"__k is null and __p and (stream_type = 'clock_sample' or coalesce(__y, '') <> '') and startswith(__j, '{{') and (__m is null or __e <=> __m)"
+        f" and {count(f'__x_{n} is null' for n in whole)} = {count(f'__i_{n} is null' for n in whole)} and {count(there)} = element_at({_map(needed)}, stream_type)"
+    )
+    # the lambda is not part of the generated code, which stays small enough to be compiled
+    given = [*[f"__x_{n}" for n in FIELDS], "__k", "__p", "__y", "__e", "__m", "__j", "stream_type"]
+    src = src.withColumn("__g", F.expr(f"case when not coalesce({fine}, false) then transform(array(struct({', '.join(given)})), r -> {_complaint()})[0] end"))
+    columns: dict[str, str] = {}
+    for name, sources in FIELDS.items():
+        x = f"__x_{name}"
+        of = {"int": f"__i_{name}", "bool": f"{x} = 'true'", "text": x, "levels": x}
+        columns[name] = of.get(sources[0][0], f"if(__p, {x}, __c[{list(kinds).index(name) if name in kinds else 0}])")
+    error = F.when(F.col("__n") < 0, "no place").otherwise(F.col("__g"))
+    columns |= {"schema_version": "1", "exchange_symbol": "__y", "payload_hash": "unhex(sha2(__j, 256))", "is_duplicate": "false"}
+    out = [F.expr(f"cast({columns.get(f.name, f.name if f.name in kept else 'null')} as {f.dataType.simpleString()})").alias(f.name) for f in TYPED]
+    return src.select(*out, error.alias("error"), *keep)
 
-    problems = [((stream != "clock_sample") & F.coalesce("__y", F.lit("")).eqNullSafe(""), "no symbol"), (~F.col("__j").startswith("{"), "no object")]
-    named_event = F.create_map(*[F.lit(x) for pair in EVENT_NAMES.items() for x in pair])
-    problems.append((stream.isin(*EVENT_NAMES) & ~F.col("__e").eqNullSafe(F.element_at(named_event, stream)), "other event"))
-    columns: dict[str, Column] = {}
+
+def _complaint() -> str:
+    """SQL: what is wrong with a row ``r``, null if nothing is."""
+    tests = ["when r.__k is not null then r.__k when not startswith(r.__j, '{') then 'no object' when r.stream_type <> 'clock_sample' and coalesce(r.__y, '') = '' then 'no symbol'"]
+    tests.append("when r.__m is not null and not r.__e <=> r.__m then concat('event is not ', r.__m)")
     for name, sources in FIELDS.items():
-        of: dict[str, list[str]] = {}
+        x = f"r.__x_{name}"
         for kind, streams, _ in sources:
-            of.setdefault(kind, []).extend(streams)
-        value = F
-        for kind, streams in of.items():
-            v, ok = _typed(F.col(f"__x_{name}"), kind, F.col("__p"))
-            value = v if len(of) == 1 or kind.startswith("int") else value.when(stream.isin(*streams), v)
-            problems.append((stream.isin(*streams) & ~ok, f"bad {name}"))
-        columns[name] = value
-    error = F.when(F.col("__k").isNotNull(), F.col("__k")).when(F.col("__n") < 0, "no place")
-    for bad, why in problems:
-        error = error.when(bad, F.lit(why))
-    columns |= {"schema_version": F.lit(1), "exchange_symbol": F.col("__y"), "payload_hash": F.unhex(F.sha2("__j", 256)), "is_duplicate": F.lit(False)}
-    out = [columns.get(f.name, F.col(f.name) if f.name in kept else F.lit(None)).cast(f.dataType).alias(f.name) for f in TYPED]
-    return src.select(*out, error.alias("error"), *keep)
+            fits = f"{x} is not null"
+            if kind.startswith("int"):
+                fits = f"try_cast({x} as bigint) is not null"
+            elif kind == "bool":
+                fits = f"{x} in ('true', 'false')"
+            elif kind in _ALLOWED:
+                pattern = _ALLOWED[kind].replace("\\", "\\\\")
+                fits = f"{x} is not null and (r.__p or {x} rlike '{pattern}')"
+            tests.append(f"when r.stream_type in ({_quoted(streams)}) and not coalesce({f'{x} is null or ' if kind.endswith('?') else ''}{fits}, false) then 'bad {name}'")
+    return "case " + " ".join(tests) + " end"
+
+
+def _map(values: dict[str, object]) -> str:
+    return "map(" + ", ".join(f"'{k}', {v}" for k, v in values.items()) + ")"
+
+
+def _quoted(names: Iterable[str]) -> str:
+    return ", ".join(f"'{n}'" for n in names)
 
 
 def typed_events(raw: DataFrame) -> DataFrame:

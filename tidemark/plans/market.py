@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import spread
 from tidemark.operators import asof, book, exactly_once, intervals, manifests, parse, quality, ranking, skew, sliding, traffic
 
 QUERIES: dict = {}
@@ -32,23 +33,37 @@ _OK = f"json_valid({_TXT})"
 _DATA = f"case when {_OK} then coalesce(json_extract({_TXT}, '$.data'), json({_TXT})) end"
 
 
+_SORTED = lambda x, inner="": f"""'{{' || array_to_string(list_transform(list_sort(json_keys({x})), lambda k: '"' || k || '":' || {inner or f"cast(json_extract({x}, '$.' || k) as varchar)"}), ',') || '}}'"""
+_OF = lambda streams, path, kind="text": f"case when stream_type in ({streams}) then " + {"text": f"d->>'{path}'", "int": f"try_cast(d->>'{path}' as bigint)"}[kind] + " end"
+_LEVEL_TEXT = lambda path: f"case when stream_type = 'depth' then array_to_string(list_transform(cast(d->'{path}' as json[]), lambda x: (x->>'$[0]') || '@' || (x->>'$[1]')), ';') end"
+# a number with more than six zeros behind its point is written with an exponent
+_CANON = lambda x: f"case when regexp_full_match({x}, '-?0[.]0{{6,}}[1-9][0-9]*') then regexp_replace(regexp_replace({x}, '0[.]0*([1-9])([0-9]+)$', '\\1.\\2'), '0[.]0*([1-9])$', '\\1') || 'E-' || (length(regexp_extract({x}, '[.](0*)', 1)) + 1) else {x} end"
+_EVENTS = "'depth', 'book_ticker', 'agg_trade', 'trade'"
+
+
 @query(
     f"""with r as (select *, {_DATA} d from raw_events where case when {_OK} then true else false end),
-v as (select *, coalesce(d->>'$.s', d->'$.o'->>'$.s') y from r)
-select connection_id, receive_seq, stream_type, upper(coalesce(exchange_symbol, y)) exchange_symbol,
+v as (select *, coalesce(d->>'$.s', d->'$.o'->>'$.s') y, d->'$.o' o from r)
+select cast(1 as smallint) schema_version, upper(coalesce(nullif(exchange_symbol, ''), y)) exchange_symbol, stream_type, connection_id, receive_seq, app_receive_realtime_ns, app_receive_monotonic_ns, request_realtime_ns,
  try_cast(case when stream_type = 'clock_sample' then d->>'$.serverTime' else d->>'$.E' end as bigint) exchange_event_time_ms,
- try_cast(case when stream_type = 'force_order' then d->'$.o'->>'$.T' when stream_type in ('depth', 'book_ticker', 'agg_trade', 'trade') then d->>'$.T' end as bigint) exchange_transaction_time_ms,
- case when stream_type = 'force_order' then d->'$.o'->>'$.p' when stream_type in ('agg_trade', 'trade') then d->>'$.p' end price,
- case when stream_type = 'force_order' then d->'$.o'->>'$.q' when stream_type in ('agg_trade', 'trade') then d->>'$.q' end quantity,
- try_cast(case when stream_type = 'agg_trade' then d->>'$.a' end as bigint) aggregate_trade_id, try_cast(case when stream_type = 'book_ticker' then d->>'$.u' end as bigint) update_id,
- try_cast(case when stream_type = 'depth' then d->>'$.pu' end as bigint) previous_final_update_id, case when stream_type = 'mark_price' then d->>'$.p' end mark_price, case when stream_type = 'force_order' then d->'$.o'->>'$.S' end side,
- cast(case when stream_type = 'depth' then json_array_length(d->'$.b') + json_array_length(d->'$.a') end as bigint) levels, case when stream_type = 'agg_trade' then (d->>'$.m') = 'true' end buyer_is_maker from v"""
+ try_cast(case when stream_type = 'force_order' then d->>'$.o.T' when stream_type in ({_EVENTS}) then d->>'$.T' end as bigint) exchange_transaction_time_ms,
+ sha256({_SORTED('d', f"case when k = 'o' and stream_type = 'force_order' then {_SORTED('o').replace('lambda k:', 'lambda j:').replace(' k ', ' j ').replace('|| k)', '|| j)')} else cast(json_extract(d, '$.' || k) as varchar) end")}) payload_hash, false is_duplicate,
+ {_OF("'book_ticker'", '$.u', 'int')} update_id, {_OF("'depth'", '$.U', 'int')} first_update_id, {_OF("'depth'", '$.u', 'int')} final_update_id, {_OF("'depth'", '$.pu', 'int')} previous_final_update_id, cast(null as bigint) last_update_id,
+ {_OF("'trade'", '$.t', 'int')} trade_id, {_OF("'agg_trade'", '$.a', 'int')} aggregate_trade_id, {_OF("'agg_trade'", '$.f', 'int')} first_trade_id, {_OF("'agg_trade'", '$.l', 'int')} last_trade_id,
+ case when stream_type = 'force_order' then d->>'$.o.p' when stream_type in ('agg_trade', 'trade') then d->>'$.p' end price, case when stream_type = 'force_order' then d->>'$.o.q' when stream_type in ('agg_trade', 'trade') then d->>'$.q' end quantity,
+ {_OF("'agg_trade'", '$.nq')} non_rpi_quantity, case when stream_type in ('agg_trade', 'trade') then (d->>'$.m') = 'true' end buyer_is_maker,
+ {_OF("'book_ticker'", '$.b')} bid_price, {_OF("'book_ticker'", '$.B')} bid_quantity, {_OF("'book_ticker'", '$.a')} ask_price, {_OF("'book_ticker'", '$.A')} ask_quantity,
+ {_OF("'mark_price'", '$.p')} mark_price, {_OF("'mark_price'", '$.i')} index_price, {_OF("'mark_price'", '$.P')} estimated_settle_price, case when stream_type = 'mark_price' then {_CANON("(d->>'$.r')")} end funding_rate, {_OF("'mark_price'", '$.T', 'int')} next_funding_time_ms,
+ {_OF("'open_interest'", '$.openInterest')} open_interest, {_OF("'force_order'", '$.o.S')} side, {_OF("'force_order'", '$.o.o')} order_type, {_OF("'force_order'", '$.o.f')} time_in_force, {_OF("'force_order'", '$.o.X')} order_status,
+ {_OF("'force_order'", '$.o.ap')} average_price, {_OF("'force_order'", '$.o.l')} last_filled_quantity, {_OF("'force_order'", '$.o.z')} accumulated_filled_quantity,
+ {_OF("'contract_info'", '$.ct')} contract_type, {_OF("'contract_info'", '$.dt', 'int')} delivery_date_ms, {_OF("'contract_info'", '$.ot', 'int')} onboard_date_ms, {_OF("'contract_info'", '$.cs')} contract_status,
+ {_LEVEL_TEXT('$.b')} bids, {_LEVEL_TEXT('$.a')} asks from v"""
 )
 def typed_projection(spark, d):
-    """Raw messages parsed into the typed table (a third of its columns; levels counted)."""
-    t = parse.parsed(_t(spark, d, "raw_events")).where("error is null")
-    levels = F.when(F.col("stream_type") == "depth", (F.size("bids") + F.size("asks")).cast("bigint"))
-    return t.select("connection_id", "receive_seq", "stream_type", "exchange_symbol", "exchange_event_time_ms", "exchange_transaction_time_ms", "price", "quantity", "aggregate_trade_id", "update_id", "previous_final_update_id", "mark_price", "side", levels.alias("levels"), "buyer_is_maker")
+    """Raw messages parsed into the typed table, every column; hash and levels as text."""
+    t = parse.parsed(spread(_t(spark, d, "raw_events"))).where("error is null").drop("error")
+    levels = {c: F.concat_ws(";", F.transform(c, lambda x: F.concat_ws("@", x["price"], x["quantity"]))) for c in ("bids", "asks")}
+    return t.withColumns({"payload_hash": F.lower(F.hex("payload_hash")), **{c: F.when(F.col(c).isNotNull(), x) for c, x in levels.items()}})
 
 
 @query(f"select stream_type, 'no JSON' error, count(*) messages from raw_events where not coalesce({_OK}, false) group by 1")

@@ -23,6 +23,8 @@ def build(master: str = "local[*]", partitions: int = 8, app: str = "tidemark",
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # recording the call site of each expression doubles the time the driver needs for a wide plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -63,6 +65,15 @@ def sweep(spark: SparkSession) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores, dealt out to all of them; any other as it is.
+
+    A small file has one row group and would keep one core busy; at scale there are always more splits than cores.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.isStreaming or scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no more than that many."""
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
