@@ -1,8 +1,9 @@
 """Scenarios of single operators: boundaries, ties, nulls, long inputs."""
 
 import random
-from decimal import Decimal
+from decimal import ROUND_DOWN, Decimal, localcontext
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,9 +146,9 @@ def test_state_is_carried_over_every_midnight(spark, tmp_path):
     times = [k * day + x * S for k in (1, 2, 3) for x in (-60, 60)]  # each midnight is crossed by one message
     df = made.crossJoin(spark.createDataFrame(list(enumerate(times)), "n bigint, at bigint")).withColumn("receive_seq", F.col("n")).withColumn("app_receive_realtime_ns", F.col("at")).drop("n", "at")
     df.write.parquet(f"{tmp_path}/typed_events.parquet")
-    got = {r.receive_seq: r.is_duplicate for r in market.dedup_over_midnights(spark, str(tmp_path)).collect()}
+    got = {r.receive_seq: r.is_duplicate for r in market.dedup_over_midnight(spark, str(tmp_path)).collect()}
     assert got == {n: n % 2 == 1 for n in range(6)}
-    assert sorted((r.cut // day, r.carried) for r in market.dedup_carry_checkpoints(spark, str(tmp_path)).collect()) == [(1, 1), (2, 1), (3, 1)]
+    assert sorted((r.cut // day, r.carried) for r in market.dedup_carry_checkpoint(spark, str(tmp_path)).collect()) == [(1, 1), (2, 1), (3, 1)]
 
 
 def test_weakest_metric_decides(spark):
@@ -161,34 +162,117 @@ def test_blocks_need_every_minute(spark):
     seen = spark.createDataFrame([(m,) for m in [*range(0, 7), *range(9, 15)]], "slot bigint")
     rates = spark.createDataFrame([("A", 1, 5), ("A", 5, 9), ("A", 10, 2), ("B", 13, 4)], "k string, slot bigint, n bigint")
     peaks = traffic.blocks(rates, "k", seen, 3)
-    assert rows(peaks) == [("A", 0, 5), ("A", 3, 9), ("A", 9, 2), ("B", 12, 4)]
+    # slot 0, in which the recording started, does not count
+    assert rows(peaks) == [("A", 1, 5), ("A", 4, 9), ("A", 9, 2), ("B", 12, 4)]
     assert rows(traffic.effective(peaks, "k", 2)) == [("A", 2), ("B", 4)]
 
 
-def test_planning_rates_rest_on_a_whole_day(spark, tmp_path):
-    def made(blocks):
+def test_planning_rates_rest_on_a_whole_day(spark):
+    def peaks(blocks):
         # an early peak and a symbol that is silent later: both are lost if only the last blocks count
-        t = [("A", m * 60 * S) for m in range(60 * blocks)] + [("A", 5 * 60 * S)] * 9 + [("B", 60 * S)]
-        at = tmp_path / str(blocks)
-        spark.createDataFrame(t, "exchange_symbol string, app_receive_realtime_ns bigint").write.parquet(f"{at}/typed_events.parquet")
-        return str(at)
-
-    assert rows(market.planning_rates(spark, made(24))) == [("A", 10), ("B", 1)]
-    assert len(rows(market.hourly_block_peaks(spark, made(2)))) == 3
-    assert not rows(market.planning_rates(spark, made(23)))  # too few blocks
+        t = [("A", m * 60 * S) for m in range(60 * blocks + 1)] + [("A", 5 * 60 * S)] * 9 + [("B", 60 * S)]
+        rates = traffic.per_slot(spark.createDataFrame(t, "k string, at bigint"), "k", "at").cache()
+        return traffic.blocks(rates, "k", rates.select("slot"))
+
+    assert rows(traffic.effective(peaks(24), "k")) == [("A", 10), ("B", 1)]
+    assert len(rows(peaks(2))) == 3
+    assert not rows(traffic.effective(peaks(23), "k"))  # too few blocks
+
+
+def plain_swaps(shards, rate, most=None):
+    """Every pair of all shards is tried; the one with the smallest spread is made, for as long as the spread falls."""
+    n = 0
+    while most is None or n < most:
+        load = [sum(rate[s] for s in x) for x in shards]
+        best, spread = None, max(load) - min(load)
+        for a in range(len(shards)):
+            for b in range(a + 1, len(shards)):
+                for i, x in enumerate(shards[a]):
+                    for j, y in enumerate(shards[b]):
+                        new = list(load)
+                        new[a] += rate[y] - rate[x]
+                        new[b] += rate[x] - rate[y]
+                        if max(new) - min(new) < spread:
+                            best, spread = (a, b, i, j), max(new) - min(new)
+        if best is None:
+            break
+        a, b, i, j = best
+        x, y = shards[a].pop(i), shards[b].pop(j)
+        shards[a].append(y)
+        shards[b].append(x)
+        n += 1
+    return [sorted(x) for x in shards]
+
+
+def plain_shards(symbols, rates, count):
+    ordered = sorted(rates.values())
+    rate = {s: rates.get(s, ordered[len(ordered) // 2] if ordered else 1) for s in symbols}
+    count = min(count, len(symbols))
+    out = [[] for _ in range(count)]
+    for s in sorted(symbols, key=lambda s: (-rate[s], s)):
+        free = [i for i in range(count) if len(out[i]) < -(-len(symbols) // count) + 1]
+        out[min(free, key=lambda i: (sum(rate[s] for s in out[i]), i))].append(s)
+    return plain_swaps(out, rate)
 
 
 def test_sharding():
-    rates = {f"s{i}": 10 * (i + 1) for i in range(12)}
-    at = traffic.shards(rates, 4)
-    load = [sum(rates[k] for k, s in at.items() if s == i) for i in range(4)]
-    assert max(load) / min(load) < 1.2
-    assert {k: s for k, s in traffic.shards(rates | {"new": 1}, 4, at).items() if k != "new"}.keys() == at.keys()
-    assert traffic.rebalance({"A": 100, "B": 90, "C": 10, "D": 5}, {"A": 0, "B": 0, "C": 1, "D": 1}, 2) != {"A": 0, "B": 0, "C": 1, "D": 1}
-    assert traffic.rebalance({"A": 105, "B": 105}, {"A": 0, "B": 1}, 2) == {"A": 0, "B": 1}
+    rng = random.Random(5)
+    for case in range(60):
+        symbols = [f"s{i}" for i in range(rng.randint(1, 14))]
+        rates = {s: rng.randint(1, 9 if case % 3 == 0 else 500) for s in symbols if rng.random() < 0.8} | ({"gone": 40} if case % 2 else {})
+        count = rng.randint(1, 5)
+        got = traffic.shards(symbols, rates, count)
+        assert got == plain_shards(symbols, rates, count), (symbols, rates, count)
+        if len(got) > 1:
+            dealt = [sorted(x) for x in np.array_split(rng.sample(symbols, len(symbols)), len(got))]
+            dealt = [[str(s) for s in x] for x in dealt]
+            rate = traffic._known(symbols, rates)
+            load = [sum(rate[s] for s in x) for x in dealt]
+            want = plain_swaps([list(x) for x in dealt], rate, 1) if max(load) * len(load) > 1.25 * sum(load) else dealt
+            assert traffic.rebalance(symbols, rates, dealt, count) == want
+    # what has a shard stays; no swaps then
+    assert traffic.shards(["a", "b", "c"], {"a": 9, "b": 1, "c": 5}, 2, {"a": 0, "b": 0, "z": 1}) == [["a", "b"], ["c"]]
+    assert traffic.shards([], {}, 3) == [] and traffic.shards(["x"], {}, 3) == [["x"]]
+    with pytest.raises(ValueError):
+        traffic.rebalance(["a", "b"], {}, [["a"], ["a"]], 2)
     assert traffic.lanes([("a", 5), ("b", 4), ("c", 3), ("d", 3)], 2) == [["a", "d"], ["b", "c"]]
 
 
+def test_market_regime_on_a_full_panel(spark):
+    def context(recent, symbols=61):
+        days = [(f"s{k}", d, float(100 * (recent(k, d) if d >= 28 else 1)), 10 * int(20 * (recent(k, d) if d >= 28 else 1)) // 20) for k in range(symbols) for d in range(35)]
+        f = ranking.market_factors(spark.createDataFrame(days, "symbol string, day bigint, volume double, trades bigint"), 35)
+        return ranking.market_context(f).first()
+
+    up = context(lambda k, d: 1.5)
+    assert (up.state, up.horizon_days, up.panel_count) == ("ACTIVITY_SHIFT_CONFIRMED", 7, 61) and up.volume_factor == Decimal("1.5") and up.trade_breadth == 1
+    assert [context(lambda k, d, n=n: 1.5 if d >= 35 - n else 1)[:2] for n in (3, 1)] == [("ACTIVITY_SHOCK_PENDING", 3), ("ACTIVITY_SHOCK_PENDING", 1)]
+    assert context(lambda k, d: 0.8)[:2] == ("ACTIVITY_SHIFT_CONFIRMED", 7)  # the limit itself counts, downward too
+    assert context(lambda k, d: 1.25 if k < 30 else 1)[:2] == ("NORMAL", 1)
+    small = context(lambda k, d: 1.5, 59)
+    assert (small.state, small.horizon_days, small.panel_count, small.volume_factor, small.volume_breadth) == ("NORMAL", 0, 59, 1, 0)
+    empty = ranking.market_context(spark.createDataFrame([], "symbol string, horizon int, volume_factor decimal(36,18), trade_factor decimal(36,18)")).first()
+    assert (empty.state, empty.horizon_days, empty.panel_count) == ("NORMAL", 0, 0)
+    # exact to 18 digits
+    q = spark.createDataFrame([(Decimal("1"), Decimal("3")), (Decimal("123456789012345678.123456789"), Decimal("0.7")), (Decimal("0"), Decimal("5"))], "a decimal(28,9), b decimal(28,9)")
+    with localcontext(prec=60, rounding=ROUND_DOWN):
+        assert [r[0] for r in q.select(ranking.quotient(F.col("a"), F.col("b"))).collect()] == [(r.a / r.b).quantize(Decimal("1e-18")) for r in q.collect()]
+
+
+def test_effective_rates_fall_back(spark):
+    rates = spark.createDataFrame([("A", m, m % 7 + 1) for m in range(10)], "k string, slot bigint, n bigint")
+    peaks = traffic.blocks(rates, "k", rates.select("slot"), 4)
+    assert rows(peaks) == [("A", 1, 5), ("A", 5, 7)]  # minute 0 is where the recording started
+    base = spark.createDataFrame([("B", 3)], "k string, rate bigint")
+    assert rows(traffic.effective(peaks, "k", 2, base)) == [("A", 7)] and rows(traffic.effective(peaks, "k", 3, base)) == [("B", 3)] and rows(traffic.effective(peaks, "k", 3)) == []
+    assert rows(traffic.effective(peaks.limit(0), "k", 2, base)) == [("B", 3)]
+
+
+def test_conflicts_with_nulls(spark):
+    m = spark.createDataFrame([("a", None, 5), ("a", 5, None), ("b", None, 1), ("b", None, 1), ("c", 1, 1), ("c", 1, 2)], "chunk_id string, x int, y int")
+    assert rows(manifests.conflicts(m)) == [("a", 2), ("c", 2)]
+
+
 @pytest.mark.parametrize("forward", [False, True])
 @pytest.mark.parametrize("slice_of", [None, 7])
 def test_asof(spark, forward, slice_of):

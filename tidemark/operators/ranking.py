@@ -30,8 +30,8 @@ def by_weakest(df: DataFrame, key: str, metrics: Sequence[tuple[str, bool]], gro
     return df.withColumn("position", F.row_number().over(part.orderBy(worst, total, *names, key)))
 
 
-def percentile(df: DataFrame, by: Sequence[str], value: str, numerator: int, denominator: int, to: str, kind: str = "decimal(38,10)") -> DataFrame:
-    """The exact percentile of a decimal(26,8) column per group, without a list of a group's values.
+def percentile(df: DataFrame, by: Sequence[str], value: str, numerator: int, denominator: int, to: str, kind: str = "decimal(38,10)", of: str = "decimal(26,8)") -> DataFrame:
+    """The exact percentile of a column of type ``of`` per group, without a list of a group's values.
 
     Values are counted first (combined on the map side), ordered by value within the group, and
     the two neighbours of the wanted place are picked from running counts.
@@ -46,7 +46,7 @@ def percentile(df: DataFrame, by: Sequence[str], value: str, numerator: int, den
     got = rows.groupBy(*by).agg(
         F.max(F.when(holds(lo), F.col("__x"))).alias("__a"), F.max(F.when(holds(lo + 1), F.col("__x"))).alias("__b"), F.max(F.col("__pos") % denominator).alias("__r")
     )
-    x, few = (lambda c: c.cast("decimal(26,8)")), (lambda c: c.cast("decimal(4,0)"))
+    x, few = (lambda c: c.cast(of)), (lambda c: c.cast("decimal(4,0)"))
     mixed = (x(F.col("__a")) * few(F.lit(denominator) - F.col("__r")) + x(F.coalesce("__b", "__a")) * few(F.col("__r"))) / few(F.lit(denominator))
     return got.select(*by, mixed.cast(kind).alias(to))
 
@@ -55,27 +55,45 @@ def median(values: Column) -> Column:
     return exact_percentile(values, 1, 2)
 
 
+def quotient(a: Column, b: Column) -> Column:
+    """a / b of decimals(28,9), not negative and b above zero, exactly to 18 digits behind the point (then cut) as decimal(36,18).
+
+    Long division in two steps of nine digits: one division of such decimals keeps ten digits only.
+    """
+    div = lambda x, y: F.call_function("div", x, y)
+    nine = F.lit(10**9).cast("decimal(10,0)")
+    wide = lambda c, t: c.cast(f"decimal({t})")
+    step = lambda rest: (lambda q: F.struct(q.alias("q"), wide((rest * nine) - wide(q, "10,0") * b, "28,9").alias("r")))(div(rest * nine, b))
+    whole = div(a, b)
+    first = step(wide(a - wide(whole, "19,0") * b, "28,9"))
+    second = div(first["r"] * nine, b)
+    part = lambda q, unit: wide(q, "10,0") * F.lit(unit).cast("decimal(18,18)")
+    return wide(wide(wide(whole, "18,0"), "36,18") + part(first["q"], "0.000000001") + part(second, "0.000000000000000001"), "36,18")
+
+
 def market_factors(days: DataFrame, end_day: int) -> DataFrame:
-    """Per symbol and horizon the ratio of recent to baseline medians of ``volume`` and ``trades``.
+    """Per symbol and horizon the ratio of recent to baseline medians of ``volume`` and ``trades``, as decimals.
 
-    ``days`` has one row per symbol and ``day``. Only symbols with every one of the 35 days before
-    ``end_day`` and positive baselines take part. Median over at most 28 days each: groups are
-    bounded by the calendar.
+    ``days`` has one row per symbol and ``day``; figures are whole or have up to eight digits behind
+    the point. Only symbols with every one of the 35 days before ``end_day`` and positive baselines
+    take part; a null figure is a missing day. Median over at most 28 days each: groups are bounded
+    by the calendar.
     """
     span = BASELINE_DAYS + max(HORIZONS)
     first = end_day - span
-    src = days.where((F.col("day") >= first) & (F.col("day") < end_day)).withColumn("i", F.col("day") - first)
-    full = src.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("i", F.col("volume").cast("double").alias("v"), F.col("trades").cast("double").alias("t")))).alias("d")).where(F.size("d") == span)
+    src = days.where((F.col("day") >= first) & (F.col("day") < end_day) & F.col("volume").isNotNull() & F.col("trades").isNotNull()).withColumn("i", F.col("day") - first)
+    full = src.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("i", F.col("volume").cast("decimal(26,8)").alias("v"), F.col("trades").cast("decimal(26,8)").alias("t")))).alias("d")).where(F.size("d") == span)
     med = lambda f, lo, n: _median_of(F.transform(F.slice("d", lo + 1, n), lambda x: x[f]))
     base = full.withColumn("bv", med("v", 0, BASELINE_DAYS)).withColumn("bt", med("t", 0, BASELINE_DAYS)).where((F.col("bv") > 0) & (F.col("bt") > 0))
-    each = [F.struct(F.lit(h).alias("horizon"), (med("v", span - h, h) / F.col("bv")).alias("volume_factor"), (med("t", span - h, h) / F.col("bt")).alias("trade_factor")) for h in HORIZONS]
-    return base.select("symbol", F.explode(F.array(*each)).alias("h")).select("symbol", "h.*")
+    recent = F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), med("v", span - h, h).alias("v"), med("t", span - h, h).alias("t")) for h in HORIZONS]))
+    return base.select("symbol", "bv", "bt", recent.alias("h")).select("symbol", "h.horizon", quotient(F.col("h.v"), F.col("bv")).alias("volume_factor"), quotient(F.col("h.t"), F.col("bt")).alias("trade_factor"))
 
 
 def _median_of(a: Column) -> Column:
     s = F.array_sort(a)
     n = F.size(s)
-    return (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2
+    two = F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))
+    return (two * F.lit("0.5").cast("decimal(1,1)")).cast("decimal(28,9)")
 
 
 def market_context(factors: DataFrame, least: int = LEAST_SYMBOLS) -> DataFrame:
@@ -83,22 +101,31 @@ def market_context(factors: DataFrame, least: int = LEAST_SYMBOLS) -> DataFrame:
 
     Per horizon the medians of the factors and the shares of symbols beyond the ratio in the
     direction of volume. A broad move has both medians and both shares beyond the limits. Seven
-    days of it are SHIFT_CONFIRMED, three or one SHOCK_PENDING, else NORMAL by the last day. Panels
-    that are too small are NORMAL with factors of 1 and shares of 0.
+    days of it are ACTIVITY_SHIFT_CONFIRMED, three or one ACTIVITY_SHOCK_PENDING, else NORMAL by
+    the last day. Panels that are too small, empty ones too, are NORMAL with horizon 0, factors of
+    1 and shares of 0. All comparisons are of decimals.
     """
-    mid = factors.groupBy("horizon").agg(F.count(F.lit(1)).alias("panel"), F.median("volume_factor").alias("vf"), F.median("trade_factor").alias("tf"))
-    beyond = lambda c: F.avg(F.when(F.col("vf") >= RATIO, F.when(F.col(c) >= RATIO, 1.0).otherwise(0.0)).otherwise(F.when(F.col(c) <= 1 / RATIO, 1.0).otherwise(0.0)))
-    wide = factors.join(F.broadcast(mid), "horizon").groupBy("horizon", "panel", "vf", "tf").agg(beyond("volume_factor").alias("vb"), beyond("trade_factor").alias("tb"))
-    moved = ((F.col("vf") >= RATIO) & (F.col("tf") >= RATIO) | (F.col("vf") <= 1 / RATIO) & (F.col("tf") <= 1 / RATIO)) & (F.col("vb") >= BREADTH) & (F.col("tb") >= BREADTH)
-    state = F.when(moved & (F.col("horizon") == 7), "SHIFT_CONFIRMED").when(moved, "SHOCK_PENDING").otherwise("NORMAL")
+    number = lambda x: F.lit(str(x)).cast("decimal(4,2)")
+    up, down = number(RATIO), number(1 / RATIO)
+    kind = "decimal(36,18)"
+    mid = factors.groupBy("horizon").agg(F.count(F.lit(1)).alias("panel"))
+    for c, to in (("volume_factor", "vf"), ("trade_factor", "tf")):
+        mid = mid.join(percentile(factors, ["horizon"], c, 1, 2, to, "decimal(38,19)", kind), "horizon")
+    # three rows of horizons
+    beyond = lambda c: F.count_if(F.when(F.col("vf") >= up, F.col(c) >= up).otherwise(F.col(c) <= down))
+    wide = factors.join(F.broadcast(mid), "horizon").groupBy("horizon", "panel", "vf", "tf").agg(beyond("volume_factor").alias("vn"), beyond("trade_factor").alias("tn"))
+    broad = lambda n: F.col(n) * 10 >= F.col("panel") * round(BREADTH * 10)
+    moved = ((F.col("vf") >= up) & (F.col("tf") >= up) | (F.col("vf") <= down) & (F.col("tf") <= down)) & broad("vn") & broad("tn")
+    state = F.when(moved & (F.col("horizon") == 7), "ACTIVITY_SHIFT_CONFIRMED").when(moved, "ACTIVITY_SHOCK_PENDING").otherwise("NORMAL")
     # the first that moved by falling horizon; without one, the last day
     order = F.when(moved, F.lit(100) - F.col("horizon")).otherwise(F.when(F.col("horizon") == 1, 1000).otherwise(2000))
-    best = wide.agg(F.min_by(F.struct(state.alias("state"), "horizon", "panel", "vf", "tf", "vb", "tb"), order).alias("b"))
+    share = lambda n: (F.col(n) / F.col("panel")).cast("decimal(20,18)")
+    best = wide.agg(F.min_by(F.struct(state.alias("state"), "horizon", "panel", "vf", "tf", share("vn").alias("vb"), share("tn").alias("tb")), order).alias("b"))
     enough = F.coalesce(F.col("b.panel") >= least, F.lit(False))
     pick = lambda c, other: F.when(enough, F.col(f"b.{c}")).otherwise(other)
     return best.select(
-        pick("state", "NORMAL").alias("state"), pick("horizon", F.lit(1)).alias("horizon_days"), F.coalesce(F.col("b.panel"), F.lit(0)).alias("panel_count"),
-        pick("vf", F.lit(1.0)).alias("volume_factor"), pick("tf", F.lit(1.0)).alias("trade_factor"), pick("vb", F.lit(0.0)).alias("volume_breadth"), pick("tb", F.lit(0.0)).alias("trade_breadth"),
+        pick("state", "NORMAL").alias("state"), pick("horizon", F.lit(0)).alias("horizon_days"), F.coalesce(F.col("b.panel"), F.lit(0)).alias("panel_count"),
+        pick("vf", F.lit(1)).alias("volume_factor"), pick("tf", F.lit(1)).alias("trade_factor"), pick("vb", F.lit(0)).alias("volume_breadth"), pick("tb", F.lit(0)).alias("trade_breadth"),
     )
 
 

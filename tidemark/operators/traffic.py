@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from itertools import combinations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,10 +27,11 @@ def blocks(rates: DataFrame, key: str, seen: DataFrame, size: int = BLOCK) -> Da
 
     ``seen`` lists the slots that were observed (``slot``), silent ones too. A slot that is missing
     from it ends a run; a run is cut into blocks from its start and an incomplete rest gives none.
+    The first slot, in which the observation started, is never whole and does not count.
     ``seen`` has one row per slot of time whatever the traffic.
     """
     w = Window.orderBy("slot")
-    runs = seen.select("slot").distinct().withColumn("__run", F.col("slot") - F.row_number().over(w))
+    runs = seen.select("slot").distinct().withColumn("__n", F.row_number().over(w)).where("__n > 1").withColumn("__run", F.col("slot") - F.col("__n"))
     place = F.row_number().over(Window.partitionBy("__run").orderBy("slot")) - 1
     runs = runs.withColumn("block_start", F.col("slot") - F.pmod(place, F.lit(size)))
     whole = runs.groupBy("block_start").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") == size).drop("c")
@@ -36,20 +39,27 @@ def blocks(rates: DataFrame, key: str, seen: DataFrame, size: int = BLOCK) -> Da
     return rates.join(inside, "slot").groupBy(key, "block_start").agg(F.max("n").alias("peak"))
 
 
-def effective(peaks: DataFrame, key: str, kept: int = KEPT) -> DataFrame:
-    """The rate to plan with: a key's highest peak over the last ``kept`` blocks, if there are as many."""
-    ids = peaks.select("block_start").distinct().withColumn("__k", F.row_number().over(Window.orderBy(F.desc("block_start")))).where(F.col("__k") <= kept)
-    enough = ids.agg(F.count(F.lit(1)).alias("__c"))
-    last = peaks.join(ids.drop("__k"), "block_start").groupBy(key).agg(F.max("peak").alias("rate"))
-    return last.join(F.broadcast(enough), F.col("__c") == kept).drop("__c")
+def effective(peaks: DataFrame, key: str, kept: int = KEPT, baseline: DataFrame | None = None) -> DataFrame:
+    """The rate to plan with: a key's highest peak over the last ``kept`` blocks.
+
+    While there are fewer blocks, the rates of ``baseline`` (key and ``rate``), else none.
+    """
+    ids = peaks.select("block_start").distinct().orderBy(F.desc("block_start")).limit(kept)
+    enough = ids.agg((F.count(F.lit(1)) == kept).alias("__enough"))  # one row
+    last = peaks.join(F.broadcast(ids), "block_start").groupBy(key).agg(F.max("peak").alias("rate"))
+    last = last.join(F.broadcast(enough.where("__enough")), how="left_semi")
+    return last if baseline is None else last.unionByName(baseline.select(key, F.col("rate").cast(dict(last.dtypes)["rate"])).join(F.broadcast(enough.where("not __enough")), how="left_semi"))
 
 
 def upper_median(rates: DataFrame, value: str) -> DataFrame:
-    """The upper of the two middle values (one row; none for an empty table)."""
-    n = rates.where(F.col(value).isNotNull()).select(F.col(value).alias("v"))
-    w = Window.orderBy("v")
-    place = n.withColumn("k", F.row_number().over(w)).join(F.broadcast(n.agg(F.count(F.lit(1)).alias("c"))))
-    return place.where("k = c div 2 + 1").select(F.col("v").alias("upper_median"))
+    """The upper of the two middle values (one row; none for an empty table).
+
+    Equal values are counted first, combined on the map side; what is ordered in one task is one
+    row per distinct value.
+    """
+    counts = rates.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    up = counts.withColumn("upto", F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))).withColumn("all", F.sum("n").over(Window.partitionBy()))
+    return up.where("upto > all div 2 and upto - n <= all div 2").select(F.col("v").alias("upper_median"))
 
 
 def lanes(sizes: Sequence[tuple[str, int]], count: int) -> list[list[str]]:
@@ -66,46 +76,74 @@ def lanes(sizes: Sequence[tuple[str, int]], count: int) -> list[list[str]]:
     return out
 
 
-def shards(rates: dict[str, int], count: int, current: dict[str, int] | None = None) -> dict[str, int]:
-    """Keys over shards of at most ceil(n / count) + 1 keys, then pairwise swaps while the heaviest gets lighter.
+def _known(symbols: Sequence[str], rates: Mapping[str, int]) -> dict[str, int]:
+    """A rate for each symbol; one without gets the upper median of all rates, or 1 if there are none."""
+    ordered = sorted(rates.values())
+    other = ordered[len(ordered) // 2] if ordered else 1
+    return {s: rates.get(s, other) for s in symbols}
 
-    Keys that have a shard in ``current`` keep it at first.
+
+def shards(symbols: Sequence[str], rates: Mapping[str, int], count: int, current: Mapping[str, int] | None = None) -> list[list[str]]:
+    """Symbols over at most ``count`` shards, none with more than ceil(n / shards) + 1 of them.
+
+    Symbols that have a shard in ``current`` stay there; the others go, heaviest first, to the
+    lightest shard with room. Only where there was no assignment at all, swaps follow for as long
+    as one makes the spread (heaviest less lightest) smaller. Fewer symbols than shards: as many
+    shards as symbols. A plan for some hundred symbols, made on the driver.
+    """
+    count = min(count, len(symbols))
+    if not count:
+        return []
+    rate, room = _known(symbols, rates), -(-len(set(symbols)) // count) + 1
+    kept = {s: at for s, at in (current or {}).items() if s in rate and at < count}
+    out: list[list[str]] = [sorted(s for s, at in kept.items() if at == i) for i in range(count)]
+    load = [sum(rate[s] for s in shard) for shard in out]
+    for s in sorted(rate.keys() - kept.keys(), key=lambda s: (-rate[s], s)):
+        at = min((i for i in range(count) if len(out[i]) < room), key=lambda i: (load[i], i))
+        out[at].append(s)
+        load[at] += rate[s]
+    while not current and _swapped(out, rate):
+        pass
+    return [sorted(shard) for shard in out]
+
+
+def _swapped(at: list[list[str]], rate: Mapping[str, int]) -> bool:
+    """Swap the two symbols that bring the loads closest together, the first such pair of several; False if none does.
+
+    All pairs of two shards are judged at once: the loads of the other shards bound the spread, and
+    the two that change move by the difference of rates.
+    """
+    load = np.array([sum(rate[s] for s in shard) for shard in at], np.int64)
+    least, found = int(load.max() - load.min()), None
+    for a, b in combinations(range(len(at)), 2):
+        if not at[a] or not at[b]:
+            continue
+        other = np.delete(load, [a, b])
+        d = np.array([rate[s] for s in at[a]])[:, None] - np.array([rate[s] for s in at[b]])[None, :]
+        pair = np.stack([load[a] - d, load[b] + d])
+        high, low = pair.max(0), pair.min(0)
+        spread = np.maximum(high, other.max(initial=high.min())) - np.minimum(low, other.min(initial=low.max()))
+        k = int(spread.argmin())
+        if spread.flat[k] < least:
+            least, found = int(spread.flat[k]), (a, b, *divmod(k, len(at[b])))
+    if found is None:
+        return False
+    a, b, i, j = found
+    left, right = at[a].pop(i), at[b].pop(j)
+    at[a].append(right)
+    at[b].append(left)
+    return True
+
+
+def rebalance(symbols: Sequence[str], rates: Mapping[str, int], at: Sequence[Sequence[str]], count: int, trigger: float = TRIGGER) -> list[list[str]]:
+    """At most one swap, and only if the heaviest shard has more than ``trigger`` times the mean load.
+
+    ``at`` must hold every symbol once, in as many shards as there are to be.
     """
-    cap = -(-len(rates) // count) + 1
-    at = {k: s for k, s in (current or {}).items() if k in rates and s < count}
-    load, used = [0] * count, [0] * count
-    for k, s in at.items():
-        load[s] += rates[k]
-        used[s] += 1
-    for k in sorted(set(rates) - set(at), key=lambda k: (-rates[k], k)):
-        s = min((i for i in range(count) if used[i] < cap), key=lambda i: (load[i], i))
-        at[k] = s
-        load[s] += rates[k]
-        used[s] += 1
-    while (best := _swap(rates, at, load)) is not None:
-        a, b = best
-        at[a], at[b] = at[b], at[a]
-        load = [sum(rates[k] for k, s in at.items() if s == i) for i in range(count)]
-    return at
-
-
-def _swap(rates: dict[str, int], at: dict[str, int], load: list[int]) -> tuple[str, str] | None:
-    """The pair whose swap lowers the highest load of the heaviest shard and its partner most."""
-    top = max(range(len(load)), key=lambda i: (load[i], -i))
-    best, least = None, load[top]
-    for a in sorted(k for k, s in at.items() if s == top):
-        for b in sorted(k for k, s in at.items() if s != top):
-            d = rates[a] - rates[b]
-            worst = max(load[top] - d, load[at[b]] + d)
-            if worst < least:
-                best, least = (a, b), worst
-    return best
-
-
-def rebalance(rates: dict[str, int], at: dict[str, int], count: int, trigger: float = TRIGGER) -> dict[str, int]:
-    """At most one swap, and only if the heaviest shard has more than ``trigger`` times the mean load."""
-    load = [sum(rates.get(k, 0) for k, s in at.items() if s == i) for i in range(count)]
-    if max(load) * count <= trigger * sum(load) or (best := _swap(rates, at, load)) is None:
-        return at
-    a, b = best
-    return at | {a: at[b], b: at[a]}
+    if len(at) != min(count, len(symbols)) or sorted(s for shard in at for s in shard) != sorted(set(symbols)):
+        raise ValueError("the assignment does not hold every symbol once in the right number of shards")
+    out, rate = [list(shard) for shard in at], _known(symbols, rates)
+    load = [sum(rate[s] for s in shard) for shard in out]
+    if len(out) > 1 and max(load) * len(out) > trigger * sum(load):
+        _swapped(out, rate)
+    return [sorted(shard) for shard in out]

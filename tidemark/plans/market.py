@@ -128,34 +128,6 @@ def dedup_conflicts(spark, d):
     return sliding.flag(t, _KEY, "app_receive_realtime_ns", _ORDER, "__chunk", content="payload_hash").where("in_conflict").groupBy("stream_type").agg(F.count(F.lit(1)).alias("conflicts"))
 
 
-_CUT = "(select max(app_receive_realtime_ns) - 1800000000000 from typed_events)"
-
-
-@query(_seen_sql() + f"select stream_type, count(*) carried from (select stream_type, exchange_symbol, k, max(app_receive_realtime_ns) last from x where k is not null and app_receive_realtime_ns < {_CUT} group by all) where last >= {_CUT} - 600000000000 group by 1")
-def dedup_carry_checkpoint(spark, d):
-    t = _identified(spark, d)
-    end = t.agg(F.max("app_receive_realtime_ns")).first()[0]
-    if end is None:
-        return t.select("stream_type", F.lit(0).cast("bigint").alias("carried")).limit(0)
-    end -= 1800 * 10**9
-    first = t.where(F.col("app_receive_realtime_ns") < end)
-    return sliding.carried(first, _KEY, "app_receive_realtime_ns", _ORDER, end).groupBy(F.col("__is").alias("stream_type")).agg(F.count(F.lit(1)).alias("carried"))
-
-
-@query(_seen_sql() + f"select connection_id, receive_seq, coalesce(before >= wm - 600000000000, false) is_duplicate from o where app_receive_realtime_ns >= {_CUT}")
-def dedup_over_midnight(spark, d):
-    """The rows behind a cut, flagged with only the carried state of what was before. Every midnight and all rows: dedup_over_midnights."""
-    t = _identified(spark, d).where(F.col("__is").isNotNull()).select("connection_id", "receive_seq", "app_receive_realtime_ns", "__chunk", *_KEY)
-    end = t.agg(F.max("app_receive_realtime_ns")).first()[0]
-    if end is None:
-        return t.select("connection_id", "receive_seq", F.lit(False).alias("is_duplicate"))
-    top = _t(spark, d, "typed_events").agg(F.max("app_receive_realtime_ns")).first()[0]
-    end = top - 1800 * 10**9
-    before, after = t.where(F.col("app_receive_realtime_ns") < end), t.where(F.col("app_receive_realtime_ns") >= end)
-    carry = sliding.carried(before, _KEY, "app_receive_realtime_ns", _ORDER, end)
-    return sliding.flag(after, _KEY, "app_receive_realtime_ns", _ORDER, "__chunk", carry=carry).select("connection_id", "receive_seq", "is_duplicate")
-
-
 _DAY_TIME = 86_400 * 10**9
 # every midnight after the first day; within one day the second in which the middle row was received
 _CUTS = f"""sec as (select app_receive_realtime_ns // 1000000000 s, count(*) c from typed_events group by 1), mid as (select min(s) * 1000000000 cut from (select s, 2 * sum(c) over (order by s) >= sum(c) over () half from sec) where half),
@@ -184,7 +156,7 @@ def _carries(t: DataFrame, end) -> DataFrame:
 
 
 @query(_seen_sql(f", {_CUTS}, l as (select cut, stream_type, exchange_symbol, k, max(app_receive_realtime_ns) last from x join cuts on app_receive_realtime_ns < cut and app_receive_realtime_ns >= cut - 600000000000 where k is not null group by all)") + " select cut, stream_type, count(*) carried from l group by 1, 2")
-def dedup_carry_checkpoints(spark, d):
+def dedup_carry_checkpoint(spark, d):
     """Identities carried over each midnight (or the middle of a single day) by stream."""
     t, end = _parts(spark, d)
     carry = sliding.carried(t, _KEY, "app_receive_realtime_ns", _ORDER, end, parts=["__part"]).withColumn("cut", end)
@@ -193,7 +165,7 @@ def dedup_carry_checkpoints(spark, d):
 
 
 @query(_seen_sql() + "select connection_id, receive_seq, coalesce(before >= wm - 600000000000, false) is_duplicate from o union all select connection_id, receive_seq, false from x where k is null")
-def dedup_over_midnights(spark, d):
+def dedup_over_midnight(spark, d):
     """All rows, each day (or half of a single day) flagged with only the carried state of the one before."""
     t, end = _parts(spark, d)
     t = t.select("connection_id", "receive_seq", "app_receive_realtime_ns", "__chunk", "__part", *_KEY)
@@ -267,36 +239,6 @@ def gap_rollover_days(spark, d):
     return intervals.by_day(_gaps(spark, d), 86_400_000_000).select("user_id", "day", "lo", "hi")
 
 
-_DAYLEN = 7 * 86_400_000_000
-_COV = f"""with {_FACTS}, wn as (select lo w0, lo + {_DAYLEN} w1 from lim), v0 as (select user_id, greatest(t, w0) lo, least(t + 3600000000, w1) hi from {_EV}, wn where event_type = 'view' and greatest(t, w0) < least(t + 3600000000, w1)),
-b0 as (select user_id, greatest(lo, w0) lo, least(hi, w1) hi from g, wn where greatest(lo, w0) < least(hi, w1)), {_UNION.format('v0', 'v')},
-b1 as (select b0.user_id, b0.lo, case when exists (select 1 from v where v.user_id = b0.user_id and v.lo <= b0.hi and b0.hi < v.hi) then b0.hi else coalesce((select min(v.lo) from v where v.user_id = b0.user_id and v.lo >= b0.hi), (select w1 from wn)) end hi from b0),
-b2 as (select * from b1 where lo < hi), {_UNION.replace('u0', 'y0').replace('u1', 'y1').format('b2', 'b')}, a0 as (select * from v union all select * from b2), {_UNION.replace('u0', 'z0').replace('u1', 'z1').format('a0', 'a')},
-c0 as (select v.user_id, greatest(v.lo, b.lo) lo, least(v.hi, b.hi) hi from v join b on v.user_id = b.user_id and v.lo < b.hi and b.lo < v.hi),
-n as (select distinct user_id from events), t(k, user_id, x) as (select 'v', user_id, sum(hi - lo) from v group by user_id union all select 'b', user_id, sum(hi - lo) from b group by user_id union all select 'a', user_id, sum(hi - lo) from a group by user_id union all select 'c', user_id, sum(hi - lo) from c0 group by user_id),
-r as (select cast(n.user_id as varchar) exchange_symbol, cast({_DAYLEN} as bigint) expected_ns, cast(coalesce(max(x) filter (k = 'v'), 0) as bigint) valid_ns, cast(coalesce(max(x) filter (k = 'b'), 0) as bigint) explicit_invalid_ns, cast(coalesce(max(x) filter (k = 'a'), 0) as bigint) accounted_ns, cast(coalesce(max(x) filter (k = 'c'), 0) as bigint) conflicting_ns from n left join t on t.user_id = n.user_id group by n.user_id),
-q as (select *, expected_ns - accounted_ns unclassified_ns, format('{{:.9f}}', valid_ns / expected_ns) valid_ratio, format('{{:.9f}}', accounted_ns / expected_ns) accounted_ratio, valid_ns * 1000 >= expected_ns * 999 and accounted_ns = expected_ns and conflicting_ns = 0 accepted from r) """
-
-
-def _covered(spark, d) -> DataFrame:
-    lo = _us(spark, d).agg(F.min("t")).first()[0] or 0
-    name = lambda df: df.withColumn("exchange_symbol", F.col("user_id").cast("string"))
-    bad = intervals.clip(name(_gaps(spark, d)), lo, lo + _DAYLEN)
-    return quality.coverage(name(_us(spark, d)), name(_spans(spark, d, "view")), bad, lo, lo + _DAYLEN)
-
-
-@query(_COV + "select * from q")
-def coverage_report(spark, d):
-    """The first seven days only; every day: coverage_days."""
-    return _covered(spark, d)
-
-
-@query(_COV + "select bool_and(accepted) accepted, count(*) symbols, count(*) filter (not accepted) rejected from q")
-def day_verdict(spark, d):
-    """Of the first seven days only; of every day: day_verdicts."""
-    return quality.verdict(_covered(spark, d)).withColumn("rejected", F.size("rejected").cast("bigint"))
-
-
 _DAY_US = 86_400_000_000
 _BY_DAY = lambda x, to: _UNION.replace("user_id", "user_id, day").replace("u0", to + "0").replace("u1", to + "1").format(*x)
 _COV_DAYS = f"""with {_FACTS}, dd as (select unnest(range(lo // {_DAY_US}, (hi - 1) // {_DAY_US} + 1)) as day from lim), vx as (select user_id, t lo, t + 3600000000 hi from {_EV} where event_type = 'view'),
@@ -316,13 +258,13 @@ def _covered_days(spark, d) -> DataFrame:
 
 
 @query(_COV_DAYS + "select * from q")
-def coverage_days(spark, d):
+def coverage_report(spark, d):
     """Coverage of every UTC day from the first event to the last."""
     return _covered_days(spark, d)
 
 
 @query(_COV_DAYS + "select day, bool_and(accepted) accepted, count(*) symbols, count(*) filter (not accepted) rejected from q group by day")
-def day_verdicts(spark, d):
+def day_verdict(spark, d):
     return quality.verdict(_covered_days(spark, d), ["day"]).withColumn("rejected", F.size("rejected").cast("bigint"))
 
 
@@ -437,34 +379,34 @@ def top_of_cross_section(spark, d):
     return _ranked_symbols(spark, d).where("position <= 55").select("exchange_symbol", "position", F.when(F.col("position") <= 50, "core").otherwise("boundary").alias("slot"))
 
 
-_FACT = (
-    f"with {_DAILY}, "
-    + """x as (select s, d - (select max(d) + 1 - 35 from k) i, coalesce(v, 0)::double v, coalesce(t, 0)::double t from k where d >= (select max(d) + 1 - 35 from k)), f as (select s from x group by s having count(*) = 35),
+# suppliers stand for instruments and stretches of 70 days for days: a panel that is full at every size
+_FACT = """with k as (select l_suppkey s, date_diff('day', date '1970-01-01', cast(l_shipdate as date)) // 70 d, sum(cast(round(l_extendedprice * 100) as bigint))::double / 100 v, count(*)::double t from lineitem group by 1, 2),
+x as (select s, d - ((select max(d) from k) - 35) i, v, t from k where d >= (select max(d) from k) - 35 and d < (select max(d) from k)), f as (select s from x group by s having count(*) = 35),
 y as (select x.s, median(v) filter (i < 28) bv, median(t) filter (i < 28) bt, median(v) filter (i >= 28) v7, median(t) filter (i >= 28) t7, median(v) filter (i >= 32) v3, median(t) filter (i >= 32) t3, median(v) filter (i >= 34) v1, median(t) filter (i >= 34) t1 from x join f using (s) group by x.s),
 m as (select s, 7 horizon, v7 / bv vf, t7 / bt tf from y where bv > 0 and bt > 0 union all select s, 3, v3 / bv, t3 / bt from y where bv > 0 and bt > 0 union all select s, 1, v1 / bv, t1 / bt from y where bv > 0 and bt > 0) """
-)
 
 
 def _factors(spark, d) -> DataFrame:
-    bars = _bars(spark, d).select(F.col("exchange_symbol").alias("symbol"), "day", F.coalesce("v", F.lit(0)).alias("volume"), F.coalesce("t", F.lit(0)).alias("trades"))
-    return ranking.market_factors(bars, (bars.agg(F.max("day")).first()[0] or 0) + 1)
+    days = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("symbol"), F.expr("unix_date(cast(l_shipdate as date)) div 70").alias("day"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("c"))
+    days = days.groupBy("symbol", "day").agg((F.sum("c").cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).alias("volume"), F.count(F.lit(1)).alias("trades"))
+    return ranking.market_factors(days, days.agg(F.max("day")).first()[0] or 0)
 
 
 @query(_FACT + "select s symbol, horizon, round(vf, 8) volume_factor, round(tf, 8) trade_factor from m")
 def market_factors(spark, d):
-    return _factors(spark, d).select("symbol", "horizon", F.round("volume_factor", 8).alias("volume_factor"), F.round("trade_factor", 8).alias("trade_factor"))
+    return _factors(spark, d).select("symbol", "horizon", *[F.round(F.col(c).cast("double"), 8).alias(c) for c in ("volume_factor", "trade_factor")])
 
 
 @query(
     _FACT
     + """, h as (select horizon, count(*) panel, median(vf) mv, median(tf) mt from m group by 1), w as (select h.horizon, panel, mv, mt, avg(case when mv >= 1.25 then (vf >= 1.25)::int else (vf <= 0.8)::int end) vb, avg(case when mv >= 1.25 then (tf >= 1.25)::int else (tf <= 0.8)::int end) tb from m join h using (horizon) group by all),
-o as (select *, ((mv >= 1.25 and mt >= 1.25) or (mv <= 0.8 and mt <= 0.8)) and vb >= 0.7 and tb >= 0.7 moved from w), bb as (select *, case when moved and horizon = 7 then 'SHIFT_CONFIRMED' when moved then 'SHOCK_PENDING' else 'NORMAL' end state from o order by case when moved then 100 - horizon when horizon = 1 then 1000 else 2000 end limit 1)
-select case when n >= 60 then bb.state else 'NORMAL' end state, case when n >= 60 then bb.horizon else 1 end horizon_days, n panel_count, case when n >= 60 then round(mv, 8) else 1 end volume_factor, case when n >= 60 then round(mt, 8) else 1 end trade_factor, case when n >= 60 then round(vb, 8) else 0 end volume_breadth, case when n >= 60 then round(tb, 8) else 0 end trade_breadth
+o as (select *, ((mv >= 1.25 and mt >= 1.25) or (mv <= 0.8 and mt <= 0.8)) and vb >= 0.7 and tb >= 0.7 moved from w), bb as (select *, case when moved and horizon = 7 then 'ACTIVITY_SHIFT_CONFIRMED' when moved then 'ACTIVITY_SHOCK_PENDING' else 'NORMAL' end state from o order by case when moved then 100 - horizon when horizon = 1 then 1000 else 2000 end limit 1)
+select case when n >= 60 then bb.state else 'NORMAL' end state, case when n >= 60 then bb.horizon else 0 end horizon_days, n panel_count, case when n >= 60 then round(mv, 8) else 1 end volume_factor, case when n >= 60 then round(mt, 8) else 1 end trade_factor, case when n >= 60 then round(vb, 8) else 0 end volume_breadth, case when n >= 60 then round(tb, 8) else 0 end trade_breadth
 from (select coalesce(max(panel), 0) n from h) left join bb on true"""
 )
 def market_regime(spark, d):
     c = ranking.market_context(_factors(spark, d))
-    return c.select("state", "horizon_days", "panel_count", *[F.round(x, 8).alias(x) for x in ("volume_factor", "trade_factor", "volume_breadth", "trade_breadth")])
+    return c.select("state", "horizon_days", "panel_count", *[F.round(F.col(x).cast("double"), 8).alias(x) for x in ("volume_factor", "trade_factor", "volume_breadth", "trade_breadth")])
 
 
 _BAND = """with l as (select connection_id c, receive_seq r, 'bid' side, unnest(bids) x from typed_events where stream_type = 'depth_snapshot' union all select connection_id, receive_seq, 'ask', unnest(asks) from typed_events where stream_type = 'depth_snapshot'),
@@ -487,16 +429,17 @@ def _rates(spark, d) -> DataFrame:
     return traffic.per_slot(_t(spark, d, "typed_events"), "exchange_symbol", "app_receive_realtime_ns")
 
 
-def _seen(spark, d) -> DataFrame:
-    return _t(spark, d, "typed_events").select(F.expr(f"app_receive_realtime_ns div {traffic.MINUTE_NS}").alias("slot")).distinct()
+_RATE = "r as (select exchange_symbol s, app_receive_realtime_ns // 60000000000 m, count(*) n from typed_events where exchange_symbol is not null and app_receive_realtime_ns is not null group by 1, 2)"
+# users stand for symbols: events span 30 days at every size. The recorder runs through from the first minute to the last;
+# the one in which it started is not whole and does not count
+_BLOCKS = f"""r as (select cast(user_id as varchar) s, {_US} // 60000000 m, count(*) n from events group by 1, 2), a as (select min(m) lo, max(m) hi from r), i as (select unnest(range(lo + 1, hi + 1)) m from a),
+j as (select i.m, lo + 1 + (i.m - lo - 1) // {traffic.BLOCK} * {traffic.BLOCK} st from i, a), w as (select st from j group by st having count(*) = {traffic.BLOCK}), k as (select s, j.st block_start, max(n) peak from r join j using (m) join w on w.st = j.st group by 1, 2)"""
 
 
-_RATE = "r as (select exchange_symbol s, app_receive_realtime_ns // 60000000000 m, count(*) n from typed_events where exchange_symbol is not null and app_receive_realtime_ns is not null group by 1, 2)"
-_BLOCKS = (
-    _RATE
-    + """, a as (select distinct app_receive_realtime_ns // 60000000000 m from typed_events), i as (select m, m - row_number() over (order by m) g from a), j as (select m, m - (row_number() over (partition by g order by m) - 1) % 10 st from i),
-w as (select st from j group by st having count(*) = 10), k as (select s, j.st block_start, max(n) peak from r join j using (m) join w on w.st = j.st group by 1, 2)"""
-)
+def _peaks(spark, d) -> DataFrame:
+    rates = traffic.per_slot(_us(spark, d).withColumn("exchange_symbol", F.col("user_id").cast("string")), "exchange_symbol", "t", 60_000_000)
+    seen = rates.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi")).select(F.explode(F.expr("sequence(lo, hi)")).alias("slot"))
+    return traffic.blocks(rates, "exchange_symbol", seen)
 
 
 @query(f"with {_RATE} select s exchange_symbol, m slot, n from r")
@@ -506,29 +449,14 @@ def minute_rates(spark, d):
 
 @query(f"with {_BLOCKS} select s exchange_symbol, block_start, peak from k")
 def block_peaks(spark, d):
-    """Peaks in blocks of 10 minutes only; whole blocks: hourly_block_peaks."""
-    return traffic.blocks(_rates(spark, d), "exchange_symbol", _seen(spark, d), 10)
+    return _peaks(spark, d)
 
 
-@query(f"with {_BLOCKS}, l as (select distinct block_start from k order by 1 desc limit 2) select s exchange_symbol, max(peak) rate from k where block_start in (select * from l) and (select count(*) from l) = 2 group by 1")
+@query(f"with {_BLOCKS}, l as (select distinct block_start from k order by 1 desc limit {traffic.KEPT}), e as (select count(*) = {traffic.KEPT} enough from l) select s exchange_symbol, max(peak) rate from k, e where enough and block_start in (select * from l) group by 1 union all select exchange_symbol, message_rate from message_rates, e where not enough")
 def effective_rates(spark, d):
-    """Of the last two blocks of 10 minutes only; the rate to plan with: planning_rates."""
-    return traffic.effective(traffic.blocks(_rates(spark, d), "exchange_symbol", _seen(spark, d), 10), "exchange_symbol", 2)
-
-
-_WHOLE_BLOCKS = _BLOCKS.replace("% 10 ", f"% {traffic.BLOCK} ").replace("= 10)", f"= {traffic.BLOCK})")
-
-
-@query(f"with {_WHOLE_BLOCKS} select s exchange_symbol, block_start, peak from k")
-def hourly_block_peaks(spark, d):
-    """Peaks in the operator's own blocks of 60 minutes."""
-    return traffic.blocks(_rates(spark, d), "exchange_symbol", _seen(spark, d))
-
-
-@query(f"with {_WHOLE_BLOCKS}, l as (select distinct block_start from k order by 1 desc limit {traffic.KEPT}) select s exchange_symbol, max(peak) rate from k where block_start in (select * from l) and (select count(*) from l) = {traffic.KEPT} group by 1")
-def planning_rates(spark, d):
-    """The rate to plan with: the highest peak of the last 24 blocks of 60 minutes; no rows while there are fewer blocks."""
-    return traffic.effective(traffic.blocks(_rates(spark, d), "exchange_symbol", _seen(spark, d)), "exchange_symbol")
+    """The rate to plan with: the highest peak of the last 24 blocks of 60 minutes; the configured rates while there are fewer blocks."""
+    baseline = _t(spark, d, "message_rates").withColumnRenamed("message_rate", "rate")
+    return traffic.effective(_peaks(spark, d), "exchange_symbol", baseline=baseline)
 
 
 @query("select list_sort(list(message_rate))[count(*) // 2 + 1] upper_median from message_rates where message_rate is not null")
@@ -538,9 +466,11 @@ def default_rate(spark, d):
 
 @query()
 def shard_balance(spark, d):
-    """Symbols with a rate over four shards (a plan for tens of symbols, made on the driver)."""
+    """The symbols of raw_events over four shards by their configured rates (a plan for tens of symbols, made on the driver)."""
     rates = {r[0]: r[1] for r in _t(spark, d, "message_rates").where("message_rate is not null").collect()}
-    return spark.createDataFrame(sorted((k, s, rates[k]) for k, s in traffic.shards(rates, 4).items()), "exchange_symbol string, shard int, message_rate bigint")
+    symbols = [r[0] for r in _symbols(spark, d, "raw_events").collect()]
+    rows = [(s, n) for n, shard in enumerate(traffic.shards(symbols, rates, 4)) for s in shard]
+    return spark.createDataFrame(rows, "exchange_symbol string, shard int")
 
 
 @query("with c as (select exchange_symbol s, count(*) n from l2_projection group by 1) select s exchange_symbol, n as rows, not exists (select 1 from message_rates r where r.exchange_symbol = s) ignored, row_number() over (partition by not exists (select 1 from message_rates r where r.exchange_symbol = s) order by n desc, s) schedule from c")
