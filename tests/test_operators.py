@@ -254,7 +254,7 @@ def test_market_regime_on_a_full_panel(spark):
     empty = ranking.market_context(spark.createDataFrame([], "symbol string, horizon int, volume_factor decimal(36,18), trade_factor decimal(36,18)")).first()
     assert (empty.state, empty.horizon_days, empty.panel_count) == ("NORMAL", 0, 0)
     # exact to 18 digits
-    q = spark.createDataFrame([(Decimal("1"), Decimal("3")), (Decimal("123456789012345678.123456789"), Decimal("0.7")), (Decimal("0"), Decimal("5"))], "a decimal(28,9), b decimal(28,9)")
+    q = spark.createDataFrame([(Decimal("1"), Decimal("3")), (Decimal("123456789012345678.123456789"), Decimal("0.7")), (Decimal("0"), Decimal("5"))], "a decimal(27,9), b decimal(27,9)")
     with localcontext(prec=60, rounding=ROUND_DOWN):
         assert [r[0] for r in q.select(ranking.quotient(F.col("a"), F.col("b"))).collect()] == [(r.a / r.b).quantize(Decimal("1e-18")) for r in q.collect()]
 

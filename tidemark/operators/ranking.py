@@ -56,16 +56,16 @@ def median(values: Column) -> Column:
 
 
 def quotient(a: Column, b: Column) -> Column:
-    """a / b of decimals(28,9), not negative and b above zero, exactly to 18 digits behind the point (then cut) as decimal(36,18).
+    """a / b of decimals(27,9), not negative and b above zero, exactly to 18 digits behind the point (then cut) as decimal(36,18).
 
     Long division in two steps of nine digits: one division of such decimals keeps ten digits only.
     """
     div = lambda x, y: F.call_function("div", x, y)
     nine = F.lit(10**9).cast("decimal(10,0)")
     wide = lambda c, t: c.cast(f"decimal({t})")
-    step = lambda rest: (lambda q: F.struct(q.alias("q"), wide((rest * nine) - wide(q, "10,0") * b, "28,9").alias("r")))(div(rest * nine, b))
+    step = lambda rest: (lambda q: F.struct(q.alias("q"), wide((rest * nine) - wide(q, "10,0") * b, "27,9").alias("r")))(div(rest * nine, b))
     whole = div(a, b)
-    first = step(wide(a - wide(whole, "19,0") * b, "28,9"))
+    first = step(wide(a - wide(whole, "19,0") * b, "27,9"))
     second = div(first["r"] * nine, b)
     part = lambda q, unit: wide(q, "10,0") * F.lit(unit).cast("decimal(18,18)")
     return wide(wide(wide(whole, "18,0"), "36,18") + part(first["q"], "0.000000001") + part(second, "0.000000000000000001"), "36,18")
@@ -93,7 +93,7 @@ def _median_of(a: Column) -> Column:
     s = F.array_sort(a)
     n = F.size(s)
     two = F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))
-    return (two * F.lit("0.5").cast("decimal(1,1)")).cast("decimal(28,9)")
+    return (two * F.lit("0.5").cast("decimal(1,1)")).cast("decimal(27,9)")
 
 
 def market_context(factors: DataFrame, least: int = LEAST_SYMBOLS) -> DataFrame:
