@@ -63,12 +63,10 @@ def quotient(a: Column, b: Column) -> Column:
     div = lambda x, y: F.call_function("div", x, y)
     nine = F.lit(10**9).cast("decimal(10,0)")
     wide = lambda c, t: c.cast(f"decimal({t})")
-    step = lambda rest: (lambda q: F.struct(q.alias("q"), wide((rest * nine) - wide(q, "10,0") * b, "27,9").alias("r")))(div(rest * nine, b))
-    whole = div(a, b)
-    first = step(wide(a - wide(whole, "19,0") * b, "27,9"))
-    second = div(first["r"] * nine, b)
+    whole, rest = div(a, b), wide(a % b, "27,9") * nine
+    first, second = div(rest, b), div(wide(rest % b, "27,9") * nine, b)
     part = lambda q, unit: wide(q, "10,0") * F.lit(unit).cast("decimal(18,18)")
-    return wide(wide(wide(whole, "18,0"), "36,18") + part(first["q"], "0.000000001") + part(second, "0.000000000000000001"), "36,18")
+    return wide(wide(wide(whole, "18,0"), "36,18") + part(first, "0.000000001") + part(second, "0.000000000000000001"), "36,18")
 
 
 def market_factors(days: DataFrame, end_day: int) -> DataFrame:
