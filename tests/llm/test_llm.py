@@ -118,10 +118,9 @@ def test_budget_fits_as_well_as_can_be(seed):
     took = mix.fit(counts, budget)
     assert all(0 < k <= counts[n] for n, k in took.items())
     got = sum(n * k for n, k in took.items())
-    base = {n: k * min(budget, total) // total for n, k in counts.items()}
-    sums = {sum(n * k for n, k in base.items())}
+    sums = {0}
     for n, k in counts.items():
-        sums = {s + n * j for s in sums for j in range(k - base[n] + 1)}
+        sums = {s + n * j for s in sums for j in range(k + 1)}
     assert got == max(s for s in sums if s <= budget)
 
 
@@ -138,6 +137,23 @@ def test_document_longer_than_the_fitted_rest_is_taken():
     assert mix.fit({1_300_000: 2}, 1_250_000) == {}
 
 
+def test_lengths_of_any_size_are_fitted_exactly():
+    spent = lambda took: sum(n * k for n, k in took.items())
+    assert mix.fit({900_000: 1, 800_000: 1, 700_000: 1}, 1_500_000) == {800_000: 1, 700_000: 1}
+    assert spent(mix.fit({300_000: 1, 299_999: 1, 150_000: 1}, 300_000)) == 300_000
+    assert mix.fit({2_000_000: 1, 1_999_999: 1}, 2_000_000) == {2_000_000: 1}
+    rng = random.Random(7)
+    for case in range(80):
+        top = rng.choice([40, 3 * mix.EXACT, 20 * mix.EXACT])
+        counts = {rng.randint(1, top): rng.randint(1, 3) for _ in range(rng.randint(1, 6))}
+        sums = {0}
+        for n, k in counts.items():
+            sums = {s + n * j for s in sums for j in range(k + 1)}
+        budget = rng.choice([rng.choice(sorted(sums)), rng.randint(0, max(sums))])
+        took = mix.fit(counts, budget)
+        assert spent(took) == max(s for s in sums if s <= budget) and all(k <= counts[n] for n, k in took.items()), (counts, budget)
+
+
 def test_mixture(spark):
     rng = random.Random(2)
     docs = [(i, rng.choice(["web", " WEB", "News", "hot", "hot", "hot", "other", None]), rng.choice([None, "", "word " * rng.randint(1, 60)]), 9) for i in range(900)]

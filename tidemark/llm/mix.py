@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from dataclasses import dataclass, field
+from fractions import Fraction
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.encode import VOCABULARY, count
-from tidemark.session import cut, small
+from tidemark.session import cut, fits
 
-#: Tokens up to which the rest of a budget is fitted exactly by dynamic programming.
+#: Tokens of a budget that are fitted exactly at first; more if they cannot be met.
 EXACT = 1 << 17
 #: Buckets of the seeded order in which documents of one length are taken.
 ORDER_BUCKETS = 1 << 12
 
+#: Tasks that the documents of one length are spread over where the plan is too large to broadcast.
+SALTS = 32
+
 
 @dataclass
 class Plan:
@@ -36,64 +40,82 @@ class Plan:
         return self.whole * self.tokens + sum(n * k for n, k in self.extra.items())
 
 
+def _sums(items: list[tuple[int, int]], most: int) -> int:
+    """All sums up to ``most`` of up to k times n for each (n, k), as the set bits of a number."""
+    reach, mask = 1, (1 << (most + 1)) - 1
+    for n, k in items:
+        k, step = min(k, most // n), 1
+        while k > 0:  # powers of two and a rest make every count
+            step = min(step, k)
+            reach |= (reach << (n * step)) & mask
+            k, step = k - step, step * 2
+    return reach
+
+
+_TURNED = bytes(int(f"{x:08b}"[::-1], 2) for x in range(256))
+
+
+def _mirrored(bits: int, most: int) -> int:
+    """Bit i of the result is bit ``most`` - i of ``bits``."""
+    size = most // 8 + 1
+    return int.from_bytes(bits.to_bytes(size, "little").translate(_TURNED)[::-1], "little") >> (size * 8 - 1 - most)
+
+
+def _pick(items: list[tuple[int, int]], target: int) -> dict[int, int]:
+    """How many of each make ``target``, which must be one of their sums: halves are asked what they can add to each other."""
+    if target == 0:
+        return {}
+    if len(items) == 1:
+        return {items[0][0]: target // items[0][0]}
+    half = len(items) // 2
+    both = _sums(items[:half], target) & _mirrored(_sums(items[half:], target), target)
+    left = (both & -both).bit_length() - 1
+    return _pick(items[:half], left) | _pick(items[half:], target - left)
+
+
 def fit(counts: dict[int, int], budget: int) -> dict[int, int]:
-    """How many documents of each length to take so that lengths add up to ``budget`` or just below.
+    """How many documents of each length to take so that lengths add up to ``budget``, or to the most below it that any choice has.
 
     ``counts`` has the documents of each length above zero. First every length gives the same
-    fraction of its documents, rounded down, so the choice keeps the distribution of lengths. Of
-    the remainder, the longest documents that fit are added until at most EXACT tokens are
-    missing; those are fitted by bounded-knapsack dynamic programming, with each length split into
-    powers of two. The first combination that reaches a sum is kept, so it can be read back
-    without a table per item.
+    fraction of its documents, rounded down, so the choice keeps the distribution of lengths, and
+    the longest that fit are added while more than EXACT tokens are missing. The remainder is
+    fitted by bounded-knapsack dynamic programming over sets of reachable sums. If it cannot be met
+    to the token, ever more of what was taken is given back and fitted again, eight times as many
+    tokens each time, in the end the whole budget: then the answer is the best there is. With
+    lengths of any size nothing is cut off; memory is an eighth of a byte per token of what is fitted.
     """
+    counts = {n: k for n, k in counts.items() if n > 0 and k > 0}
     total = sum(n * k for n, k in counts.items())
-    budget = max(0, min(budget, total))
-    take = {n: k * budget // total for n, k in counts.items()} if total else {}
-    rest = budget - sum(n * k for n, k in take.items())
-    for n in sorted(counts, reverse=True):
-        if rest <= EXACT:
-            break
-        need = rest - EXACT
-        more = min(counts[n] - take[n], -(-need // n) if n <= EXACT else need // n)
-        take[n] += more
-        rest -= more * n
-    # more than EXACT is missing only where each document that is left is longer than the rest without EXACT
-    for n in sorted(counts, reverse=True):
-        if rest <= 8 * EXACT:
-            break
-        more = min(counts[n] - take[n], rest // n)
-        take[n] += more
-        rest -= more * n
-    rest_of = min(rest, 8 * EXACT)  # beyond it no document that is left fits
-    reach = np.zeros(rest_of + 1, bool)
-    reach[0] = True
-    via = np.full(rest_of + 1, -1, np.int64)
-    items: list[tuple[int, int]] = []
-    # short lengths last: they close what is left
-    for n in sorted(counts, reverse=True):
-        left, k = counts[n] - take[n], 1
-        while left > 0 and n <= rest_of:
-            k = min(k, left)
-            w = n * k
-            if w > rest_of:
-                k = rest_of // n
-                if not k:
-                    break
-                w, left = n * k, k
-            new = reach[:-w] & ~reach[w:]
-            via[w:][new] = len(items)
-            reach[w:] |= new
-            items.append((n, k))
-            left -= k
-            k *= 2
-        if reach[rest_of]:
-            break
-    at = int(np.flatnonzero(reach)[-1])
-    while at:
-        n, k = items[via[at]]
-        take[n] += k
-        at -= n * k
-    return {n: k for n, k in take.items() if k}
+    if budget >= total:
+        return counts
+    if budget <= 0 or not counts:
+        return {}
+    unit = math.gcd(*counts)
+    if unit > 1:
+        return {n * unit: k for n, k in fit({n // unit: k for n, k in counts.items()}, budget // unit).items()}
+    even = {n: k * budget // total for n, k in counts.items()}
+    at_once, longest_first = EXACT, sorted(counts, reverse=True)
+    while True:
+        take = dict(even)
+        rest = budget - sum(n * k for n, k in take.items())
+        if rest < at_once and at_once > EXACT:
+            share = min(Fraction(1), Fraction(at_once - rest, max(1, budget - rest)))
+            take = {n: k - math.ceil(k * share) for n, k in even.items()}
+            rest = budget - sum(n * k for n, k in take.items())
+        for n in longest_first:
+            if rest <= at_once:
+                break
+            more = min(counts[n] - take[n], rest // n if n > EXACT else -(-(rest - at_once) // n), rest // n)
+            take[n] += more
+            rest -= more * n
+        # short lengths last: they close what is left
+        items = [(n, counts[n] - take[n]) for n in longest_first if counts[n] > take[n] and n <= rest]
+        best = _sums(items, rest).bit_length() - 1
+        if best == rest or not any(take.values()):
+            for n, k in _pick(items, best).items():
+                take[n] += k
+            return {n: k for n, k in take.items() if k}
+        at_once *= 8
 
 
 def plan(lengths: dict[str, dict[int, int]], targets: list[tuple[str, float, int]]) -> list[Plan]:
@@ -158,9 +180,13 @@ def mixture(documents: DataFrame, targets: DataFrame, seed: int = 1, path: str =
     report = report.withColumn("actual_share", F.col("mix_tokens") / F.lit(float(everything or 1)))
 
     whole = spark.createDataFrame([(p.source, p.whole) for p in plans], "source string, whole int")
-    extra = small(spark.createDataFrame([(p.source, n, k) for p in plans for n, k in p.extra.items()], "source string, tokens bigint, extra bigint"))
+    extra = spark.createDataFrame([(p.source, n, k) for p in plans for n, k in p.extra.items()], "source string, tokens bigint, extra bigint")
     seeded = sized.withColumn("__h", F.xxhash64("doc_id", F.lit(seed))).withColumn("__b", F.pmod("__h", F.lit(ORDER_BUCKETS)).cast("int"))
-    some = seeded.join(extra, ["source", "tokens"])
+    if fits(extra):
+        some = seeded.join(F.broadcast(extra), ["source", "tokens"])
+    else:  # one length can hold a third of all documents: it is spread over SALTS tasks
+        salted = extra.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        some = seeded.withColumn("__s", F.col("__b") % SALTS).join(salted, ["source", "tokens", "__s"]).drop("__s")
     # the place of a bucket among those of its length, from counts alone
     tally = some.groupBy("source", "tokens", "__b").agg(F.count(F.lit(1)).alias("__n"), F.max("extra").alias("extra"))
     upto = F.sum("__n").over(Window.partitionBy("source", "tokens").orderBy("__b"))
