@@ -12,9 +12,9 @@ def dec(c: Column | str, precision: int = 28, scale: int = 8) -> Column:
     return c.try_cast(f"decimal({precision},{scale})")
 
 
-def e8(c: Column | str) -> Column:
-    """Text as a whole number of 10^-8 units; null where it is no number or does not fit a bigint."""
-    return (dec(c, 30, 8) * F.lit(100_000_000).cast("decimal(9,0)")).try_cast("bigint")
+def units(c: Column | str) -> Column:
+    """Text as a whole number of 10^-8 units, a decimal(31,0); null where it is no number or has more than 22 digits before the point."""
+    return (dec(c, 30, 8) * F.lit(100_000_000).cast("decimal(9,0)")).cast("decimal(31,0)")
 
 
 def canonical(c: Column | str) -> Column:

@@ -7,14 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import e8
+from tidemark.functions.numbers import units
+from tidemark.session import cut, small
 
 #: Copies of the per-book row that a hot book's changes are spread over when they are joined to it.
 SALTS = 16
 #: Update ids in a block of the chain check. Ids are distinct within a book, so this also bounds its rows.
 SPAN = 1 << 17
-#: Ten to the power of: positions within a message, receive numbers. With a bigint id: 37 digits.
-_POS, _SEQ = 6, 12
 
 
 def last_writer(changes: DataFrame, keys: Sequence[str], seq: str, op: str, fields: Sequence[str]) -> DataFrame:
@@ -105,15 +104,15 @@ def chains(spans: DataFrame, anchors: DataFrame, keys: Sequence[str], first: str
 def final_books(rows: DataFrame, salts: int = SALTS) -> DataFrame:
     """The book of each symbol and connection as it finally stands, from depth and depth_snapshot rows.
 
-    Base: the snapshot with the largest ``last_update_id`` (equal ones must agree numerically; else
-    the one received last counts). Then the messages that :func:`chains` accepts, in the order of
-    ``final_update_id``; among repeats the one received first. Level by level this is
-    :func:`last_writer` over the key (book, side, price): the snapshot and each change set the
-    quantity, quantity zero deletes.
+    Base: the snapshot with the largest ``last_update_id`` (of equal ones the one received last).
+    Then the messages that :func:`chains` accepts, in the order of ``final_update_id``; among
+    repeats the one received first. Level by level this is :func:`last_writer` over the key (book,
+    side, price): the snapshot and each change set the quantity, quantity zero deletes.
 
     Defined cases: null symbol or connection: no book. Null side: no levels. A level with a null
     or unreadable price or quantity: ignored. One price twice in a message: the later one counts.
-    Empty input: no rows.
+    A null receive number counts as 0; rows of one message that agree in it must agree. Prices and
+    quantities are whole multiples of 10^-8, decimal(31,0), so up to 10^22. Empty input: no rows.
     """
     book = ["exchange_symbol", "connection_id"]
     src = rows.where(F.col("stream_type").isin("depth", "depth_snapshot") & F.col("exchange_symbol").isNotNull() & F.col("connection_id").isNotNull())
@@ -126,24 +125,23 @@ def final_books(rows: DataFrame, salts: int = SALTS) -> DataFrame:
     at = F.when(is_snap, F.col("last_update_id")).otherwise(F.col("final_update_id"))
     change = src.select(*book, is_snap.alias("__snap"), at.alias("__at"), F.coalesce("receive_seq", F.lit(0)).alias("__r"), "bids", "asks", "first_update_id", "previous_final_update_id")
     change = change.where(F.col("__at").isNotNull() & (F.col("__snap") | (F.col("first_update_id").isNotNull() & F.col("previous_final_update_id").isNotNull())))
-    change = change.withColumn("__salt", F.pmod(F.xxhash64("__at", "__r"), F.lit(salts)).cast("int"))
+    # of messages that came several times, the one that counts; only ids and numbers are shuffled, and joined by broadcast if few
+    which = F.when(F.col("__snap"), F.max("__r")).otherwise(F.min("__r"))
+    again = change.groupBy(*book, "__snap", "__at").agg(which.alias("__counts"), F.min("__r").alias("__a"), F.max("__r").alias("__b"))
+    again = small(cut(again.where("__a <> __b").drop("__a", "__b")))
+    change = change.join(again, [*book, "__snap", "__at"], "left").where(F.col("__counts").isNull() | (F.col("__counts") == F.col("__r"))).drop("__counts", "__r")
+    change = change.withColumn("__salt", F.pmod(F.xxhash64("__at"), F.lit(salts)).cast("int"))
     kept = change.join(reach, [*book, "__salt"]).where(
         F.when(F.col("__snap"), F.col("__at") == F.col("anchor")).otherwise((F.col("__at") >= F.col("anchor")) & (F.col("until").isNull() | (F.col("__at") < F.col("until"))))
     )
     side = lambda name, levels: F.transform(F.coalesce(F.col(levels), F.array().cast("array<struct<price:string,quantity:string>>")), lambda x, i: F.struct(F.lit(name).alias("side"), i.alias("pos"), x["price"].alias("p"), x["quantity"].alias("q")))
-    levels = kept.select(*book, "__snap", "__at", "__r", F.explode(F.concat(side("bid", "bids"), side("ask", "asks"))).alias("l"))
-    # Snapshot before the messages that share its id: the id is doubled, odd for messages.
-    big = lambda c: c.cast("decimal(19,0)")
-    mod = F.pmod(F.col("__r"), F.lit(10**_SEQ))
-    received = F.when(F.col("__snap"), mod).otherwise(F.lit(10**_SEQ - 1) - mod)
-    order = (big(F.col("__at")) * F.lit(2).cast("decimal(1,0)") + F.when(F.col("__snap"), 0).otherwise(1).cast("decimal(1,0)")) * F.lit(10**_SEQ).cast("decimal(13,0)")
-    low = received * F.lit(10**_POS) + F.least(F.col("l.pos"), F.lit(10**_POS - 1))
+    levels = kept.select(*book, "__snap", "__at", F.explode(F.concat(side("bid", "bids"), side("ask", "asks"))).alias("l"))
+    # one number orders the changes of a book: the id, a snapshot before the messages that share its id, the place in the message
+    whole = lambda c, n: c.cast(f"decimal({n},0)")
+    order = whole(F.col("__at"), 19) * whole(F.lit(2), 1) + whole(F.when(F.col("__snap"), 0).otherwise(1), 1)
+    seq = whole(order, 21) * whole(F.lit(1 << 31), 10) + whole(F.col("l.pos"), 10)
     changes = levels.select(
-        *book,
-        F.col("l.side").alias("side"),
-        e8(F.col("l.p")).alias("price_e8"),
-        e8(F.col("l.q")).alias("quantity_e8"),
-        ((order * F.lit(10**_POS).cast("decimal(7,0)")).cast("decimal(38,0)") + low.cast("decimal(19,0)")).cast("decimal(38,0)").alias("seq"),
+        *book, F.col("l.side").alias("side"), units(F.col("l.p")).alias("price_e8"), units(F.col("l.q")).alias("quantity_e8"), whole(seq, 33).alias("seq")
     ).where(F.col("price_e8").isNotNull() & F.col("quantity_e8").isNotNull())
     changes = changes.withColumn("op", F.when(F.col("quantity_e8") == 0, "delete").otherwise("update"))
     return last_writer(changes, [*book, "side", "price_e8"], "seq", "op", ["quantity_e8"]).where(F.col("quantity_e8") > 0)
