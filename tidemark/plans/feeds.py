@@ -19,15 +19,16 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_contracts(spark: SparkSession, d: str) -> DataFrame:
-    """Column-wise last-writer-wins over partial updates: the current figures of each symbol of the typed events."""
-    rows = _t(spark, d, "typed_events").where(F.col("exchange_symbol").isNotNull() & F.col("stream_type").isin("mark_price", "open_interest", "book_ticker"))
-    # total order: time of receipt, then connection and number, as one number per row
-    feed = rows.select(
-        "exchange_symbol",
-        (F.col("app_receive_realtime_ns").cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)") + F.col("receive_seq").cast("decimal(10,0)")).cast("decimal(30,0)").alias("seq"),
-        F.lit("update").alias("op"), "mark_price", "open_interest", "bid_price", "ask_price",
-    )
-    return changes.last_writer(feed, ["exchange_symbol"], "seq", "op", ["mark_price", "open_interest", "bid_price", "ask_price"])
+    """Column-wise last-writer-wins over partial updates: the current figures of each symbol of the typed events.
+
+    A contract that is announced begins anew (insert), one that is settled ends (delete); all else
+    updates. The order is total: time of receipt, connection, number.
+    """
+    rows = _t(spark, d, "typed_events").where(F.col("exchange_symbol").isNotNull() & F.col("stream_type").isin("mark_price", "open_interest", "book_ticker", "contract_info"))
+    op = F.when(F.col("contract_status") == "SETTLING", "delete").when(F.col("contract_status") == "PENDING_TRADING", "insert").otherwise("update")
+    fields = ["mark_price", "open_interest", "bid_price", "ask_price", "contract_status"]
+    seq = F.struct("app_receive_realtime_ns", "connection_id", "receive_seq")
+    return changes.last_writer(rows.select("exchange_symbol", seq.alias("seq"), op.alias("op"), *fields), ["exchange_symbol"], "seq", "op", fields)
 
 
 def _blocks(spark: SparkSession, d: str) -> DataFrame:
@@ -88,10 +89,12 @@ num as (select exchange_symbol, connection_id, side, {_E8('v.price')} price_e8,
 select exchange_symbol, connection_id, side, price_e8, max_by(quantity_e8, o) quantity_e8 from num where price_e8 is not null and quantity_e8 is not null
 group by exchange_symbol, connection_id, side, price_e8 having max_by(quantity_e8, o) > 0"""
 
-P1C = """select exchange_symbol, arg_max(mark_price, o) filter (mark_price is not null) mark_price, arg_max(open_interest, o) filter (open_interest is not null) open_interest,
- arg_max(bid_price, o) filter (bid_price is not null) bid_price, arg_max(ask_price, o) filter (ask_price is not null) ask_price
-from (select *, cast(app_receive_realtime_ns as hugeint) * 10000000000 + receive_seq o from typed_events where exchange_symbol is not null and stream_type in ('mark_price', 'open_interest', 'book_ticker'))
-group by 1"""
+_P1_FIELDS = ("mark_price", "open_interest", "bid_price", "ask_price", "contract_status")
+P1C = """with f as (select *, {'t': app_receive_realtime_ns, 'c': connection_id, 'r': receive_seq} o, case contract_status when 'SETTLING' then 'delete' when 'PENDING_TRADING' then 'insert' else 'update' end op
+ from typed_events where exchange_symbol is not null and stream_type in ('mark_price', 'open_interest', 'book_ticker', 'contract_info')),
+b as (select exchange_symbol, max(o) filter (op = 'delete') gone, max(o) filter (op = 'insert') anew, max(o) filter (op <> 'delete') alive from f group by 1)
+select exchange_symbol, """ + ", ".join(f"arg_max({c}, o) filter ({c} is not null and op <> 'delete' and (gone is null or o > gone) and (anew is null or o >= anew)) {c}" for c in _P1_FIELDS) + """
+from f join b using (exchange_symbol) where gone is null or alive > gone group by 1"""
 
 _P2 = """with sym as (select connection_id, receive_seq, segment_id, app_receive_realtime_ns ns, upper(coalesce(exchange_symbol,
   case when exchange_symbol is null and json_valid(decode(payload_bytes)) then coalesce(json_extract_string(decode(payload_bytes), '$.data.s'), json_extract_string(decode(payload_bytes), '$.data.o.s')) end)) y from raw_events),
