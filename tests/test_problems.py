@@ -7,7 +7,7 @@ from decimal import Decimal, InvalidOperation
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import changes, exactly_once, late, rolling, skew
+from tidemark.operators import changes, exactly_once, late, quality, rolling, skew
 
 LEV = "array<struct<price:string,quantity:string>>"
 BOOK = f"exchange_symbol string, connection_id string, stream_type string, receive_seq bigint, first_update_id bigint, final_update_id bigint, previous_final_update_id bigint, last_update_id bigint, bids {LEV}, asks {LEV}"
@@ -222,8 +222,63 @@ def test_exactly_once(spark, seed, tmp_path, monkeypatch):
 
 def test_vectors_by_groups_of_files(spark, tmp_path, monkeypatch):
     at, data = typed(spark, 5, tmp_path)
-    monkeypatch.setattr(exactly_once, "VECTOR_BYTES", 4096)
-    assert set(map(tuple, exactly_once.removed(spark, at).collect())) == duplicates(data)
+    monkeypatch.setattr(exactly_once, "VECTOR_BYTES", 512)
+    for got, want in ((exactly_once.removed(spark, at), duplicates(data)), (exactly_once.deduplicated(spark, at, ["connection_id", "receive_seq"]), {(r["connection_id"], r["receive_seq"]) for r in data} - duplicates(data))):
+        # each group is written before the next: no vectors are left in what is read
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString() and len(got.inputFiles()) >= 2
+        assert set(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize("room", [1 << 20, 1 << 9, 1])
+def test_many_repeated_identities_are_joined(spark, tmp_path, monkeypatch, room):
+    """Beyond what may be broadcast: by bitmap and shuffle, or by shuffle alone."""
+    at, data = typed(spark, 7, tmp_path)
+    monkeypatch.setattr(exactly_once, "FEW", 0)
+    monkeypatch.setattr(exactly_once, "HOT_SHARE", 1 / 4)
+    monkeypatch.setattr(exactly_once, "VECTOR_BYTES", room)
+    key, has = exactly_once.identity()
+    lost = exactly_once.losers(exactly_once.with_position(spark, at), key, has, ["app_receive_realtime_ns", "connection_id", "receive_seq"])
+    assert sorted((r.connection_id, r.receive_seq) for r in lost.collect()) == sorted(duplicates(data))
+
+
+def test_ties_and_null_times(spark, tmp_path):
+    cols = "stream_type string, exchange_symbol string, connection_id string, receive_seq bigint, app_receive_realtime_ns bigint, trade_id bigint"
+    data = [("trade", "A", "b", 1, 5, 1), ("trade", "A", "a", 9, 5, 1), ("trade", "A", "a", 7, 5, 1), ("trade", "A", "c", 1, None, 1), ("trade", "A", "x", 1, None, 2), ("trade", "A", "w", 1, None, 2), ("trade", "A", "z", 1, 3, 3)]
+    at = f"{tmp_path}/t"
+    src = spark.createDataFrame(data, cols)
+    for c in ("exchange_event_time_ms", "exchange_transaction_time_ms", "first_update_id", "final_update_id", "previous_final_update_id", "update_id", "aggregate_trade_id"):
+        src = src.withColumn(c, F.lit(None).cast("bigint"))
+    src.withColumn("payload_hash", F.lit(None).cast("binary")).repartition(3).write.parquet(at)
+    assert sorted(map(tuple, exactly_once.removed(spark, at).collect())) == [("a", 9), ("b", 1), ("c", 1), ("x", 1)]
+
+
+def test_file_numbers(spark):
+    names = ["file:///a/b c.parquet", "s3a://bucket/x/part-0.parquet", "hdfs://n:8020/ä"]
+    got = spark.createDataFrame([(n,) for n in names], "f string").select(exactly_once._file("f")).collect()
+    assert [r[0] for r in got] == [exactly_once._number(n) for n in names]
+
+
+def test_figures_beyond_ten_digits(spark):
+    data = [("A", 0, 0, 0, "123456789012.5", "2"), ("A", 0, 0, 0, "0.00000001", "123456789012345678"), ("A", 0, 0, 0, "x", "1"), ("A", 0, 0, 0, "3", "0.00000001")]
+    df = spark.createDataFrame(data, "exchange_symbol string, exchange_transaction_time_ms bigint, exchange_event_time_ms bigint, app_receive_realtime_ns bigint, price string, quantity string")
+    r = late.partials(df).first()
+    assert r.trades == 4 and r.unread == 1 and r.quantity == Decimal("123456789012345681.00000001") and r.notional == Decimal("246913578025") + Decimal("1234567890.12345678").quantize(Decimal("1e-6")) + Decimal("3E-8")
+    rows_ = df.select(F.lit("trade").alias("stream_type"), F.lit(False).alias("is_duplicate"), "price", "quantity", F.lit(None).cast("string").alias("non_rpi_quantity"), F.array().alias("bids"), F.array().alias("asks"))
+    assert quality.audit(rows_).first().quantity == r.quantity
+
+
+def test_books_keep_large_ids_and_numbers(spark):
+    """Ids, receive numbers and values far beyond what was packed into one number before."""
+    big = (1 << 62) + 5
+    lev = lambda *x: [dict(price=p, quantity=q) for p, q in x]
+    data = [
+        ("A", "c", "depth_snapshot", big, None, None, None, big, lev(("92233720368547", "3")), lev()),
+        ("A", "c", "depth", 10**15 + 1, big, big + 1, big, None, lev(("5", "1")), lev()),
+        ("A", "c", "depth", 10**13, big, big + 1, big, None, lev(("5", "2")), lev()),  # the same message, received first
+    ]
+    cols = "exchange_symbol string, connection_id string, stream_type string, receive_seq bigint, first_update_id bigint, final_update_id bigint, previous_final_update_id bigint, last_update_id bigint, bids array<struct<price:string,quantity:string>>, asks array<struct<price:string,quantity:string>>"
+    got = sorted((r.price_e8, r.quantity_e8) for r in changes.final_books(spark.createDataFrame(data, cols)).collect())
+    assert got == [(5 * 10**8, 2 * 10**8), (92233720368547 * 10**8, 3 * 10**8)]
 
 
 def test_hot_group_is_broadcast_not_shuffled(spark, tmp_path, monkeypatch):
@@ -246,7 +301,8 @@ def test_late_corrections(spark, tmp_path):
     store = late.trade_minutes(spark, at)
     got = {(r.exchange_symbol, r.minute_ms): [r.first_trades, r.corrections, r.refused_trades] for r in late.revisions(store).collect()}
     assert got == dict(want)
-    parts = [store.where("batch % 2 = 0"), store.where("batch % 2 = 1")]
+    raw = late.partials(exactly_once.deduplicated(spark, at, streams=["agg_trade"]))
+    parts = [late.merge(raw.where("batch % 3 = 0")), raw.where("batch % 3 = 1"), raw.where("batch % 3 = 2")]
     assert rows(late.revisions(late.merge(*parts))) == rows(late.revisions(store))
     assert {(r[0], r[1], r[2]) for r in late.outcomes(store).collect()} == {(*k, o) for k, v in want.items() for o, n in (("corrected", v[1]), ("incomplete", v[2])) if n}
 

@@ -12,6 +12,13 @@ def dec(c: Column | str, precision: int = 28, scale: int = 8) -> Column:
     return c.try_cast(f"decimal({precision},{scale})")
 
 
+def product(a: Column | str, b: Column | str) -> Column:
+    """The product of two decimals(28,8) as decimal(38,16): exact if both are below 10^10, else rounded to six digits behind the point."""
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+    narrow = [x.try_cast("decimal(18,8)") for x in (a, b)]
+    return F.coalesce((narrow[0] * narrow[1]).cast("decimal(38,16)"), (a * b).cast("decimal(38,16)"))
+
+
 def units(c: Column | str) -> Column:
     """Text as a whole number of 10^-8 units, a decimal(31,0); null where it is no number or has more than 22 digits before the point."""
     return (dec(c, 30, 8) * F.lit(100_000_000).cast("decimal(9,0)")).cast("decimal(31,0)")

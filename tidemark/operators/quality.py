@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import nine_decimals
+from tidemark.functions.numbers import nine_decimals, product
 from tidemark.operators import intervals
 from tidemark.schemas import GAP_REASONS
 
@@ -113,13 +113,14 @@ def audit(events: DataFrame) -> DataFrame:
     """Per stream: rows, exact sums of quantity, notional and non-RPI quantity, and level updates.
 
     Rows flagged as duplicates do not count. Sums are over trades, level updates over depth; they
-    are null or 0 elsewhere.
+    are null or 0 elsewhere. Numbers up to 10^20 are read; for products see
+    :func:`tidemark.functions.numbers.product`.
     """
-    d = lambda c: F.col(c).try_cast("decimal(18,8)")
+    d = lambda c: F.col(c).try_cast("decimal(28,8)")
     levels = F.coalesce(F.size("bids"), F.lit(0)) + F.coalesce(F.size("asks"), F.lit(0))
     src = events.where(~F.coalesce("is_duplicate", F.lit(False)) & F.col("stream_type").isin("trade", "agg_trade", "depth", "rpi_depth"))
     return src.groupBy("stream_type").agg(
-        F.count(F.lit(1)).alias("events"), F.sum(d("quantity")).alias("quantity"), F.sum(d("price") * d("quantity")).cast("decimal(38,16)").alias("notional"),
+        F.count(F.lit(1)).alias("events"), F.sum(d("quantity")).alias("quantity"), F.sum(product(d("price"), d("quantity"))).alias("notional"),
         F.sum(d("non_rpi_quantity")).alias("non_rpi_quantity"), F.sum(F.greatest(levels, F.lit(0))).cast("bigint").alias("level_updates"),
     )
 

@@ -14,6 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.operators import exactly_once, late, parse
 from tidemark.operators.book import Diff, bridge
+from tidemark.session import cut
 from tidemark.sources.sinks import ledger
 
 #: How far behind the newest receive time an event still finds its state. Fixed value.
@@ -63,21 +64,43 @@ def raw_chunks(events: DataFrame, path: str, checkpoint: str, rows_per_file: int
     return out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).option("maxRecordsPerFile", rows_per_file).option("compression", "zstd").partitionBy("utc_date", "writer_group").trigger(availableNow=True).start()
 
 
-def late_store(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Partial aggregates of each micro-batch, one folder per batch: writing a batch again replaces it.
+def late_store(events: DataFrame, path: str, checkpoint: str, streams: tuple[str, ...] = ("agg_trade",)) -> StreamingQuery:
+    """Partial aggregates of each micro-batch, each message once, one folder per batch: writing a batch again replaces it.
 
-    Read them with :func:`read_store`; what came after a minute's cut-off is in stage 2 and in no figure.
+    A message counts when it first arrives: within a batch its first row by receive time,
+    connection and number, and only if no earlier batch had it. For that the identities of each
+    batch are kept beside its partials (narrow rows; copies can come at any distance in time, so
+    none is forgotten). Batches hold rows in the order of their receipt. Rows without an identity
+    all count. Read with :func:`read_store`; what came after a minute's cut-off is in stage 2 and in
+    no figure.
     """
+    key, has = exactly_once.identity(streams)
+    spark, names = events.sparkSession, list(key)
 
     def write(batch: DataFrame, number: int) -> None:
-        late.partials(batch).write.mode("overwrite").parquet(f"{path}/arrival={number:012d}")
+        mine = batch.where(F.col("stream_type").isin(*streams)).withColumns(key)
+        one = exactly_once.firsts(mine.where(has), names, ["app_receive_realtime_ns", "connection_id", "receive_seq"])
+        earlier = [f"{path}/seen/arrival={n:012d}" for n in arrivals(spark, f"{path}/seen") if n < number]
+        if earlier:
+            one = one.join(spark.read.parquet(*earlier), names, "left_anti")
+        one = cut(one)
+        late.partials(one.unionByName(mine.where(~F.coalesce(has, F.lit(False))))).write.mode("overwrite").parquet(f"{path}/partials/arrival={number:012d}")
+        one.select(*names).write.mode("overwrite").parquet(f"{path}/seen/arrival={number:012d}")
 
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def arrivals(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the batches that a store has, ascending."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(int(n.removeprefix("arrival=")) for n in names if n.startswith("arrival="))
+
+
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """The store's partial aggregates, merged over all arrivals."""
-    return late.merge(spark.read.parquet(path).drop("arrival"))
+    return late.merge(spark.read.parquet(f"{path}/partials").drop("arrival"))
 
 
 def ledger_of(events: DataFrame, path: str, checkpoint: str, time_ns: str, identity: str = "event_id") -> StreamingQuery:
