@@ -1,12 +1,15 @@
 """Replay of order books: bridges, gaps, switches of connection, and the state carried over midnight."""
 
+import random
+
+import numpy as np
 import pytest
 
-from tidemark.operators.book import Diff, Machine, bridge, rebuild
+from tidemark.operators.book import _IN, _TAGGED, DIFF, GAP, RESTORE, SNAPSHOT, Events, _replays, essential, rebuild, replay
 
 S, E = 0, 10_000
 SCHEMA = "exchange_symbol string, connection_id string, stream_type string, ord bigint, receive_seq bigint, app_receive_realtime_ns bigint, first_update_id bigint, final_update_id bigint, previous_final_update_id bigint, last_update_id bigint, payload_hash binary, bids array<struct<price:string,quantity:string>>, asks array<struct<price:string,quantity:string>>"
-GAP = "exchange_symbol string, gap_id string, state string, reason string, observed_at_realtime_ns bigint, affected_from_realtime_ns bigint"
+GAP_FACTS = "exchange_symbol string, gap_id string, state string, reason string, observed_at_realtime_ns bigint, affected_from_realtime_ns bigint"
 BID, ASK = [("100", "1")], [("101", "1")]
 
 
@@ -20,34 +23,130 @@ def snap(c, ns, last, bids=(("99", "1"),), asks=(("102", "1"),)):
 
 def run(spark, rows, gaps=(), start=S, end=E, carry=None):
     data = [(y, c, s, i, i + 1, ns, a, b, p, last, repr((a, b, p)).encode(), bi, ak) for i, (y, c, s, ns, a, b, p, last, bi, ak) in enumerate(rows)]
-    g = spark.createDataFrame([("A", f"gap-{k}", st, "CONNECTION_LOST", o, a) for k, st, o, a in gaps], GAP)
+    g = spark.createDataFrame([("A", f"gap-{k}", st, "CONNECTION_LOST", o, a) for k, st, o, a in gaps], GAP_FACTS)
     changes, intervals, checkpoint = rebuild(spark.createDataFrame(data, SCHEMA), g, start, end, carry=carry)
     got = sorted((r.valid_from_ns, r.valid_to_ns, r.connection_id, r.end_reason) for r in intervals.collect())
     return got, changes, checkpoint
 
 
-def test_bridge_statuses():
-    d = [Diff(0, 0, 1, 90, 99, 89), Diff(1, 0, 2, 100, 110, 99)]
-    assert bridge(105, d[:1]) == ("WAITING", 1)
-    assert bridge(105, d) == ("BRIDGED", 1)
-    assert bridge(80, d) == ("STALE", 0)
-
-
-def test_machine_breaks_in_the_buffer():
-    used = []
-    m = Machine(lambda e, p: used.append(p))
-    m.diff(Diff(0, 10, 1, 100, 105, 99))
-    m.diff(Diff(1, 20, 2, 106, 110, 104))
-    change = m.snapshot(2, 30, 102)
-    assert (change.state, change.reason, change.update_id) == ("GAPPED", "buffered_pu_discontinuity", 110)
-
-
-def test_late_anchor_needs_no_rescan():
-    m = Machine(lambda e, p: None)
-    m.snapshot(0, 0, 100)
-    for i in range(3_000):
-        m.diff(Diff(i, i, i, 200 + i, 200 + i, 199 + i))
-    assert len(m.pending) == 3_000 and m.state == "UNANCHORED"
+def events(rows):
+    """(kind, ns, seq, first, last, previous) as arrays, nothing left out."""
+    c = np.array([(k, i, ns, seq, f, u, p, -1) for i, (k, ns, seq, f, u, p) in enumerate(rows)], np.int64).reshape(-1, 8).T
+    return Events(*c)
+
+
+def test_a_snapshot_and_the_buffer():
+    d = [(DIFF, 10, 1, 90, 99, 89), (DIFF, 20, 2, 100, 110, 99)]
+    waits = replay(events([d[0], (SNAPSHOT, 30, 3, -1, 105, -1)]))
+    assert (waits.changes, waits.waiting) == ([], 1)
+    assert replay(events([*d, (SNAPSHOT, 30, 3, -1, 105, -1)])).changes == [(2, 30, "VALID", 110, "snapshot_bridge")]
+    stale = replay(events([*d, (SNAPSHOT, 30, 3, -1, 80, -1)]))
+    assert (stale.changes, stale.waiting, stale.state) == ([], None, "UNANCHORED")
+
+
+def test_a_break_in_the_buffer():
+    rows = [(DIFF, 10, 1, 100, 105, 99), (DIFF, 20, 2, 106, 110, 104), (SNAPSHOT, 30, 3, -1, 102, -1)]
+    assert replay(events(rows)).changes == [(2, 20, "GAPPED", 110, "buffered_pu_discontinuity")]
+
+
+def test_buffered_changes_are_taken_by_number():
+    rows = [(DIFF, 10, 2, 106, 110, 105), (DIFF, 20, 1, 100, 105, 99), (SNAPSHOT, 30, 3, -1, 102, -1)]
+    assert replay(events(rows)).changes == [(2, 30, "VALID", 110, "snapshot_bridge")]
+
+
+def plain(rows):
+    """One event after the other, as plainly as can be: changes (event, ns, state, id, reason)."""
+    out, state, expected, anchor, buffer = [], "UNANCHORED", None, None, []
+    for i, (kind, ns, seq, first, last, previous) in enumerate(rows):
+        tries = False
+        if kind == GAP:
+            if state == "VALID":
+                out.append((i, ns, "GAPPED", expected, None))
+            state, expected, anchor, buffer = "GAPPED", None, None, []
+        elif kind == RESTORE:
+            state, expected, anchor, buffer = "VALID", last, None, []
+        elif kind == SNAPSHOT:
+            if state == "VALID":
+                expected = last
+            else:
+                anchor, tries = (last, ns), True
+        elif state == "VALID":
+            if previous == expected:
+                expected = last
+            else:
+                out.append((i, ns, "GAPPED", last, "pu_discontinuity"))
+                state, expected, anchor, buffer = "GAPPED", None, None, [(seq, ns, first, last, previous)]
+        else:
+            buffer.append((seq, ns, first, last, previous))
+            tries = anchor is not None and first <= anchor[0] <= last
+        if not tries:
+            continue
+        buffer.sort(key=lambda x: x[0])
+        while buffer and buffer[0][3] < anchor[0]:
+            buffer.pop(0)
+        if not buffer:
+            continue
+        if buffer[0][2] > anchor[0]:
+            anchor = None
+            continue
+        broken = next((b for a, b in zip(buffer, buffer[1:]) if b[4] != a[3]), None)  # noqa: B905
+        if broken is not None:
+            out.append((i, broken[1], "GAPPED", broken[3], "buffered_pu_discontinuity"))
+            state, expected, anchor, buffer = "GAPPED", None, None, [broken]
+        else:
+            expected = buffer[-1][3]
+            out.append((i, max(anchor[1], buffer[0][1]), "VALID", expected, "snapshot_bridge"))
+            state, anchor, buffer = "VALID", None, []
+    return out, state, expected
+
+
+def feed(rng, n, dirty):
+    """A feed of one book: losses, late and repeated ids, snapshots of old and new ids, gaps."""
+    rows, at, before = [], 100, 99
+    for i in range(n):
+        x = rng.random()
+        if x < 0.12:
+            rows.append((SNAPSHOT, 10 * i, i, -1, max(1, at - rng.choice([0, 0, 1, 2, 5, 30, -3])), -1))
+        elif x < 0.14:
+            rows.append((GAP, 10 * i, -1, -1, -1, -1))
+        elif x < 0.15:
+            rows.append((RESTORE, 10 * i, i, -1, at - 1, -1))
+        else:
+            width = rng.randint(1, 4)
+            first, last, previous = at, at + width - 1, before
+            if rng.random() < 0.08 * dirty:
+                previous -= rng.randint(1, 3)
+            if rng.random() < 0.05 * dirty:
+                first, last = first - rng.randint(0, 6), last - rng.randint(0, 6)
+            seq = i - (rng.randint(0, 5) if rng.random() < 0.06 * dirty else 0)
+            if rng.random() > 0.03:
+                rows.append((DIFF, 10 * i, seq, first, last, previous))
+            at, before = at + width, at + width - 1
+    return rows
+
+
+def test_replay_against_one_event_after_the_other():
+    rng = random.Random(3)
+    for case in range(400):
+        rows = feed(rng, rng.randint(0, 120), case % 3)
+        got = replay(events(rows))
+        assert (got.changes, got.state, got.expected if got.state == "VALID" else None) == plain(rows), rows
+
+
+def test_essential_events_give_the_same_replay(spark):
+    """Books cut down in slices of a few places against the plain replay of all their events, also where much is out of order."""
+    rng = random.Random(11)
+    books = {f"B{k}": feed(rng, rng.randint(1, 400), [0, 0, 0, 0.1, 0.3, 1][k % 6]) for k in range(48)}
+    none = lambda v: None if v == -1 else v
+    data = [(y, "c", 3 * i, 1, 0, kind, ns, none(seq), none(f), none(u), none(p), "why" if kind == GAP else None) for y, rows in books.items() for i, (kind, ns, seq, f, u, p) in enumerate(rows)]
+    df = spark.createDataFrame(data, "exchange_symbol string, connection_id string, pos bigint, sub int, gap_no int, kind int, ns bigint, seq bigint, first bigint, last bigint, previous bigint, reason string")
+    for places, ids in ((30, 40), (1 << 16, 1 << 24), (7, 3)):
+        kept = essential(df, places, ids)
+        tagged = kept.repartition(4, "exchange_symbol", "connection_id").sortWithinPartitions("exchange_symbol", "connection_id", "pos", "sub", "gap_no").select(*[c.split()[0] for c in _IN.split(", ")]).mapInArrow(_replays, _TAGGED).where("kind = 'change'").collect()
+        for y, rows in books.items():
+            got = [(r.pos // 3, r.at_ns, r.state, r.update_id, r.reason) for r in tagged if r.exchange_symbol == y]
+            assert sorted(got) == sorted((i, ns, st, u, why or "why") for i, ns, st, u, why in plain(rows)[0]), (y, places)
+    assert kept.count() <= df.count() and essential(df).count() < 0.8 * df.count()
 
 
 @pytest.mark.parametrize(

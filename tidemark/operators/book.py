@@ -1,16 +1,19 @@
-"""Order-book validity by replay: per-connection sequence machines, then authority per symbol.
-
-The machines see narrow rows (ids and times), streamed in order through sorted partitions, so a
-task holds one connection's open stretch and never a whole group. Price levels stay in the JVM and
-are applied by :func:`tidemark.operators.changes.last_writer` to what the machines accepted.
+"""Order-book validity: a feed is cut down to the events that can change a book's state, then replayed by jumps between them.
+
+Nearly all changes of a book continue the one before and change nothing but levels. They are left
+out in the JVM, slice by slice, so a connection with a third of all rows is spread over its slices;
+what is left per book are snapshots, gaps, breaks and their neighbours, as narrow rows of ids and
+times. The replay jumps over these arrays from one change of state to the next. Which book counts
+for a symbol follows from the changes of state by windows. Price levels stay in the JVM and are
+applied by :func:`tidemark.operators.changes.last_writer`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,242 +21,275 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import is_zero
 from tidemark.operators.changes import last_writer
 from tidemark.operators.quality import effective_ns
-from tidemark.session import cut
+from tidemark.session import cut, small
 
 #: Length of a slice of receive time in which gaps are placed.
 SLICE_NS = 600 * 10**9
+#: Places of the source, and ids, in a slice of a book that is looked at in one piece.
+SLICE, ID_SLICE = 1 << 16, 1 << 24
 UNANCHORED, VALID, GAPPED = "UNANCHORED", "VALID", "GAPPED"
+DIFF, SNAPSHOT, GAP, RESTORE = range(4)
+_KEY = ["exchange_symbol", "connection_id"]
 
 
-class Diff(NamedTuple):
-    pos: int
-    ns: int
-    seq: int
-    first: int
-    last: int
-    previous: int
+def essential(events: DataFrame, slice_rows: int = SLICE, slice_ids: int = ID_SLICE) -> DataFrame:
+    """The events that a replay needs, with ``run``: changes of one run continue each other without a break.
 
+    Left out are changes in the middle of a run whose neighbours are changes as well, unless they
+    are the first whose ids reach a snapshot's. First and last of a slice always stay, so slices
+    need not know each other; a slice stays whole where its changes are not in the order of their
+    numbers and ids, or reach into another slice's. A change in a whole slice is a run of its own.
+    """
+    is_diff = F.col("kind") == DIFF
+    # the first change that reaches a snapshot: the one behind it in the order of ids
+    spot = Window.partitionBy(*_KEY, F.expr(f"last div {slice_ids}")).orderBy("last", F.when(is_diff, 1).otherwise(0), "pos")
+    e = events.withColumn("hit", F.coalesce(F.lag("kind").over(spot) == SNAPSHOT, F.lit(True)))
+    e = e.withColumn("slice", F.expr(f"pos div {slice_rows}"))
+    w = Window.partitionBy(*_KEY, "slice").orderBy("pos", "sub", "gap_no")
+    before = F.last(F.when(is_diff, F.struct("last", "seq")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    e = e.withColumn("before", before)
+    e = e.withColumn("start", is_diff & ~F.coalesce(F.col("previous") == F.col("before.last"), F.lit(False)))
+    e = e.withColumn("odd", is_diff & F.coalesce((F.col("seq") < F.col("before.seq")) | (F.col("first") <= F.col("before.last")) | (F.col("last") < F.col("first")), F.lit(False)))
+    plain = lambda c: F.coalesce(c, F.lit(False))
+    inner = plain((F.lag("kind").over(w) == DIFF) & (F.lead("kind").over(w) == DIFF) & ~F.lead("start").over(w) & ~F.lag("hit").over(w))
+    e = e.withColumn("run", F.sum(F.col("start").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("idle", is_diff & ~F.col("start") & ~F.col("hit") & inner)
+    of = lambda c: F.when(is_diff, F.col(c))
+    s = e.groupBy(*_KEY, "slice").agg(F.bool_or("odd").alias("odd"), *[f(of(c)).alias(f"{n}_{c}") for c in ("seq", "last") for n, f in (("lo", F.min), ("hi", F.max))])
+    back = Window.partitionBy(*_KEY).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(*_KEY).orderBy("slice").rowsBetween(1, Window.unboundedFollowing)
+    whole = F.col("odd")
+    for c in ("seq", "last"):
+        whole = whole | plain(F.max(f"hi_{c}").over(back) >= F.col(f"lo_{c}")) | plain(F.min(f"lo_{c}").over(ahead) <= F.col(f"hi_{c}"))
+    s = s.select(*_KEY, "slice", whole.alias("whole"))
+    e = e.drop("odd").join(s, [*_KEY, "slice"])
+    run = F.when(is_diff & ~F.col("whole"), F.col("slice") * (2 * slice_rows) + F.col("run"))
+    return e.where(F.col("whole") | ~F.col("idle")).select(*events.columns, run.alias("run"))
+
+
+class Replay(NamedTuple):
+    """Changes of state (event, time, state, id, reason), and how a book stands after its last event.
+
+    ``base``: the snapshot or restored book that it rests on; ``parts``: places of the changes
+    applied to it, as pairs of first and last. ``waiting``: the snapshot that waits for a change.
+    """
 
-class Change(NamedTuple):
-    at_ns: int
+    changes: list[tuple[int, int, str, int, str | None]]
     state: str
-    update_id: int | None
-    reason: str
+    expected: int | None
+    base: int | None
+    parts: list[tuple[int, int]]
+    waiting: int | None
 
 
-def bridge(anchor: int, pending: list[Diff]) -> tuple[str, int]:
-    """Where a snapshot meets the buffered changes: status and how many of them are older than it.
+class Events(NamedTuple):
+    """The events of one book in order, as arrays. ``last``: the id after the event; ``run`` below 0: a run of its own."""
 
-    WAITING: all are older. STALE: the first that is not begins behind the snapshot. Else BRIDGED.
-    """
-    skip = next((i for i, d in enumerate(pending) if d.last >= anchor), len(pending))
-    if skip == len(pending):
-        return "WAITING", skip
-    return ("STALE" if pending[skip].first > anchor else "BRIDGED"), skip
+    kind: np.ndarray
+    pos: np.ndarray
+    ns: np.ndarray
+    seq: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    previous: np.ndarray
+    run: np.ndarray
 
 
-@dataclass
-class Machine:
-    """Validity of one connection's book of one symbol. Repeated changes must be left out before."""
+def _ahead(test: Callable[[slice], np.ndarray], at: int, end: int) -> int:
+    """The first place from ``at`` on where ``test`` holds, ``end`` if there is none; looks at ever longer stretches."""
+    size = 256
+    while at < end:
+        found = np.flatnonzero(test(slice(at, min(end, at + size))))
+        if len(found):
+            return at + int(found[0])
+        at, size = at + size, size * 4
+    return end
 
-    applied: Callable[[int, int], None]
-    state: str = UNANCHORED
-    expected: int | None = None
-    pending: list[Diff] = field(default_factory=list)
-    anchor: int | None = None
-    anchor_ns: int = 0
-    epoch: int = 0
-
-    def restore(self, pos: int, update_id: int) -> None:
-        self.state, self.expected = VALID, update_id
-        self._begin(pos)
-
-    def _begin(self, pos: int) -> None:
-        self.epoch += 1
-        self.applied(self.epoch, pos)
-
-    def invalidate(self) -> None:
-        self.state, self.expected, self.anchor, self.pending = GAPPED, None, None, []
-
-    def gap(self, at_ns: int, reason: str) -> Change | None:
-        change = Change(at_ns, GAPPED, self.expected, reason) if self.state == VALID else None
-        self.invalidate()
-        return change
-
-    def snapshot(self, pos: int, ns: int, update_id: int) -> Change | None:
-        self.expected = self.anchor = update_id
-        self.anchor_ns = ns
-        self._begin(pos)
-        return self._settle()
-
-    def diff(self, d: Diff) -> Change | None:
-        if self.state != VALID:
-            self.pending.append(d)
-            if self.anchor is not None and not d.first <= self.anchor <= d.last:
-                return None
-            return self._settle()
-        return self._follow(d, "pu_discontinuity")
-
-    def _follow(self, d: Diff, reason: str) -> Change | None:
-        if d.previous != self.expected:
-            self.invalidate()
-            self.pending = [d]
-            return Change(d.ns, GAPPED, d.last, reason)
-        self.applied(self.epoch, d.pos)
-        self.expected = d.last
-        return None
-
-    def _settle(self) -> Change | None:
-        if self.anchor is None:
-            return None
-        if any(a.seq > b.seq for a, b in zip(self.pending, self.pending[1:])):  # noqa: B905
-            self.pending.sort(key=lambda d: d.seq)
-        status, skip = bridge(self.anchor, self.pending)
-        self.pending = self.pending[skip:]
-        if status == "WAITING":
-            return None
-        if status == "STALE":
-            self.expected = self.anchor = None
-            return None
-        first, *rest = self.pending
-        self.applied(self.epoch, first.pos)
-        self.expected = first.last
-        for d in rest:
-            if (broken := self._follow(d, "buffered_pu_discontinuity")) is not None:
-                return broken
-        self.state, self.pending = VALID, []
-        since, self.anchor = max(self.anchor_ns, first.ns), None
-        return Change(since, VALID, self.expected, "snapshot_bridge")
-
-
-@dataclass
-class Authority:
-    """Which connection's book counts for one symbol, and from when to when."""
-
-    start_ns: int
-    emit: Callable[[int, int, str, str], None]
-    holder: str | None = None
-    since: int | None = None
-    last_valid: str | None = None
-    gaps: set[str] = field(default_factory=set)
-    valid: set[str] = field(default_factory=set)
-
-    def _end(self, at_ns: int, reason: str) -> None:
-        if self.holder is not None and self.since is not None and at_ns > self.since:
-            self.emit(self.since, at_ns, self.holder, reason)
-        self.holder = self.since = None
-
-    def restored(self, connection: str) -> None:
-        self.valid.add(connection)
-        self.holder = self.last_valid = connection
-        self.since = self.start_ns
-
-    def opened(self, gap: str, at_ns: int) -> None:
-        self._end(at_ns, "transport_gap")
-        self.last_valid = None
-        self.gaps.add(gap)
-        self.valid.clear()
-
-    def closed(self, gap: str, at_ns: int) -> None:
-        self.gaps.discard(gap)
-        if not self.gaps and self.last_valid in self.valid:
-            self.holder, self.since = self.last_valid, at_ns
-
-    def changed(self, connection: str, state: str, at_ns: int, reason: str) -> None:
-        if state == VALID:
-            self.valid.add(connection)
-            self.last_valid = connection
-            if not self.gaps:
-                self._end(at_ns, "connection_switch")
-                self.holder, self.since = connection, at_ns
-            return
-        self.valid.discard(connection)
-        if self.holder == connection and self.since is not None:
-            self._end(at_ns, reason)
-            if self.last_valid == connection:
-                self.last_valid = None
-
-
-_TAGGED = "exchange_symbol string, connection_id string, kind string, pos bigint, at_ns bigint, to_ns bigint, state string, update_id bigint, reason string"
-_NAMES = [x.split()[0] for x in _TAGGED.split(", ")]
-_TYPES = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string()]
 
+def continues(previous: np.ndarray, last: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """For neighbouring changes in an order, whether the later continues the earlier."""
+    return (previous[1:] == last[:-1]) | ((run[1:] == run[:-1]) & (run[1:] >= 0))
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for b in batches:
-        yield from zip(*[c.to_pylist() for c in b.columns], strict=True)
 
+def reached(anchor: int, last: np.ndarray) -> int:
+    """The place of the first change that reaches a snapshot's id; their number if none does."""
+    return int(np.argmax(last >= anchor)) if (last >= anchor).any() else len(last)
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], names=_NAMES)
 
+def replay(e: Events) -> Replay:
+    """Validity of one book.
 
-def _machines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out: list[tuple] = []
-    key, m = None, None
-
-    def finish() -> None:
-        if m is not None:
-            out.append((*key, "final", None, m.anchor_ns if m.anchor is not None else None, m.epoch, m.state, m.anchor if m.anchor is not None else m.expected, "anchored" if m.anchor is not None else None))
-            out.extend((*key, "pending", d.pos, None, None, None, None, None) for d in (m.pending if m.anchor is not None else ()))
-
-    for symbol, connection, pos, _, _, kind, ns, seq, first, last, previous, reason in _rows(batches):
-        if (symbol, connection) != key:
-            finish()
-            key = (symbol, connection)
-            m = Machine(lambda epoch, at, k=key: out.append((*k, "applied", at, None, epoch, None, None, None)))
-        if kind == "gap":
-            change = m.gap(ns, reason)
-        elif kind == "restore":
-            change = m.restore(pos, last)
-        elif kind == "snapshot":
-            change = m.snapshot(pos, ns, last)
+    A book becomes valid where a snapshot meets the change that spans its id and all buffered
+    changes behind that one continue each other. It stays valid up to the next change that does
+    not continue what was before it, or the next gap. Buffered changes are taken by number.
+    """
+    n = len(e.kind)
+    is_diff = e.kind == DIFF
+    run = e.run.copy()
+    follows = np.ones(n, bool)
+    follows[1:] = continues(e.previous, e.last, run)
+    follows[1:][is_diff[1:] & ~is_diff[:-1]] = (e.previous[1:] == e.last[:-1])[is_diff[1:] & ~is_diff[:-1]]
+    ends = np.flatnonzero((e.kind == GAP) | (is_diff & ~follows))
+    marks = np.flatnonzero(~is_diff)
+    changes: list[tuple[int, int, str, int, str | None]] = []
+    state, at, none = UNANCHORED, 0, np.zeros(0, np.int64)
+    anchor: int | None = None
+    base: int | None = None
+    expected: int | None = None
+    kept, since = none, 0  # buffered: these, and all changes from `since` on
+    chain = none
+    while at < n:
+        if state == VALID:
+            stands = not is_diff[at] or e.previous[at] == expected or (run[at] >= 0 and len(chain) and run[at] == run[chain[-1]])
+            k = int(np.searchsorted(ends, at + 1 if stands and e.kind[at] != GAP else at))
+            stop = at if not stands or e.kind[at] == GAP else int(ends[k]) if k < len(ends) else n
+            if stop > at:
+                expected = int(e.last[stop - 1])
+            if stop < n:
+                state, base, chain, kept = GAPPED, None, none, none
+                if e.kind[stop] == GAP:
+                    changes.append((stop, int(e.ns[stop]), GAPPED, expected, None))
+                    since = stop + 1
+                else:
+                    changes.append((stop, int(e.ns[stop]), GAPPED, int(e.last[stop]), "pu_discontinuity"))
+                    since = stop
+            else:
+                renewed = marks[(marks >= at)]
+                if len(renewed):
+                    base, chain, at = int(renewed[-1]), none, int(renewed[-1]) + 1
+                break
+            at = stop + 1
+            continue
+        k = int(np.searchsorted(marks, at))
+        turn = int(marks[k]) if k < len(marks) else n
+        if anchor is not None:
+            want = e.last[anchor]
+            turn = _ahead(lambda s: (e.first[s] <= want) & (want <= e.last[s]) & is_diff[s], at, turn) if turn > at else turn  # noqa: B023
+        if turn == n:
+            break
+        at = turn + 1
+        if e.kind[turn] == GAP:
+            state, anchor, kept, since = GAPPED, None, none, at
+            continue
+        if e.kind[turn] == RESTORE:
+            state, expected, base, chain, anchor = VALID, int(e.last[turn]), turn, none, None
+            continue
+        if e.kind[turn] == SNAPSHOT:
+            anchor = turn
+        held = np.concatenate([kept, since + np.flatnonzero(is_diff[since:at])])
+        held = held[np.argsort(e.seq[held], kind="stable")]
+        held = held[reached(int(e.last[anchor]), e.last[held]) :]
+        kept, since = held, at
+        if not len(held):
+            continue
+        if e.first[held[0]] > e.last[anchor]:
+            anchor = None
+            continue
+        torn = np.flatnonzero(~continues(e.previous[held], e.last[held], run[held]))
+        if len(torn):
+            x = int(held[torn[0] + 1])
+            changes.append((turn, int(e.ns[x]), GAPPED, int(e.last[x]), "buffered_pu_discontinuity"))
+            # what came behind it is lost, so its run does not go on
+            state, anchor, kept, run[x] = GAPPED, None, held[torn[0] + 1 : torn[0] + 2], -1
         else:
-            change = m.diff(Diff(pos, ns, seq, first, last, previous))
-        if change is not None:
-            out.append((*key, "change", pos, change.at_ns, None, change.state, change.update_id, change.reason))
+            expected = int(e.last[held[-1]])
+            changes.append((turn, int(max(e.ns[anchor], e.ns[held[0]])), VALID, expected, "snapshot_bridge"))
+            state, base, chain, anchor, kept = VALID, anchor, held, None, none
+    parts: list[tuple[int, int]] = []
+    if state == VALID:
+        for piece in np.split(chain, np.flatnonzero(~((run[chain][1:] == run[chain][:-1]) & (run[chain][1:] >= 0))) + 1):
+            if len(piece):
+                parts.append((int(e.pos[piece[0]]), int(e.pos[piece[-1]])))
+        # and all that came after the event that made it valid, or after its base
+        after = [t for t, _, s, _, _ in changes if s == VALID][-1] if len(chain) else base
+        parts.append((int(e.pos[after]) + 1, 1 << 62))
+    return Replay(changes, state, expected, base if state == VALID else None, parts, anchor)
+
+
+_IN = "exchange_symbol string, connection_id string, pos bigint, kind int, ns bigint, seq bigint, first bigint, last bigint, previous bigint, reason string, run bigint"
+_TAGGED = "exchange_symbol string, connection_id string, kind string, pos bigint, at_ns bigint, to_pos bigint, state string, update_id bigint, reason string"
+_NAMES = [x.split()[0] for x in _TAGGED.split(", ")]
+_TYPES = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string()]
+
+
+def _told(key: tuple[str, str], t: pa.Table) -> list[tuple]:
+    """What one book's replay has to say, as rows."""
+    col = {n: t.column(n) for n in t.column_names}
+    whole = lambda n: col[n].fill_null(-1).to_numpy()
+    e = Events(*[whole(n).astype(np.int64) for n in ("kind", "pos", "ns", "seq", "first", "last", "previous", "run")])
+    r = replay(e)
+    out = [(*key, "change", int(e.pos[i]), at, None, state, uid, why if why is not None else col["reason"][i].as_py()) for i, at, state, uid, why in r.changes]
+    if r.state == VALID:
+        out.append((*key, "held", int(e.pos[r.base]), None, None, r.state, r.expected, None))
+        out += [(*key, "part", lo, None, hi, None, None, None) for lo, hi in r.parts]
+    elif r.waiting is not None:
+        out.append((*key, "waiting", int(e.pos[r.waiting]), int(e.ns[r.waiting]), None, r.state, None, None))
+    return out
+
+
+def _replays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replays book after book of rows that are sorted by book; holds the rows of one."""
+    key, parts, out = None, [], []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        ids = pa.StructArray.from_arrays([b.column(0).dictionary_encode().indices, b.column(1).dictionary_encode().indices], names=["a", "b"])
+        a, c = (ids.field(i).to_numpy() for i in (0, 1))
+        edges = [0, *(np.flatnonzero((a[1:] != a[:-1]) | (c[1:] != c[:-1])) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            mine = (b.column(0)[lo].as_py(), b.column(1)[lo].as_py())
+            if mine != key and parts:
+                out += _told(key, pa.Table.from_batches(parts))
+                parts = []
+            key = mine
+            parts.append(b.slice(lo, hi - lo))
         if len(out) > 20_000:
             yield _batch(out)
-            out.clear()
-    finish()
+            out = []
+    if parts:
+        out += _told(key, pa.Table.from_batches(parts))
     if out:
         yield _batch(out)
 
 
-def _authorities(start_ns: int, end_ns: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        key, a = None, None
-
-        def finish() -> None:
-            if a is None:
-                return
-            holder = a.holder if not a.gaps else None
-            if a.holder is not None and a.since is not None:
-                a._end(end_ns, "utc_day_end")
-            out.append((key, holder, "holder", None, None, None, None, None, None))
-
-        for symbol, pos, _, _, kind, connection, at_ns, state, reason, gap in _rows(batches):
-            if symbol != key or a is None:
-                finish()
-                key = symbol
-                a = Authority(start_ns, lambda lo, hi, c, why, k=symbol: out.append((k, c, "interval", None, lo, hi, None, None, why)))
-            if kind == "restore":
-                a.restored(connection)
-            elif kind == "OPEN":
-                a.opened(gap, at_ns)
-            elif kind == "CLOSED":
-                a.closed(gap, at_ns)
-            else:
-                a.changed(connection, state, at_ns, reason)
-            if len(out) > 20_000:
-                yield _batch(out)
-                out.clear()
-        finish()
-        if out:
-            yield _batch(out)
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], names=_NAMES)
 
-    return run
+
+def authority(steps: DataFrame, end_ns: int) -> tuple[DataFrame, DataFrame]:
+    """From when to when which connection's book counts for a symbol, and which one does at the end.
+
+    ``steps`` (exchange_symbol, pos, sub, gap_no, what, connection_id, at_ns, reason, gap_id), in
+    this order: ``VALID`` and ``BROKEN`` of a connection, ``OPEN`` and ``CLOSED`` of a gap. A book
+    counts from the step that makes it valid if no gap is open, or from the closing of the last
+    open gap if it was the last to become valid since the last opening and still is. It counts up
+    to the next opening, the next book that becomes valid, or its own break.
+    """
+    order = ["pos", "sub", "gap_no"]
+    w = Window.partitionBy("exchange_symbol").orderBy(*order)
+    s = steps.withColumn("step", F.row_number().over(w))
+    # open gaps: an opening counts once until its gap is closed
+    was = F.lag("what").over(Window.partitionBy("exchange_symbol", "gap_id").orderBy("step"))
+    delta = F.when((F.col("what") == "OPEN") & ~was.eqNullSafe("OPEN"), 1).when((F.col("what") == "CLOSED") & was.eqNullSafe("OPEN"), -1).otherwise(0)
+    s = s.withColumn("delta", F.when(F.col("gap_id").isNotNull(), delta).otherwise(0))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumn("open", F.sum("delta").over(upto)).withColumn("era", F.count_if(F.col("what") == "OPEN").over(upto))
+    mine = Window.partitionBy("exchange_symbol", "connection_id").orderBy("step").rowsBetween(1, Window.unboundedFollowing)
+    s = s.withColumn("breaks", F.when(F.col("connection_id").isNotNull(), F.min(F.when(F.col("what") == "BROKEN", F.struct("step", "at_ns", "reason"))).over(mine)))
+    after = w.rowsBetween(1, Window.unboundedFollowing)
+    nxt = F.min(F.when(F.col("what").isin("OPEN", "VALID"), F.struct("step", "at_ns", F.when(F.col("what") == "OPEN", "transport_gap").otherwise("connection_switch").alias("reason")))).over(after)
+    s = s.withColumn("next", nxt)
+    era = Window.partitionBy("exchange_symbol", "era").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumn("newest", F.last(F.when(F.col("what") == "VALID", F.struct("connection_id", "breaks")), ignorenulls=True).over(era))
+    resumes = (F.col("what") == "CLOSED") & F.col("newest").isNotNull() & (F.col("newest.breaks").isNull() | (F.col("newest.breaks.step") > F.col("step")))
+    starts = s.where((F.col("open") == 0) & ((F.col("what") == "VALID") | resumes))
+    own = F.when(F.col("what") == "VALID", F.col("breaks")).otherwise(F.col("newest.breaks"))
+    stop = F.least(F.coalesce("next", own), F.coalesce(own, "next"))  # by step
+    got = starts.select("exchange_symbol", "step", F.coalesce(stop["step"], F.lit(-1)).alias("stop"), F.col("at_ns").alias("valid_from_ns"), F.coalesce(stop["at_ns"], F.lit(end_ns)).alias("valid_to_ns"), F.col("newest.connection_id").alias("connection_id"), F.coalesce(stop["reason"], F.lit("utc_day_end")).alias("end_reason"), stop.isNull().alias("__last"))
+    holder = got.where("__last").select(*_KEY).distinct()
+    # a closing while its book counts already does not begin anew but tells a later time: of starts with one end the last holds
+    last = Window.partitionBy("exchange_symbol", "stop").orderBy(F.desc("step"))
+    got = got.withColumn("k", F.row_number().over(last)).where("k = 1 and valid_to_ns > valid_from_ns")
+    return got.drop("k", "step", "stop", "__last"), holder
 
 
 def rebuild(rows: DataFrame, gaps: DataFrame | None, start_ns: int, end_ns: int, order: str = "ord", carry: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -274,7 +310,6 @@ def rebuild(rows: DataFrame, gaps: DataFrame | None, start_ns: int, end_ns: int,
     repeated on one connection count once. Rows with a null symbol, connection, id or time are
     ignored. Symbols with gaps but no rows have no interval.
     """
-    key = ["exchange_symbol", "connection_id"]
     src = rows.where(F.col("stream_type").isin("depth", "depth_snapshot")).withColumn("kind", F.when(F.col("stream_type") == "depth", "depth").otherwise("snapshot")).withColumn("pos", F.col(order).cast("bigint"))
     if carry is not None:
         low = carry.withColumn("pos", F.col("ord") - (1 << 40))
@@ -283,9 +318,11 @@ def rebuild(rows: DataFrame, gaps: DataFrame | None, start_ns: int, end_ns: int,
     src = src.withColumn("__last", last)
     src = src.where(F.col("exchange_symbol").isNotNull() & F.col("connection_id").isNotNull() & F.col("__last").isNotNull() & F.col("app_receive_realtime_ns").isNotNull() & F.col("pos").isNotNull())
     src = src.where((F.col("kind") != "depth") | (F.col("first_update_id").isNotNull() & F.col("previous_final_update_id").isNotNull()))
-    narrow = src.select(*key, "pos", "kind", F.col("app_receive_realtime_ns").alias("ns"), F.coalesce("receive_seq", F.lit(0)).alias("seq"), F.col("first_update_id").alias("first"), F.col("__last").alias("last"), F.col("previous_final_update_id").alias("previous"), "payload_hash")
-    once = narrow.where("kind = 'depth'").groupBy(*key, "first", "last", "previous", "payload_hash").agg(F.min(F.struct("pos", "ns", "seq")).alias("r")).select(*key, "r.pos", F.lit("depth").alias("kind"), "r.ns", "r.seq", "first", "last", "previous")
-    events = once.unionByName(narrow.where("kind != 'depth'").drop("payload_hash"))
+    code = F.when(F.col("kind") == "depth", DIFF).when(F.col("kind") == "snapshot", SNAPSHOT).otherwise(RESTORE)
+    narrow = src.select(*_KEY, "pos", code.alias("kind"), F.col("app_receive_realtime_ns").alias("ns"), F.coalesce("receive_seq", F.lit(0)).alias("seq"), F.col("first_update_id").alias("first"), F.col("__last").alias("last"), F.col("previous_final_update_id").alias("previous"), "payload_hash")
+    once = narrow.where(F.col("kind") == DIFF).groupBy(*_KEY, "first", "last", "previous", "payload_hash").agg(F.min("pos").alias("pos"), F.min_by("ns", "pos").alias("ns"), F.min_by("seq", "pos").alias("seq"))
+    once = once.select(*_KEY, "pos", F.lit(DIFF).alias("kind"), "ns", "seq", "first", "last", "previous")
+    events = once.unionByName(narrow.where(F.col("kind") != DIFF).drop("payload_hash"))
     events = cut(events.withColumn("sub", F.lit(1)).withColumn("gap_no", F.lit(0)).withColumn("reason", F.lit(None).cast("string")))
 
     placed = None
@@ -295,39 +332,37 @@ def rebuild(rows: DataFrame, gaps: DataFrame | None, start_ns: int, end_ns: int,
         g = g.withColumn("gap_no", F.row_number().over(w.orderBy("ns", "gap_id", "state")))
         # the first row received at or after the gap: within its slice of time, else of a later slice
         slice_of = F.expr(f"ns div {SLICE_NS}")
-        when = narrow.where("kind != 'restore' and pos >= 0").groupBy("exchange_symbol", "ns").agg(F.min("pos").alias("pos"))
+        when = narrow.where((F.col("kind") != RESTORE) & (F.col("pos") >= 0)).groupBy("exchange_symbol", "ns").agg(F.min("pos").alias("pos"))
         both = when.select("exchange_symbol", "ns", "pos", F.lit(None).cast("int").alias("gap_no")).unionByName(g.select("exchange_symbol", "ns", F.lit(None).cast("bigint").alias("pos"), "gap_no")).withColumn("s", slice_of)
         inside = F.min("pos").over(Window.partitionBy("exchange_symbol", "s").orderBy("ns").rangeBetween(Window.currentRow, Window.unboundedFollowing))
         later = both.groupBy("exchange_symbol", "s").agg(F.min("pos").alias("m")).withColumn("later", F.min("m").over(w.orderBy("s").rowsBetween(1, Window.unboundedFollowing))).drop("m")
         spot = both.withColumn("inside", inside).where("gap_no is not null").join(later, ["exchange_symbol", "s"]).select("exchange_symbol", "gap_no", F.least("inside", "later").alias("pos"))
         placed = cut(g.join(spot, ["exchange_symbol", "gap_no"]).withColumn("pos", F.coalesce("pos", F.lit((1 << 62)))))
-        opens = placed.where("state = 'OPEN'").join(events.select(*key).distinct(), "exchange_symbol")
+        opens = placed.where("state = 'OPEN'").join(events.select(*_KEY).distinct(), "exchange_symbol")
         null = lambda t: F.lit(None).cast(t)
-        events = events.unionByName(opens.select(*key, "pos", F.lit("gap").alias("kind"), "ns", null("bigint").alias("seq"), null("bigint").alias("first"), null("bigint").alias("last"), null("bigint").alias("previous"), F.lit(0).alias("sub"), "gap_no", "reason"))
+        events = events.unionByName(opens.select(*_KEY, "pos", F.lit(GAP).alias("kind"), "ns", null("bigint").alias("seq"), null("bigint").alias("first"), null("bigint").alias("last"), null("bigint").alias("previous"), F.lit(0).alias("sub"), "gap_no", "reason"))
 
-    ordered = events.select(*key, "pos", "sub", "gap_no", "kind", "ns", "seq", "first", "last", "previous", "reason").repartition(*key).sortWithinPartitions(*key, "pos", "sub", "gap_no")
-    tagged = cut(ordered.mapInArrow(_machines, _TAGGED))
+    kept = essential(events).repartition(*_KEY).sortWithinPartitions(*_KEY, "pos", "sub", "gap_no")
+    tagged = cut(kept.select(*[c.split()[0] for c in _IN.split(", ")]).mapInArrow(_replays, _TAGGED))
     changes = tagged.where("kind = 'change'")
 
-    null = lambda t: F.lit(None).cast(t)
-    steps = changes.where("state = 'VALID' or reason in ('pu_discontinuity', 'buffered_pu_discontinuity')").select("exchange_symbol", "pos", F.lit(1).alias("sub"), F.lit(0).alias("gap_no"), F.lit("change").alias("kind"), "connection_id", "at_ns", "state", "reason", null("string").alias("gap_id"))
-    steps = steps.unionByName(events.where("kind = 'restore'").select("exchange_symbol", "pos", F.lit(1).alias("sub"), F.lit(0).alias("gap_no"), "kind", "connection_id", F.col("ns").alias("at_ns"), null("string").alias("state"), null("string").alias("reason"), null("string").alias("gap_id")))
+    what = F.when(F.col("state") == VALID, "VALID").when(F.col("reason").isin("pu_discontinuity", "buffered_pu_discontinuity"), "BROKEN")
+    null = F.lit(None).cast("string")
+    steps = changes.select("exchange_symbol", "pos", F.lit(1).alias("sub"), F.lit(0).alias("gap_no"), what.alias("what"), "connection_id", "at_ns", "reason", null.alias("gap_id")).where("what is not null")
+    steps = steps.unionByName(events.where(F.col("kind") == RESTORE).select("exchange_symbol", "pos", F.lit(1).alias("sub"), F.lit(0).alias("gap_no"), F.lit("VALID").alias("what"), "connection_id", F.lit(start_ns).cast("bigint").alias("at_ns"), null.alias("reason"), null.alias("gap_id")))
     if placed is not None:
-        steps = steps.unionByName(placed.select("exchange_symbol", "pos", F.lit(0).alias("sub"), "gap_no", F.col("state").alias("kind"), null("string").alias("connection_id"), F.col("ns").alias("at_ns"), null("string").alias("state"), "reason", "gap_id"))
-    steps = steps.select("exchange_symbol", "pos", "sub", "gap_no", "kind", "connection_id", "at_ns", "state", "reason", "gap_id").repartition("exchange_symbol").sortWithinPartitions("exchange_symbol", "pos", "sub", "gap_no")
-    ruled = cut(steps.mapInArrow(_authorities(start_ns, end_ns), _TAGGED))
-    intervals = ruled.where("kind = 'interval'").select("exchange_symbol", F.col("at_ns").alias("valid_from_ns"), F.col("to_ns").alias("valid_to_ns"), "connection_id", F.col("reason").alias("end_reason"))
-    return changes.select(*key, "at_ns", "state", "update_id", "reason"), intervals, _checkpoint(src, tagged, ruled, end_ns)
-
-
-def _checkpoint(src: DataFrame, tagged: DataFrame, ruled: DataFrame, end_ns: int) -> DataFrame:
-    key = ["exchange_symbol", "connection_id"]
-    final = tagged.where("kind = 'final'").select(*key, F.col("to_ns").alias("epoch"), "state", F.col("update_id").alias("last_id"), F.col("reason").alias("anchored"), F.col("at_ns").alias("anchor_ns"))
-    holder = ruled.where("kind = 'holder' and connection_id is not null").select(*key)
-    held = final.where("state = 'VALID'").join(holder, key)
-    used = tagged.where("kind = 'applied'").select(*key, "pos", F.col("to_ns").alias("epoch"))
-    # within an epoch the base comes first, then changes in the order of their ids
-    parts = src.join(used.join(held, [*key, "epoch"]).select(*key, "pos"), [*key, "pos"])
+        steps = steps.unionByName(placed.select("exchange_symbol", "pos", F.lit(0).alias("sub"), "gap_no", F.col("state").alias("what"), null.alias("connection_id"), F.col("ns").alias("at_ns"), "reason", "gap_id"))
+    intervals, holder = authority(steps, end_ns)
+    return changes.select(*_KEY, "at_ns", "state", "update_id", "reason"), intervals, _checkpoint(src, events, tagged, holder, end_ns)
+
+
+def _checkpoint(src: DataFrame, events: DataFrame, tagged: DataFrame, holder: DataFrame, end_ns: int) -> DataFrame:
+    key = _KEY
+    held = tagged.where("kind = 'held'").join(holder, key).select(*key, "pos", F.col("update_id").alias("last_id"))
+    # the base comes first, then the changes applied to it in the order of their ids
+    parts = small(tagged.where("kind = 'part'").select(*key, F.col("pos").alias("__lo"), F.col("to_pos").alias("__hi")).join(holder, key))
+    applied = events.where(F.col("kind") == DIFF).select(*key, "pos").join(parts, key).where("pos between __lo and __hi").select(*key, "pos")
+    parts = src.join(applied.unionByName(held.select(*key, "pos")), [*key, "pos"])
     base = (F.col("kind") != "depth").cast("int")
     seq = F.when(base == 1, F.lit(0)).otherwise(F.col("final_update_id") + 1)
     side = lambda name, c: F.transform(F.coalesce(F.col(c), F.array().cast("array<struct<price:string,quantity:string>>")), lambda x: F.struct(F.lit(name).alias("side"), x["price"].alias("p"), x["quantity"].alias("q")))
@@ -341,9 +376,9 @@ def _checkpoint(src: DataFrame, tagged: DataFrame, ruled: DataFrame, end_ns: int
         F.lit(None).cast("bigint").alias("first_update_id"), F.lit(None).cast("bigint").alias("final_update_id"), F.lit(None).cast("bigint").alias("previous_final_update_id"), F.col("last_id").alias("last_update_id"),
         F.lit(None).cast("binary").alias("payload_hash"), "bids", "asks",
     )
-    waits = final.where("anchored is not null").join(holder, key, "left_anti")
-    base_of = used.join(waits.select(*key, "epoch"), [*key, "epoch"]).groupBy(*key).agg(F.min("pos").alias("pos"))
-    held_back = tagged.where("kind = 'pending'").select(*key, "pos").join(waits.select(*key), key)
+    waits = tagged.where("kind = 'waiting'").select(*key, "pos").join(holder, key, "left_anti")
+    since = small(waits.withColumnRenamed("pos", "__lo"))
+    buffered = events.where(F.col("kind") == DIFF).select(*key, "pos").join(since, key).where("pos > __lo").select(*key, "pos")
     cols = ["app_receive_realtime_ns", "receive_seq", "first_update_id", "final_update_id", "previous_final_update_id", "last_update_id", "payload_hash", "bids", "asks"]
-    again = src.join(base_of.unionByName(held_back), [*key, "pos"]).select(*key, "kind", (F.row_number().over(Window.partitionBy(*key).orderBy(F.col("kind") == "depth", "pos"))).cast("bigint").alias("ord"), *cols)
+    again = src.join(waits.unionByName(buffered), [*key, "pos"]).select(*key, "kind", (F.row_number().over(Window.partitionBy(*key).orderBy(F.col("kind") == "depth", "pos"))).cast("bigint").alias("ord"), *cols)
     return restore.unionByName(again)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.operators import exactly_once, late, parse
-from tidemark.operators.book import Diff, bridge
+from tidemark.operators.book import reached
 from tidemark.session import cut
 from tidemark.sources.sinks import ledger
 
@@ -108,7 +109,7 @@ def ledger_of(events: DataFrame, path: str, checkpoint: str, time_ns: str, ident
     return events.writeStream.foreachBatch(lambda batch, _: ledger(batch, path, time_ns, identity)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-_STATE = "expected bigint, anchor bigint, pending array<struct<pos:bigint,ns:bigint,seq:bigint,first:bigint,last:bigint,previous:bigint>>"
+_STATE = "expected bigint, anchor bigint, held array<struct<seq:bigint,first:bigint,last:bigint,previous:bigint>>"
 _OUT = "exchange_symbol string, connection_id string, receive_seq bigint, status string, expected_id bigint, received_id bigint"
 
 
@@ -117,59 +118,57 @@ def bridges(events: DataFrame) -> DataFrame:
 
     Rows: BRIDGED when a snapshot meets the changes, STALE_SNAPSHOT when it is too old, and
     SEQUENCE_GAP (with the id expected and the one received) when the chain breaks; after a gap the
-    event that broke it stays buffered. Within a micro-batch rows are taken by number.
+    event that broke it stays buffered, with what was buffered behind it. Within a micro-batch rows
+    are taken by number.
     """
     src = events.where(F.col("stream_type").isin("depth", "depth_snapshot") & F.col("exchange_symbol").isNotNull()).select(
-        "exchange_symbol", "connection_id", "stream_type", "receive_seq", "app_receive_realtime_ns", "first_update_id", "final_update_id", "previous_final_update_id", "last_update_id"
-    )
+        "exchange_symbol", "connection_id", "receive_seq", (F.col("stream_type") == "depth_snapshot").alias("base"), F.col("first_update_id").alias("first"), F.coalesce("final_update_id", "last_update_id").alias("last"), F.col("previous_final_update_id").alias("previous")
+    )
+    src = src.where(F.col("last").isNotNull() & (F.col("base") | (F.col("first").isNotNull() & F.col("previous").isNotNull())))
 
     def run(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        expected, anchor, pending = state.get if state.exists else (None, None, [])
-        pending = [Diff(*p) for p in pending or []]
-        out: list[tuple] = []
-
-        def settle(seq: int) -> None:
-            nonlocal expected, anchor, pending
-            if anchor is None:
-                return
-            pending.sort(key=lambda d: d.seq)
-            status, skip = bridge(anchor, pending)
-            pending = pending[skip:]
-            if status == "WAITING":
-                return
-            anchor = None
-            if status == "STALE":
-                out.append((*key, seq, "STALE_SNAPSHOT", None, None))
-                return
-            at = pending[0].last
-            for i, d in enumerate(pending[1:], 1):
-                if d.previous != at:
-                    pending = pending[i:]
-                    out.append((*key, seq, "SEQUENCE_GAP", at, d.previous))
-                    return
-                at = d.last
-            expected, pending = at, []
-            out.append((*key, seq, "BRIDGED", None, None))
-
+        expected, anchor, held = state.get if state.exists else (None, None, [])
+        buffer = np.array([tuple(h) for h in held or []], np.int64).reshape(-1, 4)
         rows = pd.concat(list(frames)).sort_values("receive_seq", kind="stable")
-        for r in rows.itertuples(index=False):
-            if r.stream_type == "depth_snapshot":
-                if pd.notna(r.last_update_id):
-                    anchor, expected = int(r.last_update_id), None
-                    settle(int(r.receive_seq))
-                continue
-            if pd.isna(r.first_update_id) or pd.isna(r.final_update_id) or pd.isna(r.previous_final_update_id):
-                continue
-            d = Diff(0, int(r.app_receive_realtime_ns), int(r.receive_seq), int(r.first_update_id), int(r.final_update_id), int(r.previous_final_update_id))
-            if expected is None:
-                pending = [*pending, d][-BUFFER:]
-                settle(d.seq)
-            elif d.previous == expected:
-                expected = d.last
+        base = rows["base"].to_numpy(bool)
+        ids = rows[["receive_seq", "first", "last", "previous"]].fillna(-1).to_numpy(np.int64)
+        out: list[tuple] = []
+        at = 0
+        while at < len(ids):
+            if expected is not None:  # bridged: on to the first change that does not continue, or the next snapshot
+                stop = at + int(np.argmax(np.append(base[at:], True)))
+                before = np.concatenate([[expected], ids[at : stop - 1, 2]]) if stop > at else ids[:0, 2]
+                torn = np.flatnonzero(ids[at:stop, 3] != before)
+                if len(torn):
+                    x = at + int(torn[0])
+                    out.append((*key, ids[x, 0], "SEQUENCE_GAP", before[torn[0]], ids[x, 3]))
+                    expected, anchor, buffer, at = None, None, ids[x : x + 1], x + 1
+                    continue
+                expected, at = int(ids[stop - 1, 2]) if stop > at else expected, stop
+                if at == len(ids):
+                    break
+            if base[at]:
+                anchor, expected = int(ids[at, 2]), None
             else:
-                out.append((*key, d.seq, "SEQUENCE_GAP", expected, d.previous))
-                expected, anchor, pending = None, None, [d]
-        state.update((expected, anchor, [tuple(p) for p in pending]))
+                buffer = np.concatenate([buffer, ids[at : at + 1]])[-BUFFER:]
+            if anchor is not None:
+                buffer = buffer[np.argsort(buffer[:, 0], kind="stable")]
+                buffer = buffer[reached(anchor, buffer[:, 2]) :]
+                if len(buffer) and buffer[0, 1] > anchor:
+                    out.append((*key, ids[at, 0], "STALE_SNAPSHOT", None, None))
+                    anchor = None
+                elif len(buffer):
+                    torn = np.flatnonzero(buffer[1:, 3] != buffer[:-1, 2])
+                    anchor = None
+                    if len(torn):
+                        x = int(torn[0]) + 1
+                        out.append((*key, ids[at, 0], "SEQUENCE_GAP", buffer[x - 1, 2], buffer[x, 3]))
+                        buffer = buffer[x:]
+                    else:
+                        out.append((*key, ids[at, 0], "BRIDGED", None, None))
+                        expected, buffer = int(buffer[-1, 2]), buffer[:0]
+            at += 1
+        state.update((expected, anchor, [tuple(int(v) for v in h) for h in buffer]))
         frame = pd.DataFrame(out, columns=["exchange_symbol", "connection_id", "receive_seq", "status", "expected_id", "received_id"])
         yield frame.astype({"receive_seq": "Int64", "expected_id": "Int64", "received_id": "Int64"})
 
