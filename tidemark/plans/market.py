@@ -311,19 +311,64 @@ def _day(spark, d):
     return book.rebuild(rows, None, lo or 0, hi or 1)
 
 
-@query()
+# one event of every book a step; m has the book's state after it, what it changed, and the places of the messages applied
+_BOOKS = """with recursive src as (select *, row_number() over (partition by exchange_symbol order by app_receive_realtime_ns nulls first, connection_id nulls first, receive_seq nulls first) pos from l2_projection),
+ok as (select exchange_symbol s, connection_id c, pos, stream_type = 'depth' d, app_receive_realtime_ns ns, coalesce(receive_seq, 0) q, first_update_id f, case when stream_type = 'depth' then final_update_id else last_update_id end l, previous_final_update_id p, payload_hash h, bids, asks
+ from src where stream_type in ('depth', 'depth_snapshot') and exchange_symbol is not null and connection_id is not null and app_receive_realtime_ns is not null),
+one as (select * from ok where l is not null and (not d or (f is not null and p is not null)) qualify not d or row_number() over (partition by s, c, d, f, l, p, h order by pos) = 1),
+ev as (select s, c, pos, d, ns, q, f, l, p, row_number() over (partition by s, c order by pos) k from one),
+m as (select distinct s, c, 0::bigint k, 0::bigint pos, false valid, null::bigint x, null::bigint a, null::bigint ans, null::bigint apos, []::struct(q bigint, pos bigint, ns bigint, f bigint, l bigint, p bigint)[] held, []::bigint[] used, null::bigint at_ns, null::varchar state, null::bigint uid, null::varchar why from ev
+ union all
+ select s, c, k, pos, case when valid then not torn else coalesce(met, false) end, case when valid and not torn then l when met then seg[len(seg)].l end, case when torn or len(seg) > 0 then null else a end, ans, apos,
+  case when torn then h when valid then [] when not tries then h when len(seg) = 0 then [] when stale then seg when cutoff is not null then [seg[cutoff]] else [] end,
+  case when valid and not torn then case when d then list_append(used, pos) else [pos] end when met then list_concat([apos], list_transform(seg, lambda v: v.pos)) else [] end,
+  case when torn then ns when cutoff is not null then seg[cutoff].ns when met then greatest(ans, seg[1].ns) end, case when torn or cutoff is not null then 'GAPPED' when met then 'VALID' end,
+  case when torn then l when cutoff is not null then seg[cutoff].l when met then seg[len(seg)].l end, case when torn then 'pu_discontinuity' when cutoff is not null then 'buffered_pu_discontinuity' when met then 'snapshot_bridge' end
+ from (select *, coalesce(len(seg) > 0 and not stale and cutoff is null, false) met from
+  (select *, case when len(seg) > 0 and not stale then list_filter(range(2, len(seg) + 1), lambda i: seg[i].p <> seg[i - 1].l)[1] end cutoff from
+   (select *, coalesce(seg[1].f > a, false) stale from
+    (select *, case when tries then list_slice(srt, coalesce(nullif(list_position(list_transform(srt, lambda v: v.l >= a), true), 0), len(srt) + 1), len(srt)) else [] end seg from
+     (select *, case when tries then list_sort(h) end srt from
+      (select m.s, m.c, e.k, e.pos, e.d, e.ns, e.l, m.valid, m.x, m.used, case when not e.d and not m.valid then e.l else m.a end a, case when not e.d and not m.valid then e.ns else m.ans end ans, case when not e.d and not m.valid then e.pos else m.apos end apos,
+        case when not e.d then m.held when m.valid then [{'q': e.q, 'pos': e.pos, 'ns': e.ns, 'f': e.f, 'l': e.l, 'p': e.p}] else list_append(m.held, {'q': e.q, 'pos': e.pos, 'ns': e.ns, 'f': e.f, 'l': e.l, 'p': e.p}) end h,
+        coalesce(m.valid and e.d and e.p <> m.x, false) torn, not m.valid and (not e.d or coalesce(e.f <= m.a and m.a <= e.l, false)) tries
+       from m join ev e on e.s = m.s and e.c = m.c and e.k = m.k + 1)))))) z),
+v as (select *, row_number() over (partition by s order by pos) n from m where state is not null),
+e as (select v.*, (select min({'n': w.n, 't': w.at_ns, 'y': case when w.state = 'VALID' then 'connection_switch' else w.why end}) from v w where w.s = v.s and w.n > v.n and (w.state = 'VALID' or w.c = v.c)) stop from v where state = 'VALID') """
+
+
+@query(_BOOKS + "select s exchange_symbol, c connection_id, at_ns, state, uid update_id, why reason from m where state is not null")
 def l2_state_changes(spark, d):
     return _day(spark, d)[0]
 
 
-@query()
+@query(
+    _BOOKS
+    + """select * from (select s exchange_symbol, at_ns valid_from_ns, coalesce(stop.t, (select max(app_receive_realtime_ns) + 1 from l2_projection)) valid_to_ns, c connection_id, coalesce(stop.y, 'utc_day_end') end_reason from e) where valid_to_ns > valid_from_ns"""
+)
 def l2_validity(spark, d):
     return _day(spark, d)[1]
 
 
-@query()
+_SIDE_TEXT = lambda c: f"array_to_string(list_transform({c}, lambda v: coalesce(v.price, '') || '@' || coalesce(v.quantity, '')), ';')"
+
+
+@query(
+    _BOOKS
+    + f""", fin as (select * from m qualify row_number() over (partition by s, c order by k desc) = 1), hold as (select distinct s, c from e where stop is null),
+held as (select fin.* from fin join hold using (s, c) where valid), msg as (select s, c, x, unnest(used) pos from held), lev as (select msg.s, msg.c, case when o.d then o.l + 1 else 0 end w, 'bid' side, unnest(o.bids) v from msg join one o on o.s = msg.s and o.pos = msg.pos
+ union all select msg.s, msg.c, case when o.d then o.l + 1 else 0 end, 'ask', unnest(o.asks) from msg join one o on o.s = msg.s and o.pos = msg.pos),
+top as (select s, c, side, try_cast(v.price as decimal(30,12)) price, arg_max(v, w) v from lev where try_cast(v.price as decimal(30,12)) is not null group by 1, 2, 3, 4 having try_cast(arg_max(v, w).quantity as decimal(30,12)) <> 0),
+txt as (select s, c, string_agg(v.price || '@' || v.quantity, ';' order by price) filter (side = 'bid') bids, string_agg(v.price || '@' || v.quantity, ';' order by price) filter (side = 'ask') asks from top group by 1, 2),
+wait as (select s, c, apos, held from fin where not valid and a is not null and not exists (select 1 from hold where hold.s = fin.s and hold.c = fin.c)), w0 as (select s, c, apos pos from wait union all select s, c, unnest(held).pos from wait),
+w1 as (select w0.s, w0.c, case when o.d then 'depth' else 'snapshot' end kind, row_number() over (partition by w0.s, w0.c order by o.d, o.pos) ord, case when o.d then null else o.l end last_update_id, {_SIDE_TEXT('o.bids')} bids, {_SIDE_TEXT('o.asks')} asks from w0 join one o on o.s = w0.s and o.pos = w0.pos)
+select s exchange_symbol, c connection_id, 'restore' kind, cast(0 as bigint) ord, x last_update_id, bids, asks from held join txt using (s, c) where bids is not null and asks is not null union all select * from w1"""
+)
 def l2_checkpoint(spark, d):
-    return _day(spark, d)[2].select("exchange_symbol", "connection_id", "kind", "last_update_id", F.size("bids").alias("bids"), F.size("asks").alias("asks"))
+    """What the next day starts from: books with their levels, and what waits; levels as text."""
+    text = lambda c: F.concat_ws(";", F.transform(c, lambda x: F.concat(F.coalesce(x["price"], F.lit("")), F.lit("@"), F.coalesce(x["quantity"], F.lit("")))))
+    sides = [F.when(F.col(c).isNotNull(), text(c)).alias(c) for c in ("bids", "asks")]
+    return _day(spark, d)[2].select("exchange_symbol", "connection_id", "kind", "ord", "last_update_id", *sides)
 
 
 # -- cross-sections of the daily bars
