@@ -73,6 +73,23 @@ def intersect(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
     return merge(open_.where((F.col("__n0") > 0) & (F.col("__n1") > 0)).select(*by, "lo", "hi"), by)
 
 
+def lengths(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per key the total lengths of the unions of both tables' intervals and of what they share: ``a``, ``b``, ``either``, ``both``.
+
+    One sweep over all bounds: between two neighbouring ones the number of open intervals of each
+    side is constant. Keys are shuffled once. Keys without intervals have no row.
+    """
+    ends = F.explode(F.array(F.struct(F.col("lo").alias("t"), F.lit(1).alias("d")), F.struct(F.col("hi").alias("t"), F.lit(-1).alias("d")))).alias("__e")
+    sides = [proper(x).select(*by, ends, F.lit(i).alias("__side")).select(*by, F.col("__e.t").alias("__t"), *[F.when(F.col("__side") == k, F.col("__e.d")).otherwise(0).alias(f"__d{k}") for k in (0, 1)]) for i, x in enumerate((a, b))]
+    steps = sides[0].unionByName(sides[1]).repartition(*by).groupBy(*by, "__t").agg(F.sum("__d0").alias("__d0"), F.sum("__d1").alias("__d1"))
+    w = Window.partitionBy(*by).orderBy("__t")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    runs = steps.select(*by, (F.lead("__t").over(w) - F.col("__t")).alias("__len"), (F.sum("__d0").over(upto) > 0).alias("__a"), (F.sum("__d1").over(upto) > 0).alias("__b"))
+    total = lambda when: F.coalesce(F.sum(F.when(when, F.col("__len"))), F.lit(0))
+    x, y = F.col("__a"), F.col("__b")
+    return runs.groupBy(*by).agg(total(x).alias("a"), total(y).alias("b"), total(x | y).alias("either"), total(x & y).alias("both"))
+
+
 def extend(bad: DataFrame, good: DataFrame, by: Sequence[str], end: Column | int) -> DataFrame:
     """``bad`` intervals prolonged to where a good one resumes.
 

@@ -35,9 +35,11 @@ def scoped(gaps: DataFrame, symbols: DataFrame, stream: str = "depth") -> DataFr
     """
     of = gaps.where((F.coalesce(F.size("stream_types"), F.lit(0)) <= 0) | F.array_contains("stream_types", stream))
     everyone = F.coalesce(F.size("exchange_symbols"), F.lit(0)) <= 0
-    one = of.where(~everyone).withColumn("exchange_symbol", F.explode(F.array_distinct("exchange_symbols"))).join(symbols.select("exchange_symbol").distinct(), "exchange_symbol")
-    names = symbols.select("exchange_symbol").distinct().withColumn("__all", F.lit(1))
-    every = of.where(everyone).withColumn("__all", F.lit(1)).join(names, "__all").drop("__all")
+    names = symbols.select("exchange_symbol").distinct()
+    one = of.where(~everyone).withColumn("exchange_symbol", F.explode(F.array_distinct("exchange_symbols"))).join(names, "exchange_symbol")
+    # the expected symbols are a list of configuration: one array, exploded where the facts are
+    listed = names.where("exchange_symbol is not null").agg(F.collect_set("exchange_symbol").alias("__names"))
+    every = of.where(everyone).join(F.broadcast(listed)).withColumn("exchange_symbol", F.explode("__names")).drop("__names")
     return one.unionByName(every.select(one.columns))
 
 
@@ -78,10 +80,8 @@ def coverage_by_day(expected: DataFrame, valid: DataFrame, broken: DataFrame, fi
 
 
 def _accounted(out: DataFrame, good: DataFrame, bad: DataFrame, by: list[str], expected: int, per_mille: int) -> DataFrame:
-    for name, part in (("valid_ns", good), ("explicit_invalid_ns", bad), ("accounted_ns", good.unionByName(bad))):
-        out = out.join(intervals.length(part, by, name), by, "left")
-    out = out.join(intervals.length(intervals.intersect(good, bad, by), by, "conflicting_ns"), by, "left")
-    out = out.fillna(0, ["valid_ns", "explicit_invalid_ns", "accounted_ns", "conflicting_ns"]).withColumn("expected_ns", F.lit(expected).cast("bigint"))
+    names = {"a": "valid_ns", "b": "explicit_invalid_ns", "either": "accounted_ns", "both": "conflicting_ns"}
+    out = out.join(intervals.lengths(good, bad, by).withColumnsRenamed(names), by, "left").fillna(0, list(names.values())).withColumn("expected_ns", F.lit(expected).cast("bigint"))
     out = out.withColumn("unclassified_ns", F.col("expected_ns") - F.col("accounted_ns"))
     ratio = lambda c: nine_decimals(F.col(c) / F.col("expected_ns"))
     ok = (F.col("valid_ns") * 1000 >= F.col("expected_ns") * per_mille) & (F.col("unclassified_ns") == 0) & (F.col("conflicting_ns") == 0)

@@ -54,15 +54,14 @@ def trailing(daily: DataFrame, entity: str, metrics: Sequence[str], windows: Seq
     own = Window.partitionBy(entity, "__c")
     dense = sent.groupBy(entity, "__c", "day").agg(F.max("age").alias("age"), *[F.sum(m).cast(types[m]).alias(m) for m in metrics])
     names = [(m, w) for w in windows for m in metrics]
+    # suffixes over the same ascending order as prefixes: one sort per window length serves all metrics
     for w in windows:
-        block = Window.partitionBy(entity, "__c", F.expr(f"floor(day / {w})"))
-        for m in metrics:
-            up = F.sum(m).over(block.orderBy("day").rowsBetween(Window.unboundedPreceding, 0))
-            down = F.sum(m).over(block.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, 0))
-            dense = dense.withColumn(f"__p_{m}_{w}", up).withColumn(f"__s_{m}_{w}", down)
-    for m, w in names:
-        if w > 1:
-            dense = dense.withColumn(f"__b_{m}_{w}", F.lag(f"__s_{m}_{w}", w - 1).over(own.orderBy("day")))
+        block = Window.partitionBy(entity, "__c", F.expr(f"floor(day / {w})")).orderBy("day")
+        up, down = block.rowsBetween(Window.unboundedPreceding, 0), block.rowsBetween(0, Window.unboundedFollowing)
+        dense = dense.withColumns({f"__{side}_{m}_{w}": F.sum(m).over(frame) for m in metrics for side, frame in (("p", up), ("s", down))})
+    # days of a chunk have no holes, so the row w - 1 before is the day w - 1 before
+    behind = own.orderBy("day")
+    dense = dense.withColumns({f"__b_{m}_{w}": F.lag(f"__s_{m}_{w}", w - 1).over(behind) for m, w in names if w > 1})
     kind = dict(dense.dtypes)
 
     def total(m: str, w: int) -> Column:

@@ -28,6 +28,25 @@ def running_max(df: DataFrame, time: str, order: Sequence[str], to: str, by: str
     return df.join(tops, same).withColumn(to, F.greatest("__before", inside)).drop("__at", "__before", *[f"__of_{p}" for p in parts])
 
 
+def before(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, to: str, slice_of: Column) -> DataFrame:
+    """``to``: ``value`` of the row before in the order of each key; null for the first.
+
+    ``slice_of`` cuts a key into slices that follow each other in the order, so no task has a whole
+    key; what a slice's first row needs comes from one row per slice before it.
+    """
+    k = list(keys)
+    rows = df.withColumn("__slice", slice_of)
+    inside = Window.partitionBy(*k, "__slice").orderBy(*order)
+    rows = rows.withColumn("__was", F.lag(F.struct(F.col(value).alias("v"))).over(inside))
+    ends = rows.groupBy(*k, "__slice").agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__end"))
+    ends = ends.select(*[F.col(c).alias(f"__k_{c}") for c in k], F.col("__slice").alias("__of"), F.lag("__end").over(Window.partitionBy(*k).orderBy("__slice")).alias("__carried"))
+    same = F.col("__slice").eqNullSafe(F.col("__of"))
+    for c in k:
+        same = same & F.col(c).eqNullSafe(F.col(f"__k_{c}"))
+    got = rows.join(ends, same, "left").withColumn(to, F.coalesce("__was", "__carried")["v"])
+    return got.select(*df.columns, to)
+
+
 def flag(df: DataFrame, identity: Sequence[str], time: str, order: Sequence[str], by: str, window: int = WINDOW_NS, content: str | None = None, carry: DataFrame | None = None, parts: Sequence[str] = ()) -> DataFrame:
     """All rows with ``is_duplicate`` and ``in_conflict``.
 

@@ -297,8 +297,8 @@ def chunk_stats(spark, d):
 
 @query("""select exchange_symbol, connection_id, count(*) breaks from (select exchange_symbol, connection_id, previous_final_update_id p, lag(final_update_id) over (partition by exchange_symbol, connection_id order by receive_seq, final_update_id) b from l2_projection where stream_type = 'depth') where p <> b group by 1, 2""")
 def sequence_breaks(spark, d):
-    w = Window.partitionBy("exchange_symbol", "connection_id").orderBy("receive_seq", "final_update_id")
-    rows = _t(spark, d, "l2_projection").where("stream_type = 'depth'").withColumn("before", F.lag("final_update_id").over(w))
+    rows = _t(spark, d, "l2_projection").where("stream_type = 'depth'").select("exchange_symbol", "connection_id", "receive_seq", "final_update_id", "previous_final_update_id")
+    rows = sliding.before(rows, ["exchange_symbol", "connection_id"], ["receive_seq", "final_update_id"], "final_update_id", "before", F.expr("receive_seq div 65536"))
     return rows.where("previous_final_update_id <> before").groupBy("exchange_symbol", "connection_id").agg(F.count(F.lit(1)).alias("breaks"))
 
 
@@ -663,9 +663,9 @@ def mature_pool(spark, d):
 @query("with o as (select exchange_symbol s, app_receive_realtime_ns t, lag(app_receive_realtime_ns) over (partition by exchange_symbol order by app_receive_realtime_ns) p from typed_events where stream_type = 'mark_price' and exchange_symbol is not null) select s exchange_symbol, p affected_from_ns, t closed_ns from o where t - p > 15000000000")
 def liveness_gaps(spark, d):
     """Silences of the mark price beyond 15 s: from the last event to the first new one."""
-    w = Window.partitionBy("exchange_symbol").orderBy("app_receive_realtime_ns")
-    t = _t(spark, d, "typed_events").where("stream_type = 'mark_price' and exchange_symbol is not null").select("exchange_symbol", F.col("app_receive_realtime_ns").alias("closed_ns"))
-    return t.withColumn("affected_from_ns", F.lag("closed_ns").over(Window.partitionBy("exchange_symbol").orderBy("closed_ns"))).where(F.col("closed_ns") - F.col("affected_from_ns") > 15 * 10**9)
+    t = _t(spark, d, "typed_events").where("stream_type = 'mark_price' and exchange_symbol is not null and app_receive_realtime_ns is not null").select("exchange_symbol", F.col("app_receive_realtime_ns").alias("closed_ns"))
+    t = sliding.before(t, ["exchange_symbol"], ["closed_ns"], "closed_ns", "affected_from_ns", F.expr(f"closed_ns div {_HOUR}"))
+    return t.where(F.col("closed_ns") - F.col("affected_from_ns") > 15 * 10**9)
 
 
 _ELIG = """with m as (select distinct exchange_symbol s, app_receive_realtime_ns // 60000000000 m from typed_events where stream_type = 'book_ticker' and exchange_symbol is not null), r as (select min(m) a, max(m) b from m), g as (select s, unnest(range(a, b + 1)) m from (select distinct s from m), r),
