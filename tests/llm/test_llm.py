@@ -183,7 +183,7 @@ MAIL = "From: A <a@b.example>\nSubject: Long words elsewhere\nContent-Type: text
     ("raw", "own"),
     [
         (None, ""), ("", ""), (" \n ", ""), ("only text", "only text"),
-        (MAIL + "Hello Bo,\n\nWe sat.\n\nOn Mon, 1 Jan 2029, Bo wrote:\n> Hi\n> there\n\nIt ran.\n\nKind regards,\nA\n--\nA\n", "We sat.\n\n\nIt ran."),
+        (MAIL + "Hello Bo,\n\nWe sat.\n\nOn Mon, 1 Jan 2029, Bo wrote:\n> Hi\n> there\n\nIt ran.\n\nKind regards,\nA\n--\nA\n", "We sat.\n\nIt ran."),
         (MAIL.replace("\n", "\r\n") + "One.\r\nTwo.\r\n", "One.\nTwo."),
         (MAIL + "-----Original Message-----\nFrom: B\nSubject: x\n\nQuoted words.\n\n\nOwn words.\n\nThanks,\nA", "Own words."),
         (MAIL + "Own.\n\nThanks,\nA\n\n-----Original Message-----\nFrom: B\n\nQuoted.", "Own."),
@@ -192,12 +192,35 @@ MAIL = "From: A <a@b.example>\nSubject: Long words elsewhere\nContent-Type: text
         ("Content-Type: text/plain\n\nEl niÃ±o.", "El niño."),
         ("Content-Type: text/html\n\n<html><head><style>p{x}</style></head><body><p>One &amp; two.</p><p>&gt; quoted</p></body></html>", "One & two."),
         ('Content-Type: multipart/mixed; boundary="b"\n\n--b\nContent-Type: text/plain\n\nMine.\n--b\nContent-Type: application/octet-stream; name="x.pdf"\nContent-Disposition: attachment; filename="x.pdf"\nContent-Transfer-Encoding: base64\n\nAAAA\n--b--', "Mine."),
-        (MAIL + "This is an automatic reply. I am away.", ""),
-        (MAIL + "Short.\n\n****************************************\nCONFIDENTIALITY NOTICE: whatever.", "Short."),
+        ("Auto-Submitted: auto-replied\n" + MAIL + "I am away.", ""), ("Auto-Submitted: no\n" + MAIL + "I am here.", "I am here."),
+        ("Precedence: bulk\n" + MAIL + "Buy.", ""), ("Return-Path: <>\n" + MAIL + "Not delivered.", ""), ('Content-Type: multipart/report; boundary="b"\n\n--b\n\nNot delivered.\n--b--', ""),
+        (MAIL + "This is an automatic reply. I am away.\nRef 5", ""),
+        (MAIL + "Short.\n\n****************************************\nCONFIDENTIALITY NOTICE: whatever it says here.", "Short."),
+        # what looks like a notice, a closing or a ruler but is prose
+        (MAIL + "Thanks for the quick reply.\n\nWe sat on the bench by the river.\n\nRegards,\nBo", "Thanks for the quick reply.\n\nWe sat on the bench by the river."),
+        (MAIL + "Thank you for your note.\nI will come.", "Thank you for your note.\nI will come."),
+        (MAIL + "I was out of office when it rang.\n> out of office\nNow I am back.", "I was out of office when it rang.\nNow I am back."),
+        (MAIL + "First part.\n----------------\nThe second part goes on.", "First part.\nThe second part goes on."),
+        (MAIL + "The intended recipient was my aunt.\nShe sat by the fire and read it.", "The intended recipient was my aunt.\nShe sat by the fire and read it."),
+        (MAIL + "One.\n\n-- \nBo Ek\nTel. +1 555", "One."),
     ],
 )
 def test_author(raw, own):
-    assert mail.author(raw) == own
+    common = mail.marks(["This is an automatic reply. I am away.", "CONFIDENTIALITY NOTICE: whatever it says here."])
+    assert mail.author(raw, common) == own
+
+
+def test_boilerplate_is_what_many_senders_write(spark):
+    rng = random.Random(8)
+    word = lambda n: " ".join(rng.choice("the big old dog cup hat road lamp saw took kept left by of".split()) for _ in range(n)) + f" {rng.random()}"
+    foot = "Printed on paper that floats, read 17 times."
+    texts = [(f"From: s{i % 40}@x.example\nSubject: x\n\n{word(9)}\nand so on.\n\n{foot.replace('17', str(i)) if i % 8 == 0 else word(6)}",) for i in range(400)]
+    texts += [("From: one@x.example\n\nMy own words that I always send to all.",)] * 30 + [(None,), ("",)]
+    df = spark.createDataFrame(texts, "text string").repartition(3)
+    got = reading.boilerplate(df)
+    assert got == mail.marks([foot])  # what one sender repeats is not
+    assert mail.author(texts[0][0], got).endswith("and so on.") and foot[:10] not in mail.author(texts[0][0], got)
+    assert reading.boilerplate(df.limit(0)) == frozenset()
 
 
 def test_author_survives_noise():

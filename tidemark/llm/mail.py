@@ -1,10 +1,17 @@
-"""What the author of a mail wrote: MIME parts decoded; quotes, signatures and boilerplate left out."""
+"""What the author of a mail wrote: MIME parts decoded; quotes, signatures and boilerplate left out.
+
+Boilerplate is not listed here: it is what many senders write word for word (:func:`marks` and
+:func:`tidemark.llm.reading.boilerplate`).
+"""
 
 from __future__ import annotations
 
 import binascii
 import html
 import re
+from collections.abc import Container
+
+import xxhash
 
 _HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:")
 _CONTROL = re.compile("[\x00-\x08\x0b-\x1f\x7f]")
@@ -24,26 +31,24 @@ _SAID = re.compile(r"(?:wrote|writes|escribió|escribio|a écrit|a ecrit|schrieb
 _SAID_START = re.compile(r"\s*(?:on|am|le|el)\b.*\d", re.I)
 #: What follows is someone else's mail.
 _ORIGINAL = re.compile(r"\s*(?:-{2,}\s*(?:original message|forwarded message|begin forwarded|urspr\S*ngliche nachricht|weitergeleitete nachricht|mensaje (?:original|reenviado)|message (?:d'origine|transféré|original))|_{8,}\s*$|begin forwarded message)", re.I)
-#: A ruler that sets off boilerplate.
+#: A line drawn with marks.
 _RULER = re.compile(r"\s*(?:[*=_~-]{8,}|_{3,})\s*$")
 _DASHES = re.compile(r"\s*--\s*$")
-#: How mails close; the name and signature follow. Fixed values.
+#: How mails close, as a line of its own; the name and signature follow. Fixed values.
 _CLOSING = re.compile(
-    r"\s*(?:best|kind|warm)?\s*(?:regards|wishes)|\s*(?:thanks|thank you|cheers|sincerely|yours|viele grüße|mit freundlichen grüßen|liebe grüße|beste grüße|gruß|grüße"
-    r"|saludos|un cordial saludo|un saludo|atentamente|cordialement|merci|bien à vous|amicalement|sincères salutations)\b",
+    r"\s*(?:(?:(?:with|many)\s+)?(?:best|kind|warm|kindest|warmest)?\s*(?:regards|wishes)|(?:many\s+)?thanks(?:\s+(?:again|a lot|in advance))?|thank you(?:\s+(?:again|very much|in advance))?|all the best|cheers|sincerely|yours(?:\s+\w+)?"
+    r"|viele grüße|mit freundlichen grüßen|liebe grüße|beste grüße|gruß|grüße|(?:un cordial )?saludos?|un (?:cordial )?saludo|saludos(?:\s+cordiales)?|atentamente|(?:bien )?cordialement|merci|bien à vous|amicalement|sincères salutations)\s*[,.!]?\s*$",
     re.I,
 )
-#: What gives away notices that machines append. Fixed values, in lower case.
-_NOTICES = (
-    "confidentiality notice", "may contain privileged information", "views expressed herein", "intended recipient", "intended addressee", "you get this mail as you are on", "to unsubscribe",
-    "think of the trees", "scanned on arrival", "nachricht ist vertraulich", "vorgesehene empfänger", "mensaje es confidencial", "prohibida su divulgación",
-    "message est confidentiel", "courriel est confidentiel", "toute diffusion non autorisée",
-)
-#: Mails that no author wrote. Fixed values, in lower case.
-_AUTOMATIC = (
-    "this is an automatic reply", "your ticket was opened", "delivery has failed", "mail delivery failed", "out of office",
-    "automatische antwort", "respuesta automática", "réponse automatique",
-)
+#: Lines of a signature: how many at most, how long, and from how many words on a line with a stop is a sentence.
+_SIGNATURE, _SHORT, _SENTENCE = 14, 64, 4
+#: Headers by which mail programs say that no author wrote a mail. Fixed values of public standards.
+_MACHINE = {"auto-submitted": re.compile(r"(?!no\b)"), "precedence": re.compile(r"(?:bulk|junk|auto_reply)\b", re.I), "return-path": re.compile(r"<\s*>"), "x-autoreply": re.compile(""), "x-autorespond": re.compile(""), "content-type": re.compile(r"multipart/report\b", re.I)}
+#: Words that a line has at least to be told as boilerplate.
+WORDS = 4
+_BLANK = re.compile(r"\n[ \t\r]*\n")
+_FROM = re.compile(r"^from:(.*)$", re.I | re.M)
+_DIGITS = re.compile(r"\d+")
 _GREETING = re.compile(r"\s*(?:hi|hello|dear|hey|hallo|liebe[rs]?|guten tag|sehr geehrte\w*|hola|estimad\w+|buenos días|buenas tardes|querid\w+|bonjour|salut|chers?|chère)\b[^.!?\n]{0,40},?\s*$", re.I)
 
 
@@ -146,22 +151,19 @@ def _below(lines: list[str], marker: int) -> int:
     return min([*greeted[:1], *marked[:1], *broken[:1]], default=n)
 
 
-def author(raw: str | None) -> str:
-    """The author's own prose of a raw mail, line by line; empty if there is none.
+def own(raw: str | None) -> list[str]:
+    """The lines of a mail that are neither headers, attachments, quotes nor greetings; blank ones for gaps.
 
-    Null, empty and blank mails, automatic notices and mails that only quote give the empty text. A
-    mail without headers counts as a body. Broken parts give what can be decoded of them.
+    Signature and boilerplate are still among them. Mails that a program marks as its own
+    (Auto-Submitted, Precedence, a null Return-Path, multipart/report), null and blank ones have none.
     """
     if not raw or not raw.strip():
-        return ""
-    text = _CONTROL.sub("", raw.replace("\r\n", "\n").replace("\r", "\n")).lstrip("\ufeff\n")
-    text = repair(_texts(*_headers(text)))
-    low = text.lower()
-    if any(x in low for x in _AUTOMATIC):
-        return ""
-    noticed = any(x in low for x in _NOTICES)
+        return []
+    head, body = _headers(_CONTROL.sub("", raw.replace("\r\n", "\n").replace("\r", "\n")).lstrip("\ufeff\n"))
+    if any(k in head and test.match(head[k].strip()) for k, test in _MACHINE.items()):
+        return []
     kept: list[str] = []
-    lines = text.split("\n")
+    lines = repair(_texts(head, body)).split("\n")
     i, n = 0, len(lines)
     while i < n:
         line = lines[i]
@@ -179,18 +181,80 @@ def author(raw: str | None) -> str:
         if i < n and _colon(lines[i]) and _SAID_START.match(line) and _SAID.search(lines[i]):
             i += 1
             continue
-        if _ORIGINAL.match(line):
+        if _ORIGINAL.match(line) and not (_RULER.match(line) and not _quoted_head(lines, i)):
             if any(kept):
                 break
             i = _below(lines, max(j for j in range(i - 1, n) if _ORIGINAL.match(lines[j])))
             continue
-        if _RULER.match(line) or _DASHES.match(line):
-            break
-        if _CLOSING.match(line) and len(line) < 60 and line.rstrip()[-1:] in ",.!":
-            break
-        if noticed and any(x in line.lower() for x in _NOTICES):
-            break
         if _GREETING.match(line):
             continue
         kept.append(line.strip())
-    return "\n".join(kept).strip()
+    return kept
+
+
+def _quoted_head(lines: list[str], i: int) -> bool:
+    """Whether the head of another mail follows a line: a name with a colon right below it."""
+    return i < len(lines) and bool(_HEADER.match(lines[i].strip()))
+
+
+def normal(line: str) -> str:
+    """A line as it is compared with others: lower case, single blanks, numbers all alike."""
+    return _DIGITS.sub("#", " ".join(line.lower().split()))
+
+
+def marks(lines: list[str]) -> set[int]:
+    """Hashes of the lines of at least WORDS words, as signed 64-bit numbers."""
+    return {_mark(x) for x in lines if len(x.split()) >= WORDS}
+
+
+def sender(raw: str | None) -> int:
+    """A number for who a mail says it is from; 0 where it does not say."""
+    m = _FROM.search(_BLANK.split(raw.lstrip(), maxsplit=1)[0]) if raw else None
+    return xxhash.xxh3_64_intdigest(m[1].strip().lower()) if m else 0
+
+
+def _mark(line: str) -> int:
+    n = xxhash.xxh3_64_intdigest(normal(line))
+    return n - (1 << 64) if n >> 63 else n
+
+
+def prose(lines: list[str], boilerplate: Container[int] = frozenset()) -> str:
+    """What is left of :func:`own` lines without paragraphs that have a line of boilerplate, without rulers and the signature.
+
+    A signature begins with a closing, two dashes or a ruler, and has only a few short lines that
+    are no sentences up to the end.
+    """
+    paragraphs: list[list[str]] = [[]]
+    for line in lines:
+        if not line or _RULER.match(line):
+            paragraphs.append([line] if line else [])
+            paragraphs.append([])
+        else:
+            paragraphs[-1].append(line)
+    if boilerplate:
+        paragraphs = [p for p in paragraphs if not any(len(x.split()) >= WORDS and _mark(x) in boilerplate for x in p)]
+    kept: list[str] = []
+    for p in paragraphs:
+        kept += p or ([""] if kept and kept[-1] else [])
+    end, short = len(kept), 0
+    for i in range(len(kept) - 1, -1, -1):
+        line = kept[i]
+        if not line:
+            continue
+        if _CLOSING.match(line) or _DASHES.match(line) or _RULER.match(line):
+            end = i
+            continue
+        short += 1
+        if short > _SIGNATURE or len(line) > _SHORT or (line[-1] in ".!?" and len(line.split()) >= _SENTENCE):
+            break
+    return "\n".join(x for x in kept[:end] if not _RULER.match(x)).strip()
+
+
+def author(raw: str | None, boilerplate: Container[int] = frozenset()) -> str:
+    """The author's own prose of a raw mail, line by line; empty if there is none.
+
+    Null, empty and blank mails, mails of programs and mails that only quote give the empty text. A
+    mail without headers counts as a body. Broken parts give what can be decoded of them.
+    ``boilerplate`` are the hashes of lines that many senders write.
+    """
+    return prose(own(raw), boilerplate)
