@@ -103,6 +103,20 @@ def test_nearest(spark, seed):
     assert sorted(map(tuple, got.collect())) == sorted(want, key=lambda x: x[:3])
 
 
+def test_nearest_where_times_are_dense(spark):
+    """A tolerance of hours over times a millisecond apart: rounds follow the density, the first one looks at few rows."""
+    left = spark.range(0, 4_000_000, 40_009).selectExpr("'A' y", "id + 1 t")
+    right = spark.range(0, 60_000).selectExpr("'A' y", "id * 7 r", "id u").union(spark.createDataFrame([("A", 3_900_000, 7)], "y string, r bigint, u bigint"))
+    got = {r.t: r.r for r in nearest.nearest(left, right, ["y"], "t", "r", "u", 3_600_000).collect()}
+    times = np.array([*range(0, 420_000, 7), 3_900_000])
+    want = {}
+    for t in range(1, 4_000_001, 40_009):
+        d = np.abs(times - t)
+        if d.min() <= 3_600_000:
+            want[t] = int(times[d.argmin()])
+    assert got == want
+
+
 def test_nearest_without_rows(spark):
     none = spark.createDataFrame([], "y string, t bigint")
     assert not nearest.nearest(none, spark.createDataFrame([("A", 1, 1)], "y string, r bigint, u bigint"), ["y"], "t", "r", "u", 50).count()

@@ -84,7 +84,7 @@ def count(df: DataFrame, keep: Sequence[str], text: str = "text", path: str = VO
         for whole in batches:
             for lo, n in portions(whole.column(len(keep))):
                 b = whole.slice(lo, n)
-                _, at = enc.encode(_texts(b.column(len(keep))))
+                _, at = enc.encode(_texts(b.column(len(keep))), gather=False)
                 yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], pa.array(np.diff(at))], names=[*keep, "tokens"])
 
     return df.select(*keep, text).mapInArrow(run, schema)

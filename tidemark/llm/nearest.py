@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,11 +11,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import floor_div
 from tidemark.session import cut
 
-#: Doublings from the finest bucket to the tolerance.
-RINGS = 6
+#: Right times in a bucket of the first round, where they are densest, if they lie evenly.
+FEW = 2
 
 
-def nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, right_value: str, tolerance: int, rings: int = RINGS) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, right_value: str, tolerance: int, rings: int | None = None) -> DataFrame:
     """Each distinct (by, left_time) with the nearest right row of the same ``by`` within ``tolerance``.
 
     Result: by, ``left_time`` and of the match ``right_time`` and ``right_value``; left rows
@@ -22,8 +23,9 @@ def nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str
     largest ``right_value`` (null lowest). Times are whole numbers. Rows with a null in ``by`` or
     in their time take no part. ``left_time`` and ``right_time`` must differ in name.
 
-    The finest buckets are tolerance / 2^rings wide: a left row meets the distinct right times of
-    its own and the adjacent ones, at most three widths of them. A match not further away than
+    The finest buckets are tolerance / 2^rings wide, where ``rings`` doublings bring the most right
+    times that one ``by`` has within a tolerance down to FEW, unless given: a left row meets the
+    distinct right times of its own bucket and the adjacent ones, at most three widths of them. A match not further away than
     the bucket is wide is provably nearest; without one, nothing lies within that radius r. So in
     the next round, over buckets r wide, the own bucket must be empty and of the others only the
     last time before or the first after the row can be nearest: right rows shrink to the first and
@@ -36,10 +38,13 @@ def nearest(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str
     """
     k = list(by)
     whole = lambda df, t: df.where(F.col(t).isNotNull() & F.greatest(*[F.col(c).isNull() for c in k], F.lit(False)).eqNullSafe(F.lit(False)))
-    width = max(1, -(-tolerance // (1 << rings)))
     bucket = lambda t, w: floor_div(t, w)
     points = whole(right, right_time).groupBy(*k, F.col(right_time).alias("__r")).agg(F.max(right_value).alias("__v"))
     points = cut(points)
+    if rings is None:
+        densest = points.groupBy(*k, bucket(F.col("__r"), max(1, tolerance)).alias("__b")).count().agg(F.max("count")).first()[0] or 1
+        rings = max(0, math.ceil(math.log2(densest / FEW)))
+    width = max(1, -(-tolerance // (1 << rings)))
     open_rows = whole(left, left_time).select(*k, F.col(left_time).alias("__l")).distinct()
 
     gap = F.abs(F.col("__r") - F.col("__l"))

@@ -252,10 +252,10 @@ class Encoder:
 
     # -- texts
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str | None], gather: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's ids start (with the end: one more).
 
-        Null and empty texts have no ids.
+        Null and empty texts have no ids. Without ``gather`` the ids are only counted.
         """
         flats, counts = [], np.zeros(len(texts), np.int64)
         group: list[tuple[int, str]] = []
@@ -263,17 +263,17 @@ class Encoder:
         for i, text in enumerate(texts):
             for part in parts_of(text) if text else ():
                 if size and size + len(part) > SLICE:
-                    flats.append(self._slice(group, counts))
+                    flats.append(self._slice(group, counts, gather))
                     group, size = [], 0
                 group.append((i, part))
                 size += len(part)
         if group:
-            flats.append(self._slice(group, counts))
+            flats.append(self._slice(group, counts, gather))
         offsets = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(counts, out=offsets[1:])
         return np.concatenate(flats) if flats else np.zeros(0, np.int32), offsets
 
-    def _slice(self, group: list[tuple[int, str]], counts: np.ndarray) -> np.ndarray:
+    def _slice(self, group: list[tuple[int, str]], counts: np.ndarray, gather: bool) -> np.ndarray:
         joined = "\0".join(p for _, p in group) + "\0"
         points = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)
         kinds = classes()[points]
@@ -294,16 +294,16 @@ class Encoder:
         which = pieces.indices.to_numpy(zero_copy_only=False)
         ids = self.ids_of(pieces.dictionary.to_pylist())
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for i in ids for x in i), np.int32, int(lens.sum()))
-        begin = np.cumsum(lens) - lens
         n = lens[which]
         marks = np.searchsorted(at, ends)
         n[marks] = 0
         upto = np.cumsum(n)
-        take = np.repeat(begin[which] - (upto - n), n) + np.arange(upto[-1])
-        per = np.diff(upto[marks], prepend=0)
-        np.add.at(counts, [i for i, _ in group], per)
-        return flat[take]
+        np.add.at(counts, [i for i, _ in group], np.diff(upto[marks], prepend=0))
+        if not gather:
+            return np.zeros(0, np.int32)
+        flat = np.fromiter((x for i in ids for x in i), np.int32, int(lens.sum()))
+        begin = np.cumsum(lens) - lens
+        return flat[np.repeat(begin[which] - (upto - n), n) + np.arange(upto[-1])]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(self.bytes[i] for i in ids).decode("utf-8", "replace")
