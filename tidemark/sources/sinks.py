@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,3 +68,17 @@ def marker(spark: SparkSession, value: dict[str, Any], path: str) -> None:
     fs.delete(target, False)
     if not fs.rename(aside, target):
         raise OSError(f"could not publish {path}")
+
+
+def read_marker(spark: SparkSession, path: str) -> dict[str, Any] | None:
+    """What :func:`marker` wrote; None if there is no such file. (Sources of Spark pass over names that begin with an underscore.)"""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return None
+    src = fs.open(at)
+    try:
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(src, "UTF-8"))
+    finally:
+        src.close()
