@@ -105,3 +105,15 @@ def nine_decimals(x: Column) -> Column:
     twice = (n - down.cast("decimal(11,0)") * unit) * 2
     near = F.when((twice > unit) | ((twice == unit) & (down % 2 == 1)), down + 1).otherwise(down)
     return F.format_string("%d.%09d", F.floor(near / 10**9).cast("bigint"), near % 10**9)
+
+
+def strict_whole(v: Column, least: int = 0) -> Column:
+    """A VARIANT that is a whole number of at least ``least``, as bigint; null for all else: booleans, texts, fractions."""
+    n = F.try_variant_get(v, "$", "bigint")
+    return F.when(F.schema_of_variant(v).isin("BIGINT", "INT", "SMALLINT", "TINYINT") & (n >= least), n)
+
+
+def strict_decimal(v: Column, zero: bool = False) -> Column:
+    """A VARIANT that is a number, or the text of one, above zero (or zero), as decimal(28,8); null for all else: booleans, infinity."""
+    n = F.try_variant_get(v, "$", "string").try_cast("decimal(28,8)")
+    return F.when((F.schema_of_variant(v) != "BOOLEAN") & ((n > 0) | (F.lit(zero) & (n == 0))), n)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import canonical_json
+from tidemark.operators.quality import effective_ns
 from tidemark.schemas import PARQUET_TYPE
 from tidemark.session import small
 
@@ -154,3 +156,25 @@ def progress(days: DataFrame, stages: dict[str, DataFrame], expected: int) -> Da
         so_far = so_far & done
         state = F.when(so_far, name).otherwise(state)
     return out.withColumn("state", state)
+
+
+def index_conflicts(rows: DataFrame, identity: list[str]) -> DataFrame:
+    """Identities of an archived index that are described in several ways, with their number; a null equals a null."""
+    return rows.distinct().groupBy(*identity).agg(F.count(F.lit(1)).alias("versions")).where("versions > 1")
+
+
+def same_members(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """One row: whether two lists have the same members (``same``), and how many only one of them has. Nulls and repeats do not count."""
+    side = lambda df, n: df.select(key).where(F.col(key).isNotNull()).distinct().withColumn(n, F.lit(True))
+    j = side(a, "__a").join(side(b, "__b"), key, "full")
+    return j.agg(F.count_if(F.col("__b").isNull()).alias("only_left"), F.count_if(F.col("__a").isNull()).alias("only_right")).withColumn("same", (F.col("only_left") == 0) & (F.col("only_right") == 0))
+
+
+def gap_artifacts(facts: DataFrame, collector: str) -> DataFrame:
+    """Gap facts as the files they are published as: ``chunk_id``, ``data_path``, ``content`` (canonical JSON), ``sha256``, ``size_bytes`` and time."""
+    at = effective_ns()
+    name = F.concat_ws("-", "gap_id", F.col("observed_at_realtime_ns").cast("string"), F.lower("state"))
+    day = F.date_format(F.timestamp_micros(F.call_function("div", at, F.lit(1000).cast("bigint"))), "yyyy-MM-dd")
+    content = F.concat(canonical_json(*[F.col(c) for c in facts.columns]), F.lit("\n"))
+    out = facts.select(name.alias("chunk_id"), F.concat(F.lit("date="), day, F.lit("/writer=control/"), name, F.lit(".gap.json")).alias("data_path"), content.alias("content"), at.alias("min_app_receive_realtime_ns"))
+    return out.withColumns({"collector_id": F.lit(collector), "sha256": F.sha2(F.col("content").cast("binary"), 256), "size_bytes": F.octet_length("content").cast("bigint"), "max_app_receive_realtime_ns": F.col("min_app_receive_realtime_ns")})

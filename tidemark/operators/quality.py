@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import nine_decimals, product
 from tidemark.operators import intervals
+from tidemark.operators.sliding import before
 from tidemark.schemas import GAP_REASONS
 
 #: Permille of a window that must be valid. Fixed value.
@@ -156,3 +157,24 @@ def minute_tiers(minutes: DataFrame, symbols: int, least: int) -> DataFrame:
     for t in ("99.0", "99.5", "99.8", "99.9"):
         tier = F.when(F.col("share") >= float(t) / 100, t).otherwise(tier)
     return d.withColumn("tier", F.when(F.col("longest_bad") > 3, "none").otherwise(tier))
+
+
+def route_gap_starts(events: DataFrame, route: str, key: Sequence[str], time: str) -> DataFrame:
+    """Since when a route's loss affects what it carries: the least of the last times of its keys (``affected_from_ns``)."""
+    last = events.where(F.col(time).isNotNull()).groupBy(route, *key).agg(F.max(time).alias("__last"))
+    return last.groupBy(route).agg(F.min("__last").alias("affected_from_ns"), F.count(F.lit(1)).alias("keys"))
+
+
+def liveness(events: DataFrame, key: str, time: str, limit: int, until: int | None) -> DataFrame:
+    """Silences longer than ``limit``: from the last event before (``affected_from_ns``) to the first after it (``closed_ns``).
+
+    One that lasts at ``until`` has a null ``closed_ns``. Slices of time are looked at apart, so a
+    key with many events is spread.
+    """
+    t = events.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(key, F.col(time).alias("closed_ns"))
+    gaps = before(t, [key], ["closed_ns"], "closed_ns", "affected_from_ns", F.expr(f"closed_ns div {240 * limit}"))
+    over = gaps.where(F.col("closed_ns") - F.col("affected_from_ns") > limit).select(key, "affected_from_ns", "closed_ns")
+    if until is None:
+        return over
+    still = t.groupBy(key).agg(F.max("closed_ns").alias("affected_from_ns")).where(F.lit(until) - F.col("affected_from_ns") > limit)
+    return over.unionByName(still.withColumn("closed_ns", F.lit(None).cast("bigint")))

@@ -141,3 +141,36 @@ def band_depth(levels: DataFrame, by: Sequence[str], bps: int) -> DataFrame:
     value = F.when(near, F.col("price") * F.col("quantity"))
     sums = levels.join(best, list(by)).groupBy(*by).agg(*[F.coalesce(F.sum(F.when(F.col("side") == s, value)), F.lit(0)).alias(s) for s in ("bid", "ask")])
     return sums.select(*by, F.least("bid", "ask").alias(f"depth_{bps}bps"))
+
+
+def thin_depth(levels: DataFrame, by: Sequence[str], sample: Sequence[str], bands: Sequence[int] = (10, 50)) -> DataFrame:
+    """Per ``by`` the number of samples with both sides and the least :func:`band_depth` over them, for each band."""
+    key = [*by, *sample]
+    out = None
+    for b in bands:
+        one = band_depth(levels, key, b).groupBy(*by).agg(F.count(F.lit(1)).alias("samples"), F.min(f"depth_{b}bps").alias(f"thin_depth_{b}bps"))
+        out = one if out is None else out.join(one.drop("samples"), list(by))
+    return out
+
+
+def block_statistics(days: DataFrame, block: int) -> DataFrame:
+    """Per block of ``block`` days what the market was like, for ``volume`` and ``trades``.
+
+    ``days``: one row per symbol and ``day``, decimals. Columns: ``block`` (number), symbols; of each
+    metric the median day of the whole market (``market_``), the quartiles of the symbols' own
+    median days (``p25_``, ``p50_``, ``p75_``), and ``up_``: the share of symbols whose median is
+    above that of the block before, of those that are in both (null in the first block).
+    """
+    d = days.withColumn("block", F.expr(f"day div {block}"))
+    wide = "decimal(36,8)"
+    out = d.groupBy("block").agg(F.count_distinct("symbol").alias("symbols"))
+    for m in ("volume", "trades"):
+        total = d.groupBy("block", "day").agg(F.sum(F.col(m).cast("decimal(26,8)")).cast("decimal(28,8)").alias("x"))
+        own = percentile(d.withColumn("x", F.col(m).cast("decimal(26,8)")), ["block", "symbol"], "x", 1, 2, "x", "decimal(26,8)")
+        out = out.join(percentile(total, ["block"], "x", 1, 2, f"market_{m}", wide, "decimal(28,8)"), "block", "left")
+        for q in (1, 2, 3):
+            out = out.join(percentile(own, ["block"], "x", q, 4, f"p{25 * q}_{m}", wide), "block", "left")
+        was = own.select((F.col("block") + 1).alias("block"), "symbol", F.col("x").alias("was"))
+        up = own.join(was, ["block", "symbol"]).groupBy("block").agg((F.count_if(F.col("x") > F.col("was")) / F.count(F.lit(1))).alias(f"up_{m}"))
+        out = out.join(up, "block", "left")
+    return out

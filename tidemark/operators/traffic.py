@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Mapping, Sequence
 from itertools import combinations
+from typing import Any
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -147,3 +150,30 @@ def rebalance(symbols: Sequence[str], rates: Mapping[str, int], at: Sequence[Seq
     if len(out) > 1 and max(load) * len(out) > trigger * sum(load):
         _swapped(out, rate)
     return [sorted(shard) for shard in out]
+
+
+def offsets(count: int, window: float) -> list[float]:
+    """When so many pollers start, spread evenly over a window."""
+    return [window * i / count for i in range(count)]
+
+
+def next_deadline(previous: float, interval: float, now: float) -> float:
+    """The first point of the fixed raster of ``interval`` from ``previous`` on that is after ``now``; missed ones are left out."""
+    missed = max(0, math.floor((now - previous) / interval))
+    return previous + interval * (missed + 1) if now >= previous else previous + interval
+
+
+def load_blocks(text: str | None, size: int = BLOCK, kept: int = KEPT) -> list[dict[str, Any]]:
+    """The last blocks of a saved state (``start_minute``, ``end_minute``, ``rates``); none at all if any of it is broken."""
+    try:
+        state = json.loads(text or "")
+        blocks = state["blocks"] if state["version"] == 1 else None
+        until = -1
+        for b in blocks:
+            whole = [b["start_minute"], b["end_minute"], *b["rates"].values()]
+            if any(type(n) is not int for n in whole) or min(b["rates"].values(), default=1) < 1 or b["end_minute"] - b["start_minute"] != size - 1 or b["start_minute"] <= until or not all(1 <= len(s) <= 30 and s.isalnum() and s == s.upper() for s in b["rates"]):
+                return []
+            until = b["end_minute"]
+    except (ValueError, KeyError, TypeError, AttributeError):
+        return []
+    return blocks[-kept:]

@@ -649,23 +649,25 @@ def common_members(spark, d):
     return _symbols(spark, d, "l2_projection").intersect(_symbols(spark, d, "message_rates"))
 
 
-@query("with a as (select exchange_symbol s, count(distinct open_ms // 86400000) n, max(open_ms // 86400000) hi from daily_klines where exchange_symbol is not null and open_ms // 86400000 >= (select max(open_ms // 86400000) - 13 from daily_klines) group by 1) select s exchange_symbol, n complete_days, n = 14 mature from a")
+@query("""with c as (select max(open_ms // 86400000) + 1 hi from daily_klines), a as (select exchange_symbol s, count(distinct open_ms // 86400000) n from daily_klines, c where exchange_symbol is not null and open_ms // 86400000 >= hi - 14 and close_ms < hi * 86400000 group by 1) select s exchange_symbol, n complete_days, n = 14 mature from a""")
 def mature_pool(spark, d):
-    """Days with a bar among the last fourteen (calendar semi-join)."""
-    k = _t(spark, d, "daily_klines").where("exchange_symbol is not null and open_ms is not null").select("exchange_symbol", F.expr("open_ms div 86400000").alias("day"))
-    calendar = k.agg(F.max("day").alias("hi")).select(F.explode(F.expr("sequence(hi - 13, hi)")).alias("day"))
-    return k.join(F.broadcast(calendar), "day", "left_semi").distinct().groupBy("exchange_symbol").agg(F.count(F.lit(1)).alias("complete_days")).withColumn("mature", F.col("complete_days") == 14)
+    """Complete days among the last fourteen: with a bar that opens in the calendar and closes before its end."""
+    k = _t(spark, d, "daily_klines").where("exchange_symbol is not null and open_ms is not null").select("exchange_symbol", F.expr("open_ms div 86400000").alias("day"), "close_ms")
+    calendar = k.agg(F.max("day").alias("hi")).select(F.explode(F.expr("sequence(hi - 13, hi)")).alias("day"), ((F.col("hi") + 1) * 86_400_000).alias("end"))  # fourteen rows
+    bars = k.join(F.broadcast(calendar), "day").where("close_ms < end")
+    return bars.select("exchange_symbol", "day").distinct().groupBy("exchange_symbol").agg(F.count(F.lit(1)).alias("complete_days")).withColumn("mature", F.col("complete_days") == 14)
 
 
 # -- silence and minute eligibility
 
 
-@query("with o as (select exchange_symbol s, app_receive_realtime_ns t, lag(app_receive_realtime_ns) over (partition by exchange_symbol order by app_receive_realtime_ns) p from typed_events where stream_type = 'mark_price' and exchange_symbol is not null) select s exchange_symbol, p affected_from_ns, t closed_ns from o where t - p > 15000000000")
+@query("""with o as (select exchange_symbol s, app_receive_realtime_ns t, lag(app_receive_realtime_ns) over (partition by exchange_symbol order by app_receive_realtime_ns) p from typed_events where stream_type = 'mark_price' and exchange_symbol is not null),
+l as (select s, max(t) t from o group by 1) select s exchange_symbol, p affected_from_ns, t closed_ns from o where t - p > 15000000000 union all select s, t, null from l where (select max(app_receive_realtime_ns) from typed_events) - t > 15000000000""")
 def liveness_gaps(spark, d):
-    """Silences of the mark price beyond 15 s: from the last event to the first new one."""
-    t = _t(spark, d, "typed_events").where("stream_type = 'mark_price' and exchange_symbol is not null and app_receive_realtime_ns is not null").select("exchange_symbol", F.col("app_receive_realtime_ns").alias("closed_ns"))
-    t = sliding.before(t, ["exchange_symbol"], ["closed_ns"], "closed_ns", "affected_from_ns", F.expr(f"closed_ns div {_HOUR}"))
-    return t.where(F.col("closed_ns") - F.col("affected_from_ns") > 15 * 10**9)
+    """Silences of the mark price beyond 15 s: from the last event to the first new one; null where it lasts at the end of the table."""
+    t = _t(spark, d, "typed_events")
+    until = t.agg(F.max("app_receive_realtime_ns")).first()[0]
+    return quality.liveness(t.where("stream_type = 'mark_price'"), "exchange_symbol", "app_receive_realtime_ns", 15 * 10**9, until)
 
 
 _ELIG = """with m as (select distinct exchange_symbol s, app_receive_realtime_ns // 60000000000 m from typed_events where stream_type = 'book_ticker' and exchange_symbol is not null), r as (select min(m) a, max(m) b from m), g as (select s, unnest(range(a, b + 1)) m from (select distinct s from m), r),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import feeds, market
+from tidemark.plans import feeds, market, records  # noqa: F401 records adds to the queries of market
 
 MODULES = (feeds, market)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import ranking
+
 DAY_MS = 86_400_000
 _INFO = "symbols array<struct<symbol:string,contractType:string,status:string,quoteAsset:string,marginAsset:string,onboardDate:bigint>>"
 _BARS = "window_start_ms bigint, window_end_exclusive_ms bigint, symbols map<string,struct<payload:array<array<string>>>>"
@@ -47,3 +49,19 @@ def book_levels(spark: SparkSession, path: str) -> DataFrame:
     side = lambda n, c: s.select("symbol", "sample", F.lit(n).alias("side"), F.explode(f"d.payload.{c}").alias("l"))
     at = lambda i: F.get("l", F.lit(i)).try_cast("decimal(18,8)")
     return side("bid", "bids").unionByName(side("ask", "asks")).select("symbol", "sample", "side", at(0).alias("price"), at(1).alias("quantity"))
+
+
+#: Samples of complete evidence: of the book, of the tickers. Fixed values.
+DEPTH_SAMPLES, TICKER_SAMPLES = 3, 21
+
+
+def liquidity(spark: SparkSession, path: str) -> DataFrame:
+    """Per symbol what its samples show: number of both kinds, least depth within 10 and 50 bps, q95 of the spread, and whether all samples are there.
+
+    Symbols without book samples have no row; without ticker samples the spread is null.
+    """
+    depth = ranking.thin_depth(book_levels(spark, path), ["symbol"], ["sample"]).withColumnRenamed("samples", "depth_samples")
+    t = ticker_spreads(spark, path)
+    spread = ranking.percentile(t.withColumn("x", F.col("spread_bps")), ["symbol"], "x", 19, 20, "spread_q95_bps").join(t.groupBy("symbol").agg(F.count(F.lit(1)).alias("ticker_samples")), "symbol")
+    out = depth.join(spread, "symbol", "left").fillna(0, ["ticker_samples"])
+    return out.withColumn("complete", (F.col("depth_samples") == DEPTH_SAMPLES) & (F.col("ticker_samples") == TICKER_SAMPLES))
