@@ -21,7 +21,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_query_of_a_relation_has_sql():
     without = set(registry.queries()) - set(registry.oracle_sql())
-    assert without == {"l2_state_changes", "l2_validity", "l2_checkpoint", "shard_balance"}
+    assert without == {"shard_balance", "lane_balance", "swap_balance"}  # plans made on the driver, tested against a plain version
 
 
 @pytest.fixture(scope="module")
@@ -35,4 +35,4 @@ def empty(spark, tmp_path_factory):
 @pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_of_empty_tables(spark, empty, name):
     df = registry.queries()[name](spark, empty)
-    assert df.count() <= 1
+    assert df.count() <= (2 if name == "contract_hashes" else 1)  # that one reads no table
