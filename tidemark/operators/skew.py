@@ -60,6 +60,7 @@ def message_blocks(raw: DataFrame, rates: DataFrame) -> DataFrame:
     Rates that are null or below 1 do not count; of several rates of a symbol the highest counts.
     """
     r = rates.where(F.col("message_rate") >= 1).groupBy(F.upper("exchange_symbol").alias("symbol")).agg(F.max("message_rate").alias("message_rate"))
-    rated = messages(raw).join(small(r), "symbol")
+    # written once: the range partitioning behind it reads its rows twice, for the quantiles and for the rows
+    rated = cut(messages(raw).join(small(r), "symbol"))
     numbered = number_in_order(rated, ["segment_id", "symbol"], ["ns", "connection_id", "receive_seq"])
     return numbered.withColumn("block", F.expr("(number - 1) div message_rate + 1"))
