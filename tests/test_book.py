@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tidemark.operators.book import _IN, _TAGGED, DIFF, GAP, RESTORE, SNAPSHOT, Events, _replays, essential, rebuild, replay
+from tidemark.operators.book import _IN, _TAGGED, DIFF, GAP, RESTORE, SNAPSHOT, Events, _replays, essential, rebuild, replay, replay_stream
 
 S, E = 0, 10_000
 SCHEMA = "exchange_symbol string, connection_id string, stream_type string, ord bigint, receive_seq bigint, app_receive_realtime_ns bigint, first_update_id bigint, final_update_id bigint, previous_final_update_id bigint, last_update_id bigint, payload_hash binary, bids array<struct<price:string,quantity:string>>, asks array<struct<price:string,quantity:string>>"
@@ -187,3 +187,69 @@ def test_nulls_are_ignored(spark):
     got, _, saved = run(spark, rows)
     assert got == [(200, E, "a", "utc_day_end")]
     assert saved.count() == 0
+
+
+def test_replay_stream_has_each_valid_stretch_and_nothing_else(spark):
+    """Applied from its CLEAR on, every stretch gives the book that a plain replay has at each of its places."""
+    rng = random.Random(21)
+    rows, at, before_it = [], 100, 99
+    book, valid_book = {}, {}
+    for i in range(260):
+        c = "a" if i < 130 or rng.random() < 0.5 else "b"
+        if i % 40 == 5:
+            for k in "ab":
+                rows.append(snap(k, 10 * i, at - 1, bids=[(str(90 + j), "5") for j in range(4)], asks=[(str(110 + j), "5") for j in range(4)]))
+        elif rng.random() < 0.03:
+            at, before_it = at + 7, before_it + 5  # something was lost
+        else:
+            width = rng.randint(1, 3)
+            bids = [(str(rng.randint(88, 96)), rng.choice(["0", "1", "2.5"])) for _ in range(2)]
+            for k in "ab" if c == "b" else "a":
+                rows.append(diff(k, 10 * i, at, at + width - 1, before_it, bids=bids, asks=[(str(rng.randint(108, 116)), rng.choice(["0", "7"]))]))
+            at, before_it = at + width, at + width - 1
+    data = [(y, c, s, i, i + 1, ns, a, b, p, last, repr((i, a, b, p)).encode(), [dict(price=x, quantity=q) for x, q in bi], [dict(price=x, quantity=q) for x, q in ak]) for i, (y, c, s, ns, a, b, p, last, bi, ak) in enumerate(rows)]
+    g = spark.createDataFrame([("A", "gap-1", "OPEN", "CONNECTION_LOST", 900, None), ("A", "gap-1", "CLOSED", "CONNECTION_LOST", 1_300, None)], GAP_FACTS)
+    df = spark.createDataFrame(data, SCHEMA)
+    got = replay_stream(df, g, S, E).orderBy("segment", "place").collect()
+    spans = sorted((r.valid_from_ns, r.valid_to_ns, r.connection_id) for r in rebuild(df, g, S, E)[1].collect())
+    segments = {}
+    for r in got:
+        segments.setdefault((r.segment, r.connection_id, r.valid_from_ns), []).append(r)
+    assert len(segments) >= 5 and {(k[2], k[1]) for k in segments} == {(lo, c) for lo, _, c in spans}
+    names = SCHEMA.replace("array<struct<price:string,quantity:string>>", "levels").split(", ")
+    table = [dict(zip([n.split()[0] for n in names], r, strict=True)) for r in data]
+    # a snapshot that comes while its book is valid takes the book's place as it is
+    renewed = set()
+    for c in "ab":
+        mine = [t for t in table if t["connection_id"] == c]
+        k = next(i for i, t in enumerate(mine) if t["app_receive_realtime_ns"] >= 900)
+        none = lambda v: -1 if v is None else v
+        seen = [(SNAPSHOT if t["stream_type"] == "depth_snapshot" else DIFF, t["app_receive_realtime_ns"], t["receive_seq"], none(t["first_update_id"]), t["last_update_id"] or t["final_update_id"], none(t["previous_final_update_id"])) for t in mine]
+        said = plain([*seen[:k], (GAP, 900, -1, -1, -1, -1), *seen[k:]])[0]
+        for i, t in enumerate(mine):
+            before_ = [x for x in said if x[0] < i + (i >= k)]
+            if t["stream_type"] == "depth_snapshot" and before_ and before_[-1][2] == "VALID":
+                renewed.add((c, t["ord"]))
+    assert renewed
+    for (place, c, _), events_ in segments.items():
+        assert [r.kind for r in events_[:2]] == ["CLEAR", "SNAPSHOT"] and {r.kind for r in events_[2:]} <= {"DIFF"}
+        book = {s: {float(x.price): x.quantity for x in events_[1][s]} for s in ("bids", "asks")}
+        ids = [r.previous_final_update_id for r in events_[2:]]
+        assert ids[1:] == [r.final_update_id for r in events_[2:-1]]  # an unbroken chain
+        for r in [None, *events_[2:]]:
+            upto = r.place if r else (place - 1) // 2  # a gap comes before the row of its place
+            if r:
+                for s in ("bids", "asks"):
+                    for x in r[s]:
+                        book[s].pop(float(x.price), None) if float(x.quantity) == 0 else book[s].__setitem__(float(x.price), x.quantity)
+            mine = [t for t in table if t["connection_id"] == c and t["ord"] <= upto]
+            base = max(t["ord"] for t in mine if t["stream_type"] == "depth_snapshot" and t["ord"] <= (place - 1) // 2)
+            first = next(t for t in mine if t["ord"] == base)
+            want = {s: {float(x["price"]): x["quantity"] for x in first[s]} for s in ("bids", "asks")}
+            chain = [t for t in mine if t["stream_type"] == "depth" and t["final_update_id"] >= first["last_update_id"] and t["ord"] <= upto]
+            for t in sorted(chain, key=lambda t: t["ord"]):
+                if t["ord"] > base or (c, base) not in renewed and t["first_update_id"] <= first["last_update_id"] <= t["final_update_id"]:
+                    for s in ("bids", "asks"):
+                        for x in t[s]:
+                            want[s].pop(float(x["price"]), None) if float(x["quantity"]) == 0 else want[s].__setitem__(float(x["price"]), x["quantity"])
+            assert book == want, (place, c, upto)

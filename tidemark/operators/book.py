@@ -27,6 +27,8 @@ from tidemark.session import cut, small
 SLICE_NS = 600 * 10**9
 #: Places of the source, and ids, in a slice of a book that is looked at in one piece.
 SLICE, ID_SLICE = 1 << 16, 1 << 24
+#: A place behind all others; twice a place is still a bigint.
+END = 1 << 61
 UNANCHORED, VALID, GAPPED = "UNANCHORED", "VALID", "GAPPED"
 DIFF, SNAPSHOT, GAP, RESTORE = range(4)
 _KEY = ["exchange_symbol", "connection_id"]
@@ -67,17 +69,17 @@ def essential(events: DataFrame, slice_rows: int = SLICE, slice_ids: int = ID_SL
 
 
 class Replay(NamedTuple):
-    """Changes of state (event, time, state, id, reason), and how a book stands after its last event.
+    """Changes of state (event, time, state, id, reason), stretches on one base, and how a book stands after its last event.
 
-    ``base``: the snapshot or restored book that it rests on; ``parts``: places of the changes
-    applied to it, as pairs of first and last. ``waiting``: the snapshot that waits for a change.
+    A stretch: the event it begins with, the event it ends before, the snapshot or restored book it
+    rests on, and the places of the changes that were applied to that by its first event, as pairs
+    of first and last. ``waiting``: the snapshot that waits for a change.
     """
 
     changes: list[tuple[int, int, str, int, str | None]]
+    stretches: list[tuple[int, int, int, list[tuple[int, int]]]]
     state: str
     expected: int | None
-    base: int | None
-    parts: list[tuple[int, int]]
     waiting: int | None
 
 
@@ -132,11 +134,15 @@ def replay(e: Events) -> Replay:
     marks = np.flatnonzero(~is_diff)
     changes: list[tuple[int, int, str, int, str | None]] = []
     state, at, none = UNANCHORED, 0, np.zeros(0, np.int64)
+    stretches: list[tuple[int, int, int, list[tuple[int, int]]]] = []
     anchor: int | None = None
-    base: int | None = None
     expected: int | None = None
     kept, since = none, 0  # buffered: these, and all changes from `since` on
-    chain = none
+    chain, base, turn = none, 0, 0
+
+    def pieces() -> list[tuple[int, int]]:
+        ends = np.flatnonzero(~((run[chain][1:] == run[chain][:-1]) & (run[chain][1:] >= 0))) + 1
+        return [(int(e.pos[p[0]]), int(e.pos[p[-1]])) for p in np.split(chain, ends) if len(p)]
     while at < n:
         if state == VALID:
             stands = not is_diff[at] or e.previous[at] == expected or (run[at] >= 0 and len(chain) and run[at] == run[chain[-1]])
@@ -144,19 +150,19 @@ def replay(e: Events) -> Replay:
             stop = at if not stands or e.kind[at] == GAP else int(ends[k]) if k < len(ends) else n
             if stop > at:
                 expected = int(e.last[stop - 1])
-            if stop < n:
-                state, base, chain, kept = GAPPED, None, none, none
-                if e.kind[stop] == GAP:
-                    changes.append((stop, int(e.ns[stop]), GAPPED, expected, None))
-                    since = stop + 1
-                else:
-                    changes.append((stop, int(e.ns[stop]), GAPPED, int(e.last[stop]), "pu_discontinuity"))
-                    since = stop
-            else:
-                renewed = marks[(marks >= at)]
-                if len(renewed):
-                    base, chain, at = int(renewed[-1]), none, int(renewed[-1]) + 1
+            # each snapshot on the way is a new base
+            bases = [(turn, base, pieces()), *((int(m), int(m), []) for m in marks[(marks > turn) & (marks < stop)])]
+            for (begin, on, parts), until in zip(bases, [*(x[0] for x in bases[1:]), stop], strict=True):
+                stretches.append((begin, until, on, parts))
+            if stop == n:
                 break
+            state, chain, kept = GAPPED, none, none
+            if e.kind[stop] == GAP:
+                changes.append((stop, int(e.ns[stop]), GAPPED, expected, None))
+                since = stop + 1
+            else:
+                changes.append((stop, int(e.ns[stop]), GAPPED, int(e.last[stop]), "pu_discontinuity"))
+                since = stop
             at = stop + 1
             continue
         k = int(np.searchsorted(marks, at))
@@ -194,15 +200,9 @@ def replay(e: Events) -> Replay:
             expected = int(e.last[held[-1]])
             changes.append((turn, int(max(e.ns[anchor], e.ns[held[0]])), VALID, expected, "snapshot_bridge"))
             state, base, chain, anchor, kept = VALID, anchor, held, None, none
-    parts: list[tuple[int, int]] = []
-    if state == VALID:
-        for piece in np.split(chain, np.flatnonzero(~((run[chain][1:] == run[chain][:-1]) & (run[chain][1:] >= 0))) + 1):
-            if len(piece):
-                parts.append((int(e.pos[piece[0]]), int(e.pos[piece[-1]])))
-        # and all that came after the event that made it valid, or after its base
-        after = [t for t, _, s, _, _ in changes if s == VALID][-1] if len(chain) else base
-        parts.append((int(e.pos[after]) + 1, 1 << 62))
-    return Replay(changes, state, expected, base if state == VALID else None, parts, anchor)
+    if state == VALID and (not stretches or stretches[-1][1] < n):  # it became valid with its last event
+        stretches.append((turn, n, base, pieces()))
+    return Replay(changes, stretches, state, expected, anchor)
 
 
 _IN = "exchange_symbol string, connection_id string, pos bigint, kind int, ns bigint, seq bigint, first bigint, last bigint, previous bigint, reason string, run bigint"
@@ -218,9 +218,16 @@ def _told(key: tuple[str, str], t: pa.Table) -> list[tuple]:
     e = Events(*[whole(n).astype(np.int64) for n in ("kind", "pos", "ns", "seq", "first", "last", "previous", "run")])
     r = replay(e)
     out = [(*key, "change", int(e.pos[i]), at, None, state, uid, why if why is not None else col["reason"][i].as_py()) for i, at, state, uid, why in r.changes]
+    for begin, until, base, parts in r.stretches:
+        start = int(e.pos[begin])
+        # rows and gaps of one place: a gap comes first
+        end = END if until == len(e.pos) else 2 * int(e.pos[until]) + int(e.kind[until] != GAP)
+        out.append((*key, "stretch", start, int(e.pos[base]), end, None, None, None))
+        out += [(*key, "part", lo, start, hi, None, None, None) for lo, hi in parts]
     if r.state == VALID:
-        out.append((*key, "held", int(e.pos[r.base]), None, None, r.state, r.expected, None))
-        out += [(*key, "part", lo, None, hi, None, None, None) for lo, hi in r.parts]
+        start, _, base, parts = r.stretches[-1]
+        out.append((*key, "held", int(e.pos[base]), None, None, r.state, r.expected, None))
+        out += [(*key, "applied", lo, None, hi, None, None, None) for lo, hi in [*parts, (int(e.pos[start]) + 1, END)]]
     elif r.waiting is not None:
         out.append((*key, "waiting", int(e.pos[r.waiting]), int(e.ns[r.waiting]), None, r.state, None, None))
     return out
@@ -274,9 +281,9 @@ def authority(steps: DataFrame, end_ns: int) -> tuple[DataFrame, DataFrame]:
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     s = s.withColumn("open", F.sum("delta").over(upto)).withColumn("era", F.count_if(F.col("what") == "OPEN").over(upto))
     mine = Window.partitionBy("exchange_symbol", "connection_id").orderBy("step").rowsBetween(1, Window.unboundedFollowing)
-    s = s.withColumn("breaks", F.when(F.col("connection_id").isNotNull(), F.min(F.when(F.col("what") == "BROKEN", F.struct("step", "at_ns", "reason"))).over(mine)))
+    s = s.withColumn("breaks", F.when(F.col("connection_id").isNotNull(), F.min(F.when(F.col("what") == "BROKEN", F.struct("step", "at_ns", "reason", (F.col("pos") * 2 + F.col("sub")).alias("place")))).over(mine)))
     after = w.rowsBetween(1, Window.unboundedFollowing)
-    nxt = F.min(F.when(F.col("what").isin("OPEN", "VALID"), F.struct("step", "at_ns", F.when(F.col("what") == "OPEN", "transport_gap").otherwise("connection_switch").alias("reason")))).over(after)
+    nxt = F.min(F.when(F.col("what").isin("OPEN", "VALID"), F.struct("step", "at_ns", F.when(F.col("what") == "OPEN", "transport_gap").otherwise("connection_switch").alias("reason"), (F.col("pos") * 2 + F.col("sub")).alias("place")))).over(after)
     s = s.withColumn("next", nxt)
     era = Window.partitionBy("exchange_symbol", "era").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
     s = s.withColumn("newest", F.last(F.when(F.col("what") == "VALID", F.struct("connection_id", "breaks")), ignorenulls=True).over(era))
@@ -284,7 +291,7 @@ def authority(steps: DataFrame, end_ns: int) -> tuple[DataFrame, DataFrame]:
     starts = s.where((F.col("open") == 0) & ((F.col("what") == "VALID") | resumes))
     own = F.when(F.col("what") == "VALID", F.col("breaks")).otherwise(F.col("newest.breaks"))
     stop = F.least(F.coalesce("next", own), F.coalesce(own, "next"))  # by step
-    got = starts.select("exchange_symbol", "step", F.coalesce(stop["step"], F.lit(-1)).alias("stop"), F.col("at_ns").alias("valid_from_ns"), F.coalesce(stop["at_ns"], F.lit(end_ns)).alias("valid_to_ns"), F.col("newest.connection_id").alias("connection_id"), F.coalesce(stop["reason"], F.lit("utc_day_end")).alias("end_reason"), stop.isNull().alias("__last"))
+    got = starts.select("exchange_symbol", "step", (F.col("pos") * 2 + F.col("sub")).alias("from_place"), F.coalesce(stop["place"], F.lit((1 << 62))).alias("to_place"), F.coalesce(stop["step"], F.lit(-1)).alias("stop"), F.col("at_ns").alias("valid_from_ns"), F.coalesce(stop["at_ns"], F.lit(end_ns)).alias("valid_to_ns"), F.col("newest.connection_id").alias("connection_id"), F.coalesce(stop["reason"], F.lit("utc_day_end")).alias("end_reason"), stop.isNull().alias("__last"))
     holder = got.where("__last").select(*_KEY).distinct()
     # a closing while its book counts already does not begin anew but tells a later time: of starts with one end the last holds
     last = Window.partitionBy("exchange_symbol", "stop").orderBy(F.desc("step"))
@@ -310,6 +317,13 @@ def rebuild(rows: DataFrame, gaps: DataFrame | None, start_ns: int, end_ns: int,
     repeated on one connection count once. Rows with a null symbol, connection, id or time are
     ignored. Symbols with gaps but no rows have no interval.
     """
+    src, events, tagged, intervals, holder = _states(rows, gaps, start_ns, end_ns, order, carry)
+    changes = tagged.where("kind = 'change'").select(*_KEY, "at_ns", "state", "update_id", "reason")
+    return changes, intervals.drop("from_place", "to_place"), _checkpoint(src, events, tagged, holder, end_ns)
+
+
+def _states(rows: DataFrame, gaps: DataFrame | None, start_ns: int, end_ns: int, order: str, carry: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows with their places, distinct events, what the replays say, valid intervals with places, and who counts at the end."""
     src = rows.where(F.col("stream_type").isin("depth", "depth_snapshot")).withColumn("kind", F.when(F.col("stream_type") == "depth", "depth").otherwise("snapshot")).withColumn("pos", F.col(order).cast("bigint"))
     if carry is not None:
         low = carry.withColumn("pos", F.col("ord") - (1 << 40))
@@ -337,7 +351,7 @@ def rebuild(rows: DataFrame, gaps: DataFrame | None, start_ns: int, end_ns: int,
         inside = F.min("pos").over(Window.partitionBy("exchange_symbol", "s").orderBy("ns").rangeBetween(Window.currentRow, Window.unboundedFollowing))
         later = both.groupBy("exchange_symbol", "s").agg(F.min("pos").alias("m")).withColumn("later", F.min("m").over(w.orderBy("s").rowsBetween(1, Window.unboundedFollowing))).drop("m")
         spot = both.withColumn("inside", inside).where("gap_no is not null").join(later, ["exchange_symbol", "s"]).select("exchange_symbol", "gap_no", F.least("inside", "later").alias("pos"))
-        placed = cut(g.join(spot, ["exchange_symbol", "gap_no"]).withColumn("pos", F.coalesce("pos", F.lit((1 << 62)))))
+        placed = cut(g.join(spot, ["exchange_symbol", "gap_no"]).withColumn("pos", F.coalesce("pos", F.lit(END))))
         opens = placed.where("state = 'OPEN'").join(events.select(*_KEY).distinct(), "exchange_symbol")
         null = lambda t: F.lit(None).cast(t)
         events = events.unionByName(opens.select(*_KEY, "pos", F.lit(GAP).alias("kind"), "ns", null("bigint").alias("seq"), null("bigint").alias("first"), null("bigint").alias("last"), null("bigint").alias("previous"), F.lit(0).alias("sub"), "gap_no", "reason"))
@@ -353,24 +367,17 @@ def rebuild(rows: DataFrame, gaps: DataFrame | None, start_ns: int, end_ns: int,
     if placed is not None:
         steps = steps.unionByName(placed.select("exchange_symbol", "pos", F.lit(0).alias("sub"), "gap_no", F.col("state").alias("what"), null.alias("connection_id"), F.col("ns").alias("at_ns"), "reason", "gap_id"))
     intervals, holder = authority(steps, end_ns)
-    return changes.select(*_KEY, "at_ns", "state", "update_id", "reason"), intervals, _checkpoint(src, events, tagged, holder, end_ns)
+    return src, events, tagged, intervals, holder
 
 
 def _checkpoint(src: DataFrame, events: DataFrame, tagged: DataFrame, holder: DataFrame, end_ns: int) -> DataFrame:
     key = _KEY
     held = tagged.where("kind = 'held'").join(holder, key).select(*key, "pos", F.col("update_id").alias("last_id"))
     # the base comes first, then the changes applied to it in the order of their ids
-    parts = small(tagged.where("kind = 'part'").select(*key, F.col("pos").alias("__lo"), F.col("to_pos").alias("__hi")).join(holder, key))
+    parts = small(tagged.where("kind = 'applied'").select(*key, F.col("pos").alias("__lo"), F.col("to_pos").alias("__hi")).join(holder, key))
     applied = events.where(F.col("kind") == DIFF).select(*key, "pos").join(parts, key).where("pos between __lo and __hi").select(*key, "pos")
     parts = src.join(applied.unionByName(held.select(*key, "pos")), [*key, "pos"])
-    base = (F.col("kind") != "depth").cast("int")
-    seq = F.when(base == 1, F.lit(0)).otherwise(F.col("final_update_id") + 1)
-    side = lambda name, c: F.transform(F.coalesce(F.col(c), F.array().cast("array<struct<price:string,quantity:string>>")), lambda x: F.struct(F.lit(name).alias("side"), x["price"].alias("p"), x["quantity"].alias("q")))
-    levels = parts.select(*key, seq.alias("seq"), F.explode(F.concat(side("bid", "bids"), side("ask", "asks"))).alias("l"))
-    feed = levels.select(*key, "l.side", F.col("l.p").try_cast("decimal(30,12)").alias("p"), "seq", F.struct(F.col("l.p").alias("price"), F.col("l.q").alias("quantity")).alias("level"), F.when(is_zero(F.col("l.q")), "delete").otherwise("update").alias("op"))
-    book = last_writer(feed.where("p is not null"), [*key, "side", "p"], "seq", "op", ["level"])
-    pick = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("p", "level")))), lambda x: x["level"])
-    books = held.select(*key, "last_id").join(book.groupBy(*key).agg(pick("bid").alias("bids"), pick("ask").alias("asks")), key)
+    books = held.select(*key, "last_id").join(_levels(parts, key), key)
     restore = books.where((F.size("bids") > 0) & (F.size("asks") > 0)).select(
         *key, F.lit("restore").alias("kind"), F.lit(0).cast("bigint").alias("ord"), F.lit(end_ns).cast("bigint").alias("app_receive_realtime_ns"), F.lit(0).cast("bigint").alias("receive_seq"),
         F.lit(None).cast("bigint").alias("first_update_id"), F.lit(None).cast("bigint").alias("final_update_id"), F.lit(None).cast("bigint").alias("previous_final_update_id"), F.col("last_id").alias("last_update_id"),
@@ -382,3 +389,53 @@ def _checkpoint(src: DataFrame, events: DataFrame, tagged: DataFrame, holder: Da
     cols = ["app_receive_realtime_ns", "receive_seq", "first_update_id", "final_update_id", "previous_final_update_id", "last_update_id", "payload_hash", "bids", "asks"]
     again = src.join(waits.unionByName(buffered), [*key, "pos"]).select(*key, "kind", (F.row_number().over(Window.partitionBy(*key).orderBy(F.col("kind") == "depth", "pos"))).cast("bigint").alias("ord"), *cols)
     return restore.unionByName(again)
+
+
+def _levels(parts: DataFrame, key: list[str]) -> DataFrame:
+    """The levels of each ``key`` after its rows, as sorted ``bids`` and ``asks``.
+
+    The base comes first, then the changes in the order of their ids; of one price twice in a
+    message the later counts.
+    """
+    whole = lambda c, n: c.cast(f"decimal({n},0)")
+    at = F.when(F.col("kind") != "depth", F.lit(0)).otherwise(F.col("final_update_id") + 1)
+    side = lambda name, c: F.transform(F.coalesce(F.col(c), F.array().cast("array<struct<price:string,quantity:string>>")), lambda x, i: F.struct(F.lit(name).alias("side"), i.alias("i"), x["price"].alias("p"), x["quantity"].alias("q")))
+    levels = parts.select(*key, at.alias("at"), F.explode(F.concat(side("bid", "bids"), side("ask", "asks"))).alias("l"))
+    levels = levels.withColumn("seq", whole(whole(F.col("at"), 20) * whole(F.lit(1 << 31), 10) + whole(F.col("l.i"), 10), 32))
+    feed = levels.select(*key, "l.side", F.col("l.p").try_cast("decimal(30,12)").alias("p"), "seq", F.struct(F.col("l.p").alias("price"), F.col("l.q").alias("quantity")).alias("level"), F.when(is_zero(F.col("l.q")), "delete").otherwise("update").alias("op"))
+    book = last_writer(feed.where("p is not null"), [*key, "side", "p"], "seq", "op", ["level"])
+    pick = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("p", "level")))), lambda x: x["level"])
+    return book.groupBy(*key).agg(pick("bid").alias("bids"), pick("ask").alias("asks"))
+
+
+def replay_stream(rows: DataFrame, gaps: DataFrame | None, start_ns: int, end_ns: int, order: str = "ord", carry: DataFrame | None = None) -> DataFrame:
+    """What a replay of the books needs, and nothing else: per stretch of validity CLEAR, the whole book, then its changes.
+
+    A stretch (``valid_from_ns``, ``segment``: its place) is a valid interval on one base; it begins
+    with CLEAR and SNAPSHOT (the book of the connection that counts, at that place) and goes on with
+    the DIFF rows of that connection, each message once, in the order of ``place``. Nothing of
+    another connection, and nothing from outside valid intervals, is in it. Columns: symbol,
+    connection, ``valid_from_ns``, ``segment``, ``place``, ``kind``, ids, times, levels.
+    """
+    src, events, tagged, intervals, _ = _states(rows, gaps, start_ns, end_ns, order, carry)
+    own = tagged.where("kind = 'stretch'").select(*_KEY, F.col("pos").alias("begin"), F.col("at_ns").alias("base"), F.when(F.col("to_pos") == END, F.lit(1 << 62)).otherwise(F.col("to_pos")).alias("until"))
+    both = intervals.select(*_KEY, "valid_from_ns", "from_place", "to_place").join(own, _KEY).withColumn("segment", F.greatest("from_place", F.col("begin") * 2 + 1)).withColumn("ends", F.least("to_place", "until"))
+    both = cut(both.where("segment < ends"))
+    near = small(both)
+    changes = events.where(F.col("kind") == DIFF).select(*_KEY, "pos")
+    after = changes.join(near, _KEY).where("pos * 2 + 1 > segment and pos * 2 + 1 < ends").select(*_KEY, "valid_from_ns", "segment", "pos")
+    # what the book at a segment's place is made of
+    parts = small(tagged.where("kind = 'part'").select(*_KEY, F.col("at_ns").alias("begin"), F.col("pos").alias("lo"), F.col("to_pos").alias("hi")).join(both, [*_KEY, "begin"]))
+    first = changes.join(parts, _KEY).where("pos between lo and hi").select(*_KEY, "segment", "pos")
+    more = changes.join(near, _KEY).where("pos > begin and pos * 2 + 1 <= segment").select(*_KEY, "segment", "pos")
+    made = both.select(*_KEY, "segment", F.col("base").alias("pos")).unionByName(first).unionByName(more).distinct()
+    books = _levels(src.join(made, [*_KEY, "pos"]), [*_KEY, "segment"])
+    ids = ["receive_seq", "first_update_id", "final_update_id", "previous_final_update_id"]
+    out = [*_KEY, "valid_from_ns", "segment", "place", "kind", *ids, "app_receive_realtime_ns", "bids", "asks"]
+    diffs = src.drop("kind").join(after, [*_KEY, "pos"]).withColumn("place", F.col("pos")).withColumn("kind", F.lit("DIFF")).select(*out)
+    heads = both.select(*_KEY, "valid_from_ns", "segment")
+    none = [F.lit(None).cast("bigint").alias(c) for c in ids]
+    no_levels = [F.lit(None).cast(dict(src.dtypes)[c]).alias(c) for c in ("bids", "asks")]
+    clear = heads.select(*_KEY, "valid_from_ns", "segment", F.lit(-END - 2).alias("place"), F.lit("CLEAR").alias("kind"), *none, F.col("valid_from_ns").alias("app_receive_realtime_ns"), *no_levels)
+    whole = heads.join(books, [*_KEY, "segment"], "left").select(*_KEY, "valid_from_ns", "segment", F.lit(-END - 1).alias("place"), F.lit("SNAPSHOT").alias("kind"), *none, F.col("valid_from_ns").alias("app_receive_realtime_ns"), "bids", "asks")
+    return clear.unionByName(whole).unionByName(diffs)

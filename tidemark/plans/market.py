@@ -305,10 +305,16 @@ def sequence_breaks(spark, d):
 # -- books
 
 
-def _day(spark, d):
+def _ordered(spark, d) -> tuple[DataFrame, int, int]:
+    """Book rows with their place per symbol, and the time they cover."""
     rows = skew.number_in_order(_t(spark, d, "l2_projection"), ["exchange_symbol"], ["app_receive_realtime_ns", "connection_id", "receive_seq"], to="ord")
     lo, hi = rows.agg(F.min("app_receive_realtime_ns"), F.max("app_receive_realtime_ns") + 1).first()
-    return book.rebuild(rows, None, lo or 0, hi or 1)
+    return rows, lo or 0, hi or 1
+
+
+def _day(spark, d):
+    rows, lo, hi = _ordered(spark, d)
+    return book.rebuild(rows, None, lo, hi)
 
 
 # one event of every book a step; m has the book's state after it, what it changed, and the places of the messages applied
@@ -334,7 +340,7 @@ m as (select distinct s, c, 0::bigint k, 0::bigint pos, false valid, null::bigin
         coalesce(m.valid and e.d and e.p <> m.x, false) torn, not m.valid and (not e.d or coalesce(e.f <= m.a and m.a <= e.l, false)) tries
        from m join ev e on e.s = m.s and e.c = m.c and e.k = m.k + 1)))))) z),
 v as (select *, row_number() over (partition by s order by pos) n from m where state is not null),
-e as (select v.*, (select min({'n': w.n, 't': w.at_ns, 'y': case when w.state = 'VALID' then 'connection_switch' else w.why end}) from v w where w.s = v.s and w.n > v.n and (w.state = 'VALID' or w.c = v.c)) stop from v where state = 'VALID') """
+e as (select v.*, (select min({'n': w.n, 't': w.at_ns, 'p': w.pos, 'y': case when w.state = 'VALID' then 'connection_switch' else w.why end}) from v w where w.s = v.s and w.n > v.n and (w.state = 'VALID' or w.c = v.c)) stop from v where state = 'VALID') """
 
 
 @query(_BOOKS + "select s exchange_symbol, c connection_id, at_ns, state, uid update_id, why reason from m where state is not null")
@@ -371,6 +377,19 @@ def l2_checkpoint(spark, d):
     return _day(spark, d)[2].select("exchange_symbol", "connection_id", "kind", "ord", "last_update_id", *sides)
 
 
+@query(
+    _BOOKS
+    + """, i as (select s, c, pos a, at_ns valid_from_ns, stop.p b, coalesce(stop.t, (select max(app_receive_realtime_ns) + 1 from l2_projection)) t from e), r as (select i.s, i.c, valid_from_ns, i.a, m.pos, ev.d and m.pos > i.a change, ev.l from i join m on m.s = i.s and m.c = i.c and m.valid and m.pos >= i.a and (i.b is null or m.pos < i.b) join ev on ev.s = m.s and ev.c = m.c and ev.pos = m.pos where t > valid_from_ns),
+g as (select *, max(case when not change then pos * 2 + 1 end) over (partition by s, c, a order by pos rows unbounded preceding) segment from r)
+select s exchange_symbol, c connection_id, valid_from_ns, segment, count(*) filter (change) changes, max(l) filter (change) last_id from g group by 1, 2, 3, 4"""
+)
+def l2_replay_segments(spark, d):
+    """The stretches of the canonical replay stream: its changes counted, and the id they lead to."""
+    rows, lo, hi = _ordered(spark, d)
+    r = book.replay_stream(rows, None, lo, hi)
+    return r.groupBy("exchange_symbol", "connection_id", "valid_from_ns", "segment").agg(F.count_if(F.col("kind") == "DIFF").alias("changes"), F.max("final_update_id").alias("last_id"))
+
+
 # -- cross-sections of the daily bars
 
 _DAILY = """b as (select exchange_symbol s, open_ms // 86400000 d, max({'r': coalesce(request_realtime_ns, -1), 'v': coalesce(try_cast(quote_volume as decimal(26,8)), -1), 't': coalesce(trades, -1)}) m from daily_klines where exchange_symbol is not null and open_ms is not null group by 1, 2),

@@ -39,11 +39,13 @@ def ledger(df: DataFrame, path: str, time_ns: str, identity: str = "event_id") -
     """Append events to a ledger by UTC date; gives those that were new.
 
     Events whose identity is in the ledger already are left out, and repeated ones appended once.
+    An identity has one time, so only the dates at hand are read of the ledger.
     """
     spark = df.sparkSession
     dated = df.dropDuplicates([identity]).withColumn("utc_date", F.date_format(F.timestamp_micros(F.expr(f"{time_ns} div 1000")), "yyyy-MM-dd"))
     try:
-        known = spark.read.parquet(path).select(identity)
+        dates = [r[0] for r in dated.select("utc_date").distinct().collect()]
+        known = spark.read.parquet(path).where(F.col("utc_date").cast("string").isin(dates)).select(identity)
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
