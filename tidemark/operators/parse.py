@@ -87,8 +87,8 @@ def _levels(raw: Column) -> Column:
     """Levels as structs, null unless all are fine; ``raw`` has arrays of texts."""
     plain = F.forall(raw, lambda x: F.coalesce((F.size(x) >= 2) & F.concat_ws("|", F.get(x, 0), F.get(x, 1)).rlike(_PLAIN_LEVEL), F.lit(False)))
     fine = F.forall(raw, lambda x: F.coalesce((F.size(x) >= 2) & (_sign(F.get(x, 0)) == 1) & (_sign(F.get(x, 1)) >= 0), F.lit(False)))
-    level = lambda f: lambda x: F.struct(f(F.get(x, 0)).alias("price"), f(F.get(x, 1)).alias("quantity"))
-    return F.when(plain, F.transform(raw, level(lambda c: c))).when(fine, F.transform(raw, level(canonical)))
+    spelt = F.when(plain, raw).when(fine, F.transform(raw, lambda x: F.transform(F.slice(x, 1, 2), canonical)))
+    return F.transform(spelt, lambda x: F.struct(F.get(x, 0).alias("price"), F.get(x, 1).alias("quantity")))
 
 
 def parsed(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -149,7 +149,8 @@ def _typed_rows(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
     )
     read = [F.expr("case " + " ".join(f"when stream_type in ({_quoted(streams)}) then {at[path]}" for _, streams, path in sources) + " end").alias(f"__x_{n}") for n, sources in FIELDS.items() if n not in levels]
     symbol = F.expr(f"upper(coalesce(nullif(exchange_symbol, ''), {at['$.s']}, {at['$.o.s']}))")
-    src = src.select(*kept, "__j", "__k", "__n", *[_levels(F.col(f"__{n}")).alias(f"__x_{n}") for n in levels], *read, F.expr(at["$.e"]).alias("__e"), symbol.alias("__y"))
+    src = src.withColumn("__sides", F.transform(F.array(*[f"__{n}" for n in levels]), _levels))
+    src = src.select(*kept, "__j", "__k", "__n", *[F.get("__sides", F.lit(i)).alias(f"__x_{n}") for i, n in enumerate(levels)], *read, F.expr(at["$.e"]).alias("__e"), symbol.alias("__y"))
     # one pattern over all decimals of a row settles what nearly all rows are: canonical and allowed
     kinds = {n: sources[0][0] for n, sources in FIELDS.items() if sources[0][0].startswith("dec")}
     groups = [[f"__x_{n}" for n, k in kinds.items() if k in g] for g in (("dec",), ("dec0", "dec?"), ("dec±",))]
