@@ -230,11 +230,11 @@ def test_boilerplate_is_what_many_senders_write(spark):
     foot = "Printed on paper that floats, read 17 times."
     texts = [(f"From: s{i % 40}@x.example\nSubject: x\n\n{word(9)}\nand so on.\n\n{foot.replace('17', str(i)) if i % 8 == 0 else word(6)}",) for i in range(400)]
     texts += [("From: one@x.example\n\nMy own words that I always send to all.",)] * 30 + [(None,), ("",)]
-    df = spark.createDataFrame(texts, "text string").repartition(3)
-    got = reading.boilerplate(df)
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    got = reading.boilerplate(reading.written(df))
     assert got == mail.marks([foot])  # what one sender repeats is not
     assert mail.author(texts[0][0], got).endswith("and so on.") and foot[:10] not in mail.author(texts[0][0], got)
-    assert reading.boilerplate(df.limit(0)) == frozenset()
+    assert reading.boilerplate(reading.written(df.limit(0))) == frozenset()
 
 
 def test_author_survives_noise():
@@ -254,7 +254,7 @@ def test_isotonic():
 def test_levels_of_held_out_documents(spark):
     d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/reading_labels.parquet")
-    known = reading.graded(docs, labels)
+    known = reading.graded(reading.written(docs), labels)
     cut = len(known) * 2 // 3
     ranker = reading.fit([p for p, _ in known[:cut]], [g for _, g in known[:cut]])
     pairs = [(ranker.level(p), g) for p, g in known[cut:] if p]

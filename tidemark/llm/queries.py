@@ -6,27 +6,33 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import encode, mix, nearest, reading
+from tidemark.session import spread
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    """The documents, on all cores even if the table is one small file: the work per row is long."""
+    return spread(_t(spark, d, "documents"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return nearest.marks_with_tickers(_t(spark, d, "typed_events")).select("exchange_symbol", "mark_event_time_ms", "update_id")
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
-    return encode.encode(_t(spark, d, "documents"), ["doc_id"])
+    return encode.encode(_documents(spark, d), ["doc_id"])
 
 
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
-    return mix.mixture(_t(spark, d, "documents"), _t(spark, d, "mix_targets"))[0]
+    return mix.mixture(_documents(spark, d), _t(spark, d, "mix_targets"))[0]
 
 
 def p8_report(spark: SparkSession, d: str) -> DataFrame:
     """Shares reached, recounted from the mixture itself rather than from the plan."""
-    mixed, report = mix.mixture(_t(spark, d, "documents"), _t(spark, d, "mix_targets"))
+    mixed, report = mix.mixture(_documents(spark, d), _t(spark, d, "mix_targets"))
     got = mixed.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("n"), F.max("copies").alias("most_copies"), F.count(F.lit(1)).alias("documents_used"))
     total = F.sum("n").over(Window.partitionBy())
     shares = got.withColumn("share", F.round(F.col("n") / total, 9))
@@ -38,12 +44,12 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return reading.demanding(_t(spark, d, "documents"), _t(spark, d, "reading_labels"))
+    return reading.demanding(_documents(spark, d), _t(spark, d, "reading_labels"))
 
 
 def p9_levels(spark: SparkSession, d: str) -> DataFrame:
     """Documents and words by rounded level (null: no prose of an author)."""
-    rows = reading.levels(_t(spark, d, "documents"), _t(spark, d, "reading_labels"))
+    rows = reading.levels(_documents(spark, d), _t(spark, d, "reading_labels"))
     return rows.groupBy(F.round("level").cast("int").alias("reading_level")).agg(F.count(F.lit(1)).alias("documents"), F.sum("words").alias("words"))
 
 

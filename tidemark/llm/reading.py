@@ -166,67 +166,77 @@ def fit(proses: list[str], levels: list[float], seed: int = 7, rounds: int = 300
     return ranker
 
 
-def boilerplate(documents: DataFrame) -> frozenset[int]:
-    """Hashes of the lines that many senders write word for word: notices, footers, automatic replies.
+def written(documents: DataFrame) -> DataFrame:
+    """``doc_id``, the own lines of each mail (:func:`mail.own`) in one text, ``own``, and its ``sender`` as one of 63 bits; written once.
 
-    All mails are read. Of each own line of some length its hash goes out, with the mail's sender as
-    one of 64 bits; counts and bits are combined on the map side. Lines with at least SHARE of all
-    mails, LEAST_MAILS of them and LEAST_SENDERS bits are boilerplate. There are at most lines per
-    mail / SHARE of these, so they go to the driver and with the tasks.
+    Mails are taken apart only here: what is learned and what is scored both read this table.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(["\n".join(mail.own(t)) for t in texts], pa.string()), pa.array([1 << (mail.sender(t) % 63) for t in texts], pa.int64())], names=["doc_id", "own", "sender"])
+
+    schema = T.StructType([documents.schema["doc_id"], T.StructField("own", T.StringType()), T.StructField("sender", T.LongType())])
+    return cut(documents.select("doc_id", "text").mapInArrow(run, schema))
+
+
+def boilerplate(mails: DataFrame) -> frozenset[int]:
+    """Hashes of the lines that many senders write word for word: notices, footers, automatic replies. ``mails``: see :func:`written`.
+
+    All mails are read. Of each own line of some length its hash goes out, with the mail's sender;
+    counts and bits are combined on the map side. Lines with at least SHARE of all mails,
+    LEAST_MAILS of them and LEAST_SENDERS bits are boilerplate. There are at most lines per mail /
+    SHARE of these, so they go to the driver and with the tasks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at, bits = [], []
-            for t in b.column(0).to_pylist():
-                found = mail.marks(mail.own(t))
+            for own, sender in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                found = mail.marks(own.split("\n"))
                 at.extend(found)
-                bits.extend([1 << (mail.sender(t) % 63)] * len(found))
+                bits.extend([sender] * len(found))
                 at.append(0)  # one row a mail
                 bits.append(0)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(bits, pa.int64())], names=["mark", "bits"])
 
-    seen = documents.select("text").mapInArrow(run, "mark bigint, bits bigint").groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.bit_count(F.bit_or("bits")).alias("senders"))
+    seen = mails.select("own", "sender").mapInArrow(run, "mark bigint, bits bigint").groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.bit_count(F.bit_or("bits")).alias("senders"))
     seen = cut(seen.where(F.col("n") >= LEAST_MAILS))
-    mails = (seen.where("mark = 0").agg(F.max("n")).first()[0] or 0)
-    often = seen.where((F.col("n") >= mails * SHARE) & (F.col("senders") >= LEAST_SENDERS) & (F.col("mark") != 0)).select("mark").collect()
+    n = seen.where("mark = 0").agg(F.max("n")).first()[0] or 0
+    often = seen.where((F.col("n") >= n * SHARE) & (F.col("senders") >= LEAST_SENDERS) & (F.col("mark") != 0)).select("mark").collect()
     return frozenset(r[0] for r in often)
 
 
-def graded(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, common: frozenset[int] = frozenset()) -> list[tuple[str, float]]:
-    """Prose and mean grade of at most ``sample`` labelled documents; repeated rows of a rater count once."""
+def graded(mails: DataFrame, labels: DataFrame, sample: int = SAMPLE, common: frozenset[int] = frozenset()) -> list[tuple[str, float]]:
+    """Prose and mean grade of at most ``sample`` labelled mails (see :func:`written`); repeated rows of a rater count once."""
     one = labels.where(F.col("reading_level").between(1, 5) & F.col("doc_id").isNotNull()).groupBy("doc_id", "rater").agg(F.avg("reading_level").alias("g"))
     mean = one.groupBy("doc_id").agg(F.avg("g").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = documents.select("doc_id", "text").join(F.broadcast(mean), "doc_id").select("doc_id", "grade", "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([mail.author(t, common) for t in b.column(2).to_pylist()], pa.string())], names=["doc_id", "grade", "prose"])
-
-    rows = texts.mapInArrow(run, "doc_id bigint, grade double, prose string").collect()
-    return [(r["prose"], r["grade"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["prose"]))]
+    rows = [(r["doc_id"], mail.prose(r["own"].split("\n"), common), r["grade"]) for r in mails.select("doc_id", "own").join(F.broadcast(mean), "doc_id").collect()]
+    return [(prose, grade) for _, prose, grade in sorted(rows)]
 
 
 def levels(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``doc_id``, ``level`` (1 to 5, with fractions) and ``words`` of each document's own prose.
 
-    Boilerplate is learned from all mails, then the ranker is fitted on the driver to a bounded
+    Mails are taken apart once, boilerplate is learned from all of them, then the ranker is fitted on the driver to a bounded
     sample of labelled documents and sent with the tasks; every document is scored over its whole
     text in one scan without a shuffle. Null, empty and blank texts, automatic notices and mails
     that only quote have null level and no words. Without usable labels every document with prose
     gets one level.
     """
-    common = boilerplate(documents)
-    known = graded(documents, labels, sample, common)
+    mails = written(documents)
+    common = boilerplate(mails)
+    known = graded(mails, labels, sample, common)
     ranker = fit([p for p, _ in known], [g for _, g in known])
     schema = T.StructType([documents.schema["doc_id"], T.StructField("level", T.DoubleType()), T.StructField("words", T.LongType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            proses = [mail.author(t, common) for t in b.column(1).to_pylist()]
+            proses = [mail.prose(t.split("\n"), common) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([ranker.level(p) for p in proses], pa.float64()), pa.array([len(words_of(p)) for p in proses], pa.int64())], names=["doc_id", "level", "words"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+    return mails.select("doc_id", "own").mapInArrow(run, schema)
 
 
 def demanding(documents: DataFrame, labels: DataFrame) -> DataFrame:
