@@ -438,9 +438,17 @@ def rank_cross_section(spark, d):
     return _ranked_symbols(spark, d)
 
 
-@query(_CROSS + "select s exchange_symbol, n position, case when n <= 50 then 'core' else 'boundary' end slot from p where n <= 55")
+@query(
+    """with c as (select l_suppkey s, sum(cast(round(l_extendedprice * 100) as bigint)) volume, count(*) trades, count(distinct l_partkey) parts from lineitem group by 1), p as (select s, row_number() over (order by trades desc, s) n from c), r as (select c.*, rank() over (order by volume desc) r1, rank() over (order by trades desc) r2, rank() over (order by parts desc) r3 from c where s not in (select s from p where n <= 5)),
+q as (select s, row_number() over (order by greatest(r1, r2, r3), r1 + r2 + r3, r1, r2, r3, s) n from r) select s supplier, n position, 'probe' slot from p where n <= 5 union all select s, n, case when n <= 50 then 'core' else 'boundary' end from q where n <= 55"""
+)
 def top_of_cross_section(spark, d):
-    return _ranked_symbols(spark, d).where("position <= 55").select("exchange_symbol", "position", F.when(F.col("position") <= 50, "core").otherwise("boundary").alias("slot"))
+    """Slots of a cross-section: the five busiest are probes; of the others the best fifty are the core, the next five the boundary."""
+    c = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("supplier"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("v"), "l_partkey")
+    c = c.groupBy("supplier").agg(F.sum("v").alias("volume"), F.count(F.lit(1)).alias("trades"), F.count_distinct("l_partkey").alias("parts"))
+    probes = ranking.by_weakest(c, "supplier", [("trades", True)]).where("position <= 5").select("supplier", "position", F.lit("probe").alias("slot"))
+    rest = ranking.by_weakest(c.join(F.broadcast(probes.select("supplier")), "supplier", "left_anti"), "supplier", [("volume", True), ("trades", True), ("parts", True)]).where("position <= 55")
+    return probes.unionByName(rest.select("supplier", "position", F.when(F.col("position") <= 50, "core").otherwise("boundary").alias("slot")))
 
 
 # suppliers stand for instruments and stretches of 70 days for days: a panel that is full at every size
