@@ -113,7 +113,7 @@ def losers(rows: DataFrame, key: dict[str, Column], has: Column, order: Sequence
         near = narrow.join(heavy, k)
         rest = narrow.join(F.broadcast(heavy.select(*k)), k, "left_anti")
         if many * 4 <= VECTOR_BYTES * 8:  # a fuller bitmap would let most rows pass
-            rest = _possible(rest, repeated, k)
+            rest = _possible(rest, repeated, k, min(VECTOR_BYTES * 8, 1 << (many * 32).bit_length()))
         held = near.unionByName(rest.join(repeated.where(~hot).drop("__n"), k))
     # rows of repeated identities, once: they are needed for the later ones and for the ties
     held = cut(held.select(*k, *full, (F.col(at) > F.col("__first")).alias("__later")))
@@ -125,9 +125,9 @@ def losers(rows: DataFrame, key: dict[str, Column], has: Column, order: Sequence
     return held.where("__later").select(*full).unionByName(ties.select(*full).join(winners, same, "left_anti"))
 
 
-def _possible(rows: DataFrame, keys: DataFrame, k: Sequence[str]) -> DataFrame:
-    """``rows`` without most of those whose key is not in ``keys``: one bit per hash value, broadcast, at most VECTOR_BYTES."""
-    place = F.pmod(F.xxhash64(*k), F.lit(VECTOR_BYTES * 8))
+def _possible(rows: DataFrame, keys: DataFrame, k: Sequence[str], size: int) -> DataFrame:
+    """``rows`` without most of those whose key is not in ``keys``: one of ``size`` bits per hash value, broadcast, at most VECTOR_BYTES."""
+    place = F.pmod(F.xxhash64(*k), F.lit(size))
     bits = keys.select(place.alias("__row")).withColumn("__file", F.lit(0).cast("bigint"))
     v = deletion_vectors(bits).select(F.col("__slice").alias("__vs"), "__bits")
     marked = rows.withColumn("__keep_row", place)
