@@ -351,3 +351,53 @@ def test_day_bookkeeping(spark):
     assert sorted((r.utc_date, r.state) for r in manifests.progress(days, {"sealed": sealed, "normalized": norm, "books": books}, 2).collect()) == [("d1", "normalized"), ("d2", "sealed"), ("d3", "missing")]
     off, dur = spark.createDataFrame([("1", "a"), ("2", "b")], "chunk_id string, sha256 string"), spark.createDataFrame([("1", "a"), ("2", "x")], "chunk_id string, sha256 string")
     assert rows(manifests.not_durable(off, dur)) == [("2", "b")]
+
+
+def test_every_stream_is_typed(spark):
+    """One message of each stream, wrapped and bare, with every column it sets; and what breaks each kind of field."""
+    dumps = __import__("json").dumps
+    order = {"s": "a", "S": "SELL", "o": "LIMIT", "f": "IOC", "q": "1.50", "p": "0", "ap": "0.0", "X": "NEW", "l": "0.00000000", "z": "1e3", "T": 8}
+    depth = {"e": "depthUpdate", "E": 1, "T": 2, "s": "a", "U": 3, "u": 4, "pu": 2, "b": [["1", "0.000", "x"], [" 2 ", "0.00000001"]], "a": []}
+    snap = {"lastUpdateId": 9, "bids": [["1.10", "2"]], "asks": [["3", "4"]], "s": "a"}
+    trade = {"e": "trade", "E": 1, "T": 2, "s": "a", "t": 5, "p": "+7", "q": "1_000", "m": False}
+    lev = lambda *x: [(p, q) for p, q in x]
+    both = {"bids": lev(("1", "0.000"), ("2", "1E-8")), "asks": []}
+    said = {
+        "depth": (depth, {"exchange_event_time_ms": 1, "exchange_transaction_time_ms": 2, "first_update_id": 3, "final_update_id": 4, "previous_final_update_id": 2} | both),
+        "rpi_depth": (depth, {"exchange_event_time_ms": 1, "exchange_transaction_time_ms": 2, "first_update_id": 3, "final_update_id": 4, "previous_final_update_id": 2} | both),
+        "depth_snapshot": (snap, {"last_update_id": 9, "bids": lev(("1.10", "2")), "asks": lev(("3", "4"))}),
+        "rpi_depth_snapshot": (snap | {"E": 5, "T": "6"}, {"exchange_event_time_ms": 5, "exchange_transaction_time_ms": 6, "last_update_id": 9, "bids": lev(("1.10", "2")), "asks": lev(("3", "4"))}),
+        "book_ticker": ({"e": "bookTicker", "u": 7, "s": "a", "b": "1.0", "B": "0", "a": "1.1", "A": "5", "T": 2, "E": 1}, {"exchange_event_time_ms": 1, "exchange_transaction_time_ms": 2, "update_id": 7, "bid_price": "1.0", "bid_quantity": "0", "ask_price": "1.1", "ask_quantity": "5"}),
+        "agg_trade": ({"e": "aggTrade", "E": 1, "T": 2, "s": "a", "a": 3, "p": "1", "q": "2", "nq": "0", "f": 4, "l": 5, "m": True}, {"exchange_event_time_ms": 1, "exchange_transaction_time_ms": 2, "aggregate_trade_id": 3, "first_trade_id": 4, "last_trade_id": 5, "price": "1", "quantity": "2", "non_rpi_quantity": "0", "buyer_is_maker": True}),
+        "trade": (trade, {"exchange_event_time_ms": 1, "exchange_transaction_time_ms": 2, "trade_id": 5, "price": "7", "quantity": "1000", "buyer_is_maker": False}),
+        "mark_price": ({"e": "markPriceUpdate", "E": 1, "s": "a", "p": "2", "i": "3", "P": "0", "r": "-0.00000017", "T": 4}, {"exchange_event_time_ms": 1, "mark_price": "2", "index_price": "3", "estimated_settle_price": "0", "funding_rate": "-1.7E-7", "next_funding_time_ms": 4}),
+        "force_order": ({"e": "forceOrder", "E": 1, "o": order}, {"exchange_event_time_ms": 1, "exchange_transaction_time_ms": 8, "side": "SELL", "order_type": "LIMIT", "time_in_force": "IOC", "order_status": "NEW", "price": "0", "quantity": "1.50", "average_price": "0.0", "last_filled_quantity": "0E-8", "accumulated_filled_quantity": "1E+3"}),
+        "contract_info": ({"e": "contractInfo", "E": 1, "s": "a", "ct": "PERPETUAL", "dt": 2, "ot": 3, "cs": "TRADING"}, {"exchange_event_time_ms": 1, "contract_type": "PERPETUAL", "delivery_date_ms": 2, "onboard_date_ms": 3, "contract_status": "TRADING"}),
+        "open_interest": ({"symbol": "a", "openInterest": "12.5", "time": 6, "s": "a"}, {"exchange_event_time_ms": 6, "open_interest": "12.5"}),
+        "clock_sample": ({"serverTime": 5}, {"exchange_event_time_ms": 5}),
+    }
+    broken = [
+        ("depth", depth | {"b": [["1"]]}, "bad bids"), ("depth", depth | {"a": [["1", "-1"]]}, "bad asks"), ("depth", depth | {"a": None}, "bad asks"), ("depth", {k: v for k, v in depth.items() if k != "pu"}, "bad previous_final_update_id"),
+        ("depth", depth | {"b": [["0", "1"]]}, "bad bids"), ("depth", depth | {"E": True}, "bad exchange_event_time_ms"), ("depth_snapshot", snap | {"E": "x"}, "bad exchange_event_time_ms"), ("trade", trade | {"p": "0.0"}, "bad price"), ("trade", trade | {"q": "NaN"}, "bad quantity"),
+        ("trade", trade | {"m": "no"}, "bad buyer_is_maker"), ("agg_trade", said["agg_trade"][0] | {"nq": "-1"}, "bad non_rpi_quantity"), ("mark_price", said["mark_price"][0] | {"i": "-3"}, "bad index_price"), ("force_order", {"e": "forceOrder", "E": 1, "s": "a"}, "bad exchange_transaction_time_ms"),
+        ("contract_info", {k: v for k, v in said["contract_info"][0].items() if k != "cs"}, "bad contract_status"), ("trade", {"data": None}, "no object"), ("trade", {"data": [1]}, "no object"), ("trade", trade | {"s": ""}, "no symbol"),
+    ]
+    data, want = [], {}
+    for stream, (payload, columns) in said.items():
+        for body in (payload, {"stream": "x", "data": payload}):
+            want[len(data)] = (stream, None, columns, payload)
+            data.append((stream, dumps(body).encode()))
+    for stream, body, why in broken:
+        want[len(data)] = (stream, why, None, None)
+        data.append((stream, dumps(body).encode()))
+    df = spark.createDataFrame([(1, None, s, "c", "b", "g", "x", n, 5, 5, p, None, None) for n, (s, p) in enumerate(data)], schemas.RAW)
+    got = {r.receive_seq: r for r in parse.parsed(df).collect()}
+    assert len(got) == len(data)
+    for n, (stream, why, columns, payload) in want.items():
+        r = got[n].asDict(recursive=True)
+        assert r["error"] == why, (n, stream, r["error"], why)
+        if why is None:
+            told = {k: [(x["price"], x["quantity"]) for x in v] if k in ("bids", "asks") else v for k, v in r.items() if v is not None and k not in ("schema_version", "exchange_symbol", "stream_type", "connection_id", "receive_seq", "app_receive_realtime_ns", "app_receive_monotonic_ns", "payload_hash", "is_duplicate")}
+            assert told == columns, (stream, told)
+            assert r["exchange_symbol"] == (None if stream == "clock_sample" else "A")
+            assert bytes(r["payload_hash"]) == __import__("hashlib").sha256(dumps(payload, sort_keys=True, separators=(",", ":")).encode()).digest(), stream
