@@ -322,6 +322,12 @@ def rebuild(rows: DataFrame, gaps: DataFrame | None, start_ns: int, end_ns: int,
     return changes, intervals.drop("from_place", "to_place"), _checkpoint(src, events, tagged, holder, end_ns)
 
 
+def validity(rows: DataFrame, gaps: DataFrame | None, start_ns: int, end_ns: int, order: str = "ord", carry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """State changes and valid intervals as of :func:`rebuild`, without the books at the end."""
+    _, _, tagged, intervals, _ = _states(rows, gaps, start_ns, end_ns, order, carry)
+    return tagged.where("kind = 'change'").select(*_KEY, "at_ns", "state", "update_id", "reason"), intervals.drop("from_place", "to_place")
+
+
 def _states(rows: DataFrame, gaps: DataFrame | None, start_ns: int, end_ns: int, order: str, carry: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
     """Rows with their places, distinct events, what the replays say, valid intervals with places, and who counts at the end."""
     src = rows.where(F.col("stream_type").isin("depth", "depth_snapshot")).withColumn("kind", F.when(F.col("stream_type") == "depth", "depth").otherwise("snapshot")).withColumn("pos", F.col(order).cast("bigint"))

@@ -345,7 +345,8 @@ e as (select v.*, (select min({'n': w.n, 't': w.at_ns, 'p': w.pos, 'y': case whe
 
 @query(_BOOKS + "select s exchange_symbol, c connection_id, at_ns, state, uid update_id, why reason from m where state is not null")
 def l2_state_changes(spark, d):
-    return _day(spark, d)[0]
+    rows, lo, hi = _ordered(spark, d)
+    return book.validity(rows, None, lo, hi)[0]
 
 
 @query(
@@ -353,7 +354,8 @@ def l2_state_changes(spark, d):
     + """select * from (select s exchange_symbol, at_ns valid_from_ns, coalesce(stop.t, (select max(app_receive_realtime_ns) + 1 from l2_projection)) valid_to_ns, c connection_id, coalesce(stop.y, 'utc_day_end') end_reason from e) where valid_to_ns > valid_from_ns"""
 )
 def l2_validity(spark, d):
-    return _day(spark, d)[1]
+    rows, lo, hi = _ordered(spark, d)
+    return book.validity(rows, None, lo, hi)[1]
 
 
 _SIDE_TEXT = lambda c: f"array_to_string(list_transform({c}, lambda v: coalesce(v.price, '') || '@' || coalesce(v.quantity, '')), ';')"
